@@ -138,17 +138,26 @@ def too_many_message(max_rows: int) -> str:
     return f"More than {max_rows} rows asked for inline text - resolve at most {max_rows} rows, or use the bulk path."
 
 
+# The messages shown in place of a text (our own wording).
+MSG_MISSING = "No pointer in this row - there is no text to fetch."
+MSG_NOT_FOUND = "No object behind this pointer - it may be stale or wrong."
+MSG_UNDECODABLE = "The stored object is not UTF-8 text."
+MSG_MALFORMED = ("Pointer '", "' is not of the form s3://bucket/key.")
+MSG_NO_STORE = ("Bucket '", "' is not a known text store.")
+MSG_TOO_LARGE = ("Text too large to return inline (", " bytes, limit {limit} bytes).")
+
+
 def _messages(u: Column, b: Column, n: Column, max_bytes: int | None) -> dict[str, Column]:
     limit = f"{max_bytes:,}" if max_bytes is not None else ""
     return {
-        MISSING_POINTER: F.lit("No pointer in this row - there is no text to fetch."),
-        MALFORMED: F.concat(F.lit("Pointer '"), u, F.lit("' is not of the form s3://bucket/key.")),
-        NO_STORE: F.concat(F.lit("Bucket '"), b, F.lit("' is not a known text store.")),
-        NOT_FOUND: F.lit("No object behind this pointer - it may be stale or wrong."),
+        MISSING_POINTER: F.lit(MSG_MISSING),
+        MALFORMED: F.concat(F.lit(MSG_MALFORMED[0]), u, F.lit(MSG_MALFORMED[1])),
+        NO_STORE: F.concat(F.lit(MSG_NO_STORE[0]), b, F.lit(MSG_NO_STORE[1])),
+        NOT_FOUND: F.lit(MSG_NOT_FOUND),
         TOO_LARGE: F.concat(
-            F.lit("Text too large to return inline ("), T.with_thousands(n), F.lit(f" bytes, limit {limit} bytes).")
+            F.lit(MSG_TOO_LARGE[0]), T.with_thousands(n), F.lit(MSG_TOO_LARGE[1].format(limit=limit))
         ),
-        UNDECODABLE: F.lit("The stored object is not UTF-8 text."),
+        UNDECODABLE: F.lit(MSG_UNDECODABLE),
     }
 
 

@@ -73,6 +73,10 @@ class Lake:
     def gold_name(self) -> str:
         return self.name(self.gold, gold=True)
 
+    def table_path(self, table: str, gold: bool = False) -> str:
+        """Folder of a managed table (database location + table name)."""
+        return f"{self.root}/{self.gold_database if gold else self.database}.db/{table.lower()}"
+
     def scratch(self, name: str) -> str:
         return f"{self.root}/_scratch/{name}-{uuid.uuid4().hex[:12]}"
 
