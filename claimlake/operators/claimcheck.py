@@ -11,6 +11,8 @@ readable ``message`` otherwise, and the object size ``n_bytes`` when the object
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,9 @@ NOT_FOUND = "not_found"
 TOO_LARGE = "too_large"
 UNDECODABLE = "undecodable"
 ACCESS_DENIED = "access_denied"
+# Bulk resolve: a key with at least this share of the pointers is joined by broadcast.
+HOT_FRACTION = 0.01
+HOT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 # ---------------------------------------------------------------------------------------------
@@ -95,7 +100,8 @@ def write_store(
         if not order:
             raise ValueError("store rows repeat a key; pass `order` to choose the copy to keep")
         rows = keep_latest(rows, order)
-    n = num_buckets or bucket_count(int(total), target_file_bytes)
+    floor = rows.sparkSession.sparkContext.defaultParallelism
+    n = num_buckets or max(min(floor, max(int(keys), 1)), bucket_count(int(total), target_file_bytes))
     replace_bucketed_table(rows.select(*STORE_COLUMNS), table, "key", n)
     return {"keys": int(keys), "bytes": int(total), "max_copies": int(max_copies), "buckets": n}
 
@@ -170,6 +176,8 @@ def resolve_text(
     max_rows: int | None = MAX_ROWS,
     max_bytes: int | None = MAX_BYTES,
     text_col: str = "full_text",
+    hot_fraction: float | None = HOT_FRACTION,
+    hot_broadcast_bytes: int = HOT_BROADCAST_BYTES,
 ) -> DataFrame:
     """``df`` plus ``status``, ``text_col``, ``message`` and ``n_bytes`` for each pointer.
 
@@ -179,7 +187,10 @@ def resolve_text(
       (bucket and row-group pruning) and the hits, at most ``max_rows * max_bytes`` bytes,
       are broadcast.
     * ``max_rows=None`` is the bulk path: a left join on ``key``; with the store bucketed on
-      ``key`` only the pointer side is shuffled.
+      ``key`` only the pointer side is shuffled. Keys that hold at least ``hot_fraction`` of
+      the pointers (so at most ``1 / hot_fraction`` keys) are split off and joined with a
+      broadcast of just their objects (bounded by ``max_bytes`` per object, or checked against
+      ``hot_broadcast_bytes``), so no single task receives a hot key's rows.
     * ``max_bytes``: objects over it report ``too_large`` with their size; their bytes are
       never returned.
     """
@@ -198,10 +209,19 @@ def resolve_text(
     parsed = parsed.withColumn("__jk", F.when((F.col("__b") == bucket) & (F.col("__k") != ""), F.col("__k")))
     body = F.col("content") if max_bytes is None else F.when(F.col("n_bytes") <= max_bytes, F.col("content"))
     objects = store.select(F.col("key").alias("__sk"), F.col("n_bytes").alias("__sn"), body.alias("__sc"))
+    on = F.col("__jk") == F.col("__sk")
     if max_rows is not None:
         keys = [r[0] for r in parsed.filter(F.col("__jk").isNotNull()).select("__jk").distinct().collect()]
-        objects = F.broadcast(objects.filter(F.col("__sk").isin(keys)))
-    joined = parsed.join(objects, F.col("__jk") == F.col("__sk"), "left")
+        joined = parsed.join(F.broadcast(objects.filter(F.col("__sk").isin(keys))), on, "left")
+    else:
+        hot = hot_keys(parsed, "__jk", hot_fraction) if hot_fraction else []
+        if hot and (max_bytes is not None and len(hot) * max_bytes <= hot_broadcast_bytes or _fits(store, hot, hot_broadcast_bytes)):
+            is_hot = F.col("__jk").isin(hot)
+            hot_part = parsed.filter(is_hot).join(F.broadcast(objects.filter(F.col("__sk").isin(hot))), on, "left")
+            cold_part = parsed.filter(F.col("__jk").isNull() | ~is_hot).join(objects, on, "left")
+            joined = hot_part.unionByName(cold_part)
+        else:
+            joined = parsed.join(objects, on, "left")
 
     b, n, c = F.col("__b"), F.col("__sn"), F.col("__sc")
     status = (
@@ -233,6 +253,26 @@ def resolve_text(
     )
 
 
+def hot_keys(df: DataFrame, key: str, fraction: float) -> list:
+    """Keys holding at least ``fraction`` of the non-NULL ``key`` rows (at most 1/fraction).
+
+    Two narrow jobs: a count, and a partial aggregate per key filtered on the threshold.
+    """
+    keyed = df.filter(F.col(key).isNotNull()).select(key)
+    total = keyed.count()
+    if total == 0:
+        return []
+    threshold = max(2, math.ceil(total * fraction))
+    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("__c"))
+    return [r[0] for r in counts.filter(F.col("__c") >= threshold).select(key).collect()]
+
+
+def _fits(store: DataFrame, keys: list, limit: int) -> bool:
+    """Whether the objects of ``keys`` together hold at most ``limit`` bytes (reads sizes only)."""
+    total = store.filter(F.col("key").isin(keys)).agg(F.sum("n_bytes")).first()[0]
+    return (total or 0) <= limit
+
+
 def parse_pointers(df: DataFrame, pointer_col: str) -> DataFrame:
     """``df`` plus ``bucket`` and ``key`` of each pointer ('' when it does not match)."""
     u = F.col(pointer_col)

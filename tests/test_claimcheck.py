@@ -85,3 +85,32 @@ def test_capped_path_broadcasts_and_pushes_keys(spark, lake):
     plan = cc.resolve_text(ptrs, "u", store, bucket=BUCKET)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "EqualTo(key," in plan or "In(key," in plan  # the key list reaches the store scan
+
+
+def test_hot_key_split_gives_same_rows(spark, lake):
+    store = _store(spark, lake, [(f"k{i}", f"text {i}".encode()) for i in range(50)])
+    hot = [("s3://bucket/k0",)] * 300
+    cold = [(f"s3://bucket/k{i % 60}",) for i in range(300)]
+    ptrs = spark.createDataFrame(hot + cold + [(None,), ("junk",)], "u string")
+    split = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=None)
+    plain = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=None, hot_fraction=None)
+    assert split.count() == 602
+    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "BroadcastHashJoin" in plan
+    assert cc.hot_keys(ptrs.select(F.regexp_extract("u", "^s3://[^/]+/(.+)$", 1).alias("k")), "k", 0.25) == ["k0"]
+
+
+def test_resolve_against_object_files(spark, lake):
+    from claimlake.sources import objects as obj
+
+    rows = spark.createDataFrame(
+        [(BUCKET, "terms/1.txt", bytearray(b"one")), (BUCKET, "terms/2.txt", bytearray(b"x" * 50)), (BUCKET, "terms/3.txt", bytearray(b""))],
+        "bucket string, key string, content binary",
+    )
+    root = f"{lake.root}/objects"
+    manifest = obj.write_object_files(rows, root, lake.scratch("manifest"))
+    store = obj.read_object_files(spark, root, manifest=manifest, max_bytes=10)
+    ptrs = spark.createDataFrame([("s3://bucket/terms/1.txt",), ("s3://bucket/terms/2.txt",), ("s3://bucket/terms/3.txt",), ("s3://bucket/terms/4.txt",)], "u string")
+    got = {r["u"][-5:]: (r["status"], r["full_text"], r["n_bytes"]) for r in cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_bytes=10).collect()}
+    assert got == {"1.txt": ("ok", "one", 3), "2.txt": ("too_large", None, 50), "3.txt": ("ok", "", 0), "4.txt": ("not_found", None, None)}
