@@ -26,11 +26,19 @@ SOURCE_FILE = "_source_file"
 NULL_TOKEN = "\\N"
 CSV_GLOB = "*.csv"
 
-_PARSE = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "multiLine": "true"}
-
-
-def read_options(null_value: str = NULL_TOKEN, glob: str | None = CSV_GLOB) -> dict[str, str]:
-    opts = dict(_PARSE, nullValue=null_value, recursiveFileLookup="true", inferSchema="false")
+_PARSE = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
+
+
+def read_options(null_value: str = NULL_TOKEN, glob: str | None = CSV_GLOB, multi_line: bool = True) -> dict[str, str]:
+    """Reader options. ``multi_line=False`` lets Spark split large files across tasks; use it
+    only when no value contains a line break (a quoted newline would then split a row)."""
+    opts = dict(
+        _PARSE,
+        multiLine=str(multi_line).lower(),
+        nullValue=null_value,
+        recursiveFileLookup="true",
+        inferSchema="false",
+    )
     if glob:
         opts["pathGlobFilter"] = glob
     return opts
@@ -58,13 +66,15 @@ def read_landing_csv(
     null_value: str = NULL_TOKEN,
     glob: str | None = CSV_GLOB,
     source_file: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """All ``*.csv`` files under ``root`` (recursively), header row, all columns strings.
 
     ``multiLine`` is needed because texts hold newlines; it makes each file one split, so the
-    scan parallelises across files (land many files, not one huge one).
+    scan parallelises across files (land many files, not one huge one). When the landing data
+    has no line breaks inside values, ``multi_line=False`` makes big files splittable.
     """
-    reader = spark.read.options(**read_options(null_value, glob))
+    reader = spark.read.options(**read_options(null_value, glob, multi_line))
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(root)
@@ -81,12 +91,13 @@ def stream_landing_csv(
     null_value: str = NULL_TOKEN,
     glob: str | None = CSV_GLOB,
     max_files_per_trigger: int | None = 1,
+    multi_line: bool = True,
 ) -> DataFrame:
     """File-stream form of :func:`read_landing_csv`; a schema is mandatory for file streams.
 
     ``max_files_per_trigger=1`` processes one arrival per micro-batch.
     """
-    reader = spark.readStream.options(**read_options(null_value, glob)).schema(landing_schema(columns))
+    reader = spark.readStream.options(**read_options(null_value, glob, multi_line)).schema(landing_schema(columns))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return cast_measures(with_source_file(reader.csv(root)))

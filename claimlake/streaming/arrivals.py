@@ -6,8 +6,10 @@ batch overwrites only its own partition folder, so a batch replayed after a fail
 what it wrote before instead of appending twice. Readers see the layers through
 :meth:`StreamLake.table`, which hides ``_batch_id``.
 
-Ids are expected to be unique across arrivals (one file written once); within a batch a
-repeated id keeps its last copy, as in the batch job.
+A repeated id keeps its last copy: within a batch as in the batch job (greatest file, last
+row), across batches the later batch wins. The streamed store keeps one object per key per
+batch; :meth:`StreamLake.current_store` is the view with only the latest copy of each key,
+which is what resolve should read.
 """
 
 from __future__ import annotations
@@ -48,6 +50,15 @@ class StreamLake:
         df = spark.read.parquet(self.path(layer))
         return df if keep_batch else df.drop(BATCH)
 
+    def current_store(self, spark: SparkSession) -> DataFrame:
+        """Store rows ``(bucket, key, content, n_bytes)``, latest batch's copy of each key.
+
+        Winners come from a partial aggregate on ``(key, _batch_id)``; a ``key`` filter on the
+        result is pushed below it into the scan, so a capped resolve still reads few rows.
+        """
+        store = self.table(spark, "store", keep_batch=True)
+        return cc.keep_latest(store, [BATCH]).select(*cc.STORE_COLUMNS)
+
 
 def process_batch(
     batch: DataFrame,

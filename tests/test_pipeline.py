@@ -68,3 +68,35 @@ def test_stream_end_state_equals_batch(spark, lake):
         assert s.exceptAll(b).count() == 0 and b.exceptAll(s).count() == 0, layer
     s_store = layout.table(spark, "store")
     assert s_store.exceptAll(spark.table(lake.store_name)).count() == 0
+
+
+def test_stream_later_arrival_wins(spark, lake):
+    from claimlake.sources.landing import write_landing_csv
+
+    root = f"{lake.root}/landing"
+    first = spark.createDataFrame([("1", "old one"), ("2", "two")], "id string, terms string")
+    write_landing_csv(first, f"{root}/a", files=1)
+    layout = arrivals.run_stream(spark, root, lake, run_ts=fx.RUN_TS)
+    second = spark.createDataFrame([("1", "new one")], "id string, terms string")
+    write_landing_csv(second, f"{root}/b", files=1)
+    arrivals.run_stream(spark, root, lake, run_ts=fx.RUN_TS)
+    store = layout.current_store(spark)
+    got = {r["key"]: bytes(r["content"]).decode() for r in store.collect()}
+    assert got == {"terms/1.txt": "new one", "terms/2.txt": "two"}
+    assert layout.table(spark, "bronze").count() == 3
+    from claimlake.operators import claimcheck as cc
+
+    res = cc.resolve_text(layout.table(spark, "gold").select("id", "terms"), "terms", store, bucket=lake.terms_bucket)
+    assert sorted((r["id"], r["full_text"]) for r in res.collect()) == [("1", "new one"), ("1", "new one"), ("2", "two")]
+
+
+def test_single_line_csv_is_splittable(spark, lake):
+    from claimlake.sources.landing import write_landing_csv
+
+    root = f"{lake.root}/landing"
+    df = spark.range(2000).selectExpr("CAST(id AS STRING) AS id", "repeat('word ', 50) AS terms")
+    write_landing_csv(df, root, files=1)
+    with_split = read_landing_csv(spark, root, multi_line=False)
+    whole = read_landing_csv(spark, root)
+    assert with_split.drop("_source_file").exceptAll(whole.drop("_source_file")).count() == 0
+    assert whole.count() == 2000
