@@ -52,10 +52,16 @@ def object_key(row_id: Column | str, prefix: str = DEFAULT_PREFIX) -> Column:
     return F.concat(F.lit(prefix), _c(row_id), F.lit(OBJECT_SUFFIX))
 
 
-def pointer(row_id: Column | str, text: Column | str, bucket: str, prefix: str = DEFAULT_PREFIX) -> Column:
-    """``s3://<bucket>/<prefix><id>.txt`` when both id and text are present, else NULL."""
+def pointer(
+    row_id: Column | str, text: Column | str, bucket: str, prefix: str = DEFAULT_PREFIX, present: Column | str | None = None
+) -> Column:
+    """``s3://<bucket>/<prefix><id>.txt`` when both id and text are present, else NULL.
+
+    ``present`` may name a column that is NULL exactly when the text is (e.g. its byte length
+    computed earlier), so the text itself need not be read.
+    """
     return F.when(
-        _c(row_id).isNotNull() & _c(text).isNotNull(),
+        _c(row_id).isNotNull() & _c(text if present is None else present).isNotNull(),
         F.concat(F.lit(f"{POINTER_SCHEME}{bucket}/"), object_key(row_id, prefix)),
     )
 

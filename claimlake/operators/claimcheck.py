@@ -51,13 +51,20 @@ def payload(
     id_col: str = "id",
     text_col: str = "terms",
     keep: tuple[str, ...] = (),
+    size_col: str | None = None,
 ) -> DataFrame:
-    """Store rows ``(bucket, key, content, n_bytes)`` for every row with both id and text."""
-    return df.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
+    """Store rows ``(bucket, key, content, n_bytes)`` for every row with both id and text.
+
+    ``size_col`` names a precomputed UTF-8 byte length of the text (NULL when the text is);
+    with it, jobs that only need keys and sizes never read the text column.
+    """
+    size = T.byte_length(text_col) if size_col is None else F.col(size_col).cast("bigint")
+    present = F.col(text_col) if size_col is None else F.col(size_col)
+    return df.filter(F.col(id_col).isNotNull() & present.isNotNull()).select(
         F.lit(bucket).alias("bucket"),
         T.object_key(id_col, prefix).alias("key"),
         F.encode(F.col(text_col), "UTF-8").alias("content"),
-        T.byte_length(text_col).alias("n_bytes"),
+        size.alias("n_bytes"),
         *keep,
     )
 
@@ -107,10 +114,16 @@ def write_store(
 
 
 def replace_with_pointer(
-    df: DataFrame, *, bucket: str, prefix: str = T.DEFAULT_PREFIX, id_col: str = "id", text_col: str = "terms"
+    df: DataFrame,
+    *,
+    bucket: str,
+    prefix: str = T.DEFAULT_PREFIX,
+    id_col: str = "id",
+    text_col: str = "terms",
+    present_col: str | None = None,
 ) -> DataFrame:
     """The text column replaced, in place, by its pointer (NULL when id or text is NULL)."""
-    return df.withColumn(text_col, T.pointer(id_col, text_col, bucket, prefix))
+    return df.withColumn(text_col, T.pointer(id_col, text_col, bucket, prefix, present=present_col))
 
 
 def offload_text(

@@ -17,6 +17,7 @@ from claimlake.sources.rules import parse_rules
 INGESTED_AT = "_ingestion_timestamp"
 SILVER_AT = "_silver_processed_at"
 _ORD = "_row_ord"
+_BYTES = "_text_bytes"
 
 
 def utc_now() -> str:
@@ -24,20 +25,24 @@ def utc_now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
-def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` with a stable row ordinal to ``path`` (shared storage) and read it back.
+def stage(df: DataFrame, path: str, text_col: str = "terms") -> DataFrame:
+    """Write ``df`` with a stable row ordinal and the text's byte length to ``path`` (shared
+    storage) and read it back.
 
-    The landing CSV is parsed once; the store and bronze are then cheap column-pruned scans of
-    the staged files, and a lost executor re-reads them instead of re-parsing CSV.
+    The landing CSV is parsed once; the store stats and bronze are then column-pruned scans of
+    the staged files that never touch the text, and a lost executor re-reads Parquet instead
+    of re-parsing CSV.
     """
-    df.withColumn(_ORD, F.monotonically_increasing_id()).write.mode("overwrite").parquet(path)
+    staged = df.withColumns({_ORD: F.monotonically_increasing_id(), _BYTES: F.octet_length(text_col).cast("bigint")})
+    staged.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def bronze_frame(staged: DataFrame, lake: Lake, run_ts: str) -> DataFrame:
     """Pointer in place of the text, then the two bronze stamps at the end."""
-    landing_cols = [c for c in staged.columns if c not in (SOURCE_FILE, _ORD)]
-    out = cc.replace_with_pointer(staged, bucket=lake.terms_bucket, prefix=lake.terms_prefix)
+    landing_cols = [c for c in staged.columns if c not in (SOURCE_FILE, _ORD, _BYTES)]
+    present = _BYTES if _BYTES in staged.columns else None
+    out = cc.replace_with_pointer(staged, bucket=lake.terms_bucket, prefix=lake.terms_prefix, present_col=present)
     return out.select(*landing_cols, F.lit(run_ts).alias(INGESTED_AT), F.col(SOURCE_FILE))
 
 
@@ -59,7 +64,7 @@ def to_bronze(
     raw = read_landing_csv(spark, landing) if isinstance(landing, str) else landing
     staged = stage(raw, lake.scratch("landing"))
     rows = cc.payload(
-        staged, bucket=lake.terms_bucket, prefix=lake.terms_prefix, keep=(SOURCE_FILE, _ORD)
+        staged, bucket=lake.terms_bucket, prefix=lake.terms_prefix, keep=(SOURCE_FILE, _ORD), size_col=_BYTES
     )
     cc.write_store(rows, lake.store_name, order=[SOURCE_FILE, _ORD], target_file_bytes=lake.target_file_bytes)
     replace_table(bronze_frame(staged, lake, run_ts), lake.bronze_name, target_file_bytes=lake.target_file_bytes)

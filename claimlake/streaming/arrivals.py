@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from claimlake.operators import claimcheck as cc
-from claimlake.plans.medallion import _ORD, bronze_frame, silver_frames, utc_now
+from claimlake.plans.medallion import _BYTES, _ORD, bronze_frame, silver_frames, utc_now
 from claimlake.plans.tables import Lake
 from claimlake.sources.landing import SOURCE_FILE, stream_landing_csv
 
@@ -78,8 +78,13 @@ def process_batch(
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    staged = put(batch.withColumn(_ORD, F.monotonically_increasing_id()), "staged")
-    rows = cc.payload(staged, bucket=lake.terms_bucket, prefix=lake.terms_prefix, keep=(SOURCE_FILE, _ORD))
+    staged = put(
+        batch.withColumns({_ORD: F.monotonically_increasing_id(), _BYTES: F.octet_length("terms").cast("bigint")}),
+        "staged",
+    )
+    rows = cc.payload(
+        staged, bucket=lake.terms_bucket, prefix=lake.terms_prefix, keep=(SOURCE_FILE, _ORD), size_col=_BYTES
+    )
     put(cc.keep_latest(rows, [SOURCE_FILE, _ORD]).select(*cc.STORE_COLUMNS), "store")
     bronze = put(bronze_frame(staged, lake, ts), "bronze")
     clean, failed, _ = silver_frames(bronze, rules, ts)
