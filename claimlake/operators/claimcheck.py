@@ -164,6 +164,8 @@ MSG_UNDECODABLE = "The stored object is not UTF-8 text."
 MSG_MALFORMED = ("Pointer '", "' is not of the form s3://bucket/key.")
 MSG_NO_STORE = ("Bucket '", "' is not a known text store.")
 MSG_TOO_LARGE = ("Text too large to return inline (", " bytes, limit {limit} bytes).")
+MSG_ACCESS_DENIED = "Not allowed to read the stored object - ask the data owners for access."
+MSG_ERROR = ("Could not read the stored object (", ").")
 
 
 def _messages(u: Column, b: Column, n: Column, max_bytes: int | None) -> dict[str, Column]:
@@ -209,14 +211,7 @@ def resolve_text(
     """
     u = F.col(pointer_col)
     if max_rows is not None and df.limit(max_rows + 1).count() > max_rows:
-        return df.withColumns(
-            {
-                "status": F.lit(TOO_MANY),
-                text_col: F.lit(None).cast("string"),
-                "message": F.lit(too_many_message(max_rows)),
-                "n_bytes": F.lit(None).cast("bigint"),
-            }
-        )
+        return _too_many(df, max_rows, text_col)
 
     parsed = df.withColumns({"__b": T.pointer_bucket(u), "__k": T.pointer_key(u)})
     parsed = parsed.withColumn("__jk", F.when((F.col("__b") == bucket) & (F.col("__k") != ""), F.col("__k")))
@@ -236,13 +231,21 @@ def resolve_text(
         else:
             joined = parsed.join(objects, on, "left")
 
+    return _finish(joined, u, bucket, max_bytes, text_col)
+
+
+def _finish(
+    joined: DataFrame, u: Column, bucket: str | None, max_bytes: int | None, text_col: str, with_errors: bool = False
+) -> DataFrame:
+    """Status, text, message and size from the joined ``__b/__sk/__sn/__sc`` (+ ``__err``)."""
     b, n, c = F.col("__b"), F.col("__sn"), F.col("__sc")
-    status = (
-        F.when(u.isNull() | (u == ""), F.lit(MISSING_POINTER))
-        .when(b == "", F.lit(MALFORMED))
-        .when(b != bucket, F.lit(NO_STORE))
-        .when(F.col("__sk").isNull(), F.lit(NOT_FOUND))
-    )
+    status = F.when(u.isNull() | (u == ""), F.lit(MISSING_POINTER)).when(b == "", F.lit(MALFORMED))
+    if bucket is not None:
+        status = status.when(b != bucket, F.lit(NO_STORE))
+    if with_errors:
+        err = F.col("__err")
+        status = status.when(err.isNotNull() & (err != NOT_FOUND), err).when(err == NOT_FOUND, F.lit(NOT_FOUND))
+    status = status.when(F.col("__sk").isNull(), F.lit(NOT_FOUND))
     if max_bytes is not None:
         status = status.when(n > max_bytes, F.lit(TOO_LARGE))
     status = status.when(~T.is_utf8(c), F.lit(UNDECODABLE)).otherwise(F.lit(OK))
@@ -252,6 +255,10 @@ def resolve_text(
     message = F.when(s == MISSING_POINTER, msgs[MISSING_POINTER])
     for code in (MALFORMED, NO_STORE, NOT_FOUND, TOO_LARGE, UNDECODABLE):
         message = message.when(s == code, msgs[code])
+    if with_errors:
+        message = message.when(s == ACCESS_DENIED, F.lit(MSG_ACCESS_DENIED)).when(
+            s.startswith("error:"), F.concat(F.lit(MSG_ERROR[0]), F.substring(s, 7, 200), F.lit(MSG_ERROR[1]))
+        )
 
     return (
         joined.withColumn("status", status)
@@ -262,10 +269,55 @@ def resolve_text(
                 "n_bytes": n,
             }
         )
-        .drop("__b", "__k", "__jk", "__sk", "__sn", "__sc")
+        .drop("__b", "__k", "__jk", "__sk", "__sn", "__sc", "__err")
+    )
+
+
+def _too_many(df: DataFrame, max_rows: int, text_col: str) -> DataFrame:
+    return df.withColumns(
+        {
+            "status": F.lit(TOO_MANY),
+            text_col: F.lit(None).cast("string"),
+            "message": F.lit(too_many_message(max_rows)),
+            "n_bytes": F.lit(None).cast("bigint"),
+        }
     )
 
 
+def resolve_files(
+    df: DataFrame,
+    pointer_col: str,
+    root: str,
+    *,
+    max_rows: int | None = MAX_ROWS,
+    max_bytes: int | None = MAX_BYTES,
+    text_col: str = "full_text",
+) -> DataFrame:
+    """:func:`resolve_text` against object files under ``root`` (``root/<bucket>/<key>``).
+
+    Any bucket folder under ``root`` is a store; a missing folder gives ``no_store``. Read
+    problems become ``access_denied`` or ``error:<code>`` for that row. Each distinct pointer
+    is fetched once (partial aggregation collapses repeats before the fetch stage); the
+    results join back on ``(bucket, key)`` - broadcast under the row cap (at most
+    ``max_rows * max_bytes`` bytes), a shuffle join otherwise.
+    """
+    from claimlake.sources.objects import fetch_objects
+
+    u = F.col(pointer_col)
+    if max_rows is not None and df.limit(max_rows + 1).count() > max_rows:
+        return _too_many(df, max_rows, text_col)
+    parsed = df.withColumns({"__b": T.pointer_bucket(u), "__k": T.pointer_key(u)})
+    keys = parsed.filter(F.col("__b") != "").select("__b", "__k").distinct()
+    fetched = fetch_objects(keys, root, max_bytes).withColumn(
+        "__sk", F.when(F.col("__err").isNull(), F.col("__k"))
+    ).withColumnsRenamed({"__b": "__fb", "__k": "__fk"})
+    if max_rows is not None:
+        fetched = F.broadcast(fetched)
+    on = (F.col("__b") == F.col("__fb")) & (F.col("__k") == F.col("__fk"))
+    joined = parsed.join(fetched, on, "left").drop("__fb", "__fk")
+    return _finish(joined, u, None, max_bytes, text_col, with_errors=True)
+
+
 def hot_keys(df: DataFrame, key: str, fraction: float) -> list:
     """Keys holding at least ``fraction`` of the non-NULL ``key`` rows (at most 1/fraction).
 

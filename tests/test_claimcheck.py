@@ -114,3 +114,39 @@ def test_resolve_against_object_files(spark, lake):
     ptrs = spark.createDataFrame([("s3://bucket/terms/1.txt",), ("s3://bucket/terms/2.txt",), ("s3://bucket/terms/3.txt",), ("s3://bucket/terms/4.txt",)], "u string")
     got = {r["u"][-5:]: (r["status"], r["full_text"], r["n_bytes"]) for r in cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_bytes=10).collect()}
     assert got == {"1.txt": ("ok", "one", 3), "2.txt": ("too_large", None, 50), "3.txt": ("ok", "", 0), "4.txt": ("not_found", None, None)}
+
+
+def test_resolve_files_statuses(spark, lake):
+    from claimlake.sources import objects as obj
+
+    rows = spark.createDataFrame(
+        [(BUCKET, "terms/1.txt", bytearray(b"one")), (BUCKET, "terms/big.txt", bytearray(b"x" * 50)), (BUCKET, "terms/bad.txt", bytearray(b"\xc3\x28"))],
+        "bucket string, key string, content binary",
+    )
+    root = f"{lake.root}/objects"
+    obj.write_object_files(rows, root, lake.scratch("manifest"))
+    ptrs = spark.createDataFrame(
+        [("s3://bucket/terms/1.txt",), ("s3://bucket/terms/1.txt",), ("s3://bucket/terms/big.txt",), ("s3://bucket/terms/bad.txt",),
+         ("s3://bucket/terms/none.txt",), ("s3://bucket/terms",), ("s3://nobucket/terms/1.txt",), ("oops",), (None,)],
+        "u string",
+    )
+    res = cc.resolve_files(ptrs, "u", root, max_bytes=10)
+    got = sorted((r["u"] or "", r["status"], r["full_text"], r["n_bytes"]) for r in res.collect())
+    assert got == sorted([
+        ("s3://bucket/terms/1.txt", "ok", "one", 3), ("s3://bucket/terms/1.txt", "ok", "one", 3),
+        ("s3://bucket/terms/big.txt", "too_large", None, 50), ("s3://bucket/terms/bad.txt", "undecodable", None, 2),
+        ("s3://bucket/terms/none.txt", "not_found", None, None), ("s3://bucket/terms", "not_found", None, None),
+        ("s3://nobucket/terms/1.txt", "no_store", None, None), ("oops", "malformed", None, None), ("", "missing_pointer", None, None),
+    ])
+    bulk = cc.resolve_files(ptrs, "u", root, max_rows=None, max_bytes=10)
+    assert bulk.exceptAll(res).count() == 0
+
+
+def test_read_errors_become_statuses():
+    import errno
+
+    from claimlake.sources.objects import classify_error
+
+    assert classify_error(PermissionError(errno.EACCES, "x")) == "access_denied"
+    assert classify_error(IsADirectoryError(errno.EISDIR, "x")) == "error:EISDIR"
+    assert classify_error(RuntimeError("boom")) == "error:RuntimeError"
