@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.functions import text as T
-from claimlake.plans.tables import TARGET_FILE_BYTES, bucket_count, replace_bucketed_table
+from claimlake.plans.tables import TARGET_FILE_BYTES, TableWriter, bucket_count
 
 STORE_COLUMNS = ("bucket", "key", "content", "n_bytes")
 
@@ -89,6 +89,7 @@ def write_store(
     size_col: str = "n_bytes",
     target_file_bytes: int = TARGET_FILE_BYTES,
     num_buckets: int | None = None,
+    writer: TableWriter | None = None,
 ) -> dict:
     """Write store rows as a table bucketed and sorted by ``key``; keys made unique first.
 
@@ -107,9 +108,10 @@ def write_store(
         if not order:
             raise ValueError("store rows repeat a key; pass `order` to choose the copy to keep")
         rows = keep_latest(rows, order)
-    floor = rows.sparkSession.sparkContext.defaultParallelism
-    n = num_buckets or max(min(floor, max(int(keys), 1)), bucket_count(int(total), target_file_bytes))
-    replace_bucketed_table(rows.select(*STORE_COLUMNS), table, "key", n)
+    writer = writer or TableWriter(target_file_bytes)
+    floor = min(rows.sparkSession.sparkContext.defaultParallelism, max(int(keys), 1))
+    n = num_buckets or max(floor, bucket_count(int(total), writer.target_file_bytes))
+    writer.replace_bucketed(rows.select(*STORE_COLUMNS), table, "key", n)
     return {"keys": int(keys), "bytes": int(total), "max_copies": int(max_copies), "buckets": n}
 
 
@@ -136,6 +138,7 @@ def offload_text(
     text_col: str = "terms",
     order: list[str] | None = None,
     target_file_bytes: int = TARGET_FILE_BYTES,
+    writer: TableWriter | None = None,
 ) -> DataFrame:
     """Write the texts of ``df`` to ``store_table`` and return ``df`` with pointers instead.
 
@@ -144,7 +147,7 @@ def offload_text(
     written before the result is returned, so no pointer can exist without its object.
     """
     rows = payload(df, bucket=bucket, prefix=prefix, id_col=id_col, text_col=text_col, keep=tuple(order or ()))
-    write_store(rows, store_table, order=order, target_file_bytes=target_file_bytes)
+    write_store(rows, store_table, order=order, target_file_bytes=target_file_bytes, writer=writer)
     return replace_with_pointer(df, bucket=bucket, prefix=prefix, id_col=id_col, text_col=text_col)
 
 

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from claimlake.operators import claimcheck as cc
 from claimlake.operators import quality as q
-from claimlake.plans.tables import Lake, publish, replace_table
+from claimlake.plans.tables import Lake
 from claimlake.sources.landing import SOURCE_FILE, read_landing_csv
-from claimlake.sources.rules import parse_rules
+from claimlake.sources.rules import load_rules, parse_rules
 
 INGESTED_AT = "_ingestion_timestamp"
 SILVER_AT = "_silver_processed_at"
@@ -66,8 +66,8 @@ def to_bronze(
     rows = cc.payload(
         staged, bucket=lake.terms_bucket, prefix=lake.terms_prefix, keep=(SOURCE_FILE, _ORD), size_col=_BYTES
     )
-    cc.write_store(rows, lake.store_name, order=[SOURCE_FILE, _ORD], target_file_bytes=lake.target_file_bytes)
-    replace_table(bronze_frame(staged, lake, run_ts), lake.bronze_name, target_file_bytes=lake.target_file_bytes)
+    cc.write_store(rows, lake.store_name, order=[SOURCE_FILE, _ORD], writer=lake.writer)
+    lake.writer.replace(bronze_frame(staged, lake, run_ts), lake.bronze_name)
     return spark.table(lake.bronze_name)
 
 
@@ -84,23 +84,28 @@ def to_silver(
     lake: Lake,
     *,
     rules: Mapping | str | None = None,
+    rules_path: str | None = None,
     run_ts: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Bronze -> silver (clean rows) and quarantine (failed rows with every check column).
 
-    Both writes scan bronze; the split filters are pushed into the Parquet scan.
+    Rules come from ``rules`` (dict or JSON text), else from the document at ``rules_path``,
+    else the default (id and terms not NULL). Both writes scan bronze; the split filters are
+    pushed into the Parquet scan.
     """
     lake.create(spark)
+    if rules is None and rules_path is not None:
+        rules = load_rules(spark, rules_path)
     clean, failed, _ = silver_frames(spark.table(lake.bronze_name), rules, run_ts or utc_now())
-    replace_table(clean, lake.silver_name, target_file_bytes=lake.target_file_bytes)
-    replace_table(failed, lake.quarantine_name, target_file_bytes=lake.target_file_bytes)
+    lake.writer.replace(clean, lake.silver_name)
+    lake.writer.replace(failed, lake.quarantine_name)
     return spark.table(lake.silver_name), spark.table(lake.quarantine_name)
 
 
 def to_gold(spark: SparkSession, lake: Lake) -> DataFrame:
     """Full-refresh copy of silver into the gold database."""
     lake.create(spark)
-    return publish(spark, lake.silver_name, lake.gold_name)
+    return lake.writer.publish(spark, lake.silver_name, lake.gold_name)
 
 
 def run_batch(
@@ -109,11 +114,12 @@ def run_batch(
     lake: Lake,
     *,
     rules: Mapping | str | None = None,
+    rules_path: str | None = None,
     run_ts: str | None = None,
 ) -> DataFrame:
     """Landing -> bronze -> silver/quarantine -> gold, each step only after the one before."""
     to_bronze(spark, landing, lake, run_ts=run_ts)
-    to_silver(spark, lake, rules=rules, run_ts=run_ts)
+    to_silver(spark, lake, rules=rules, rules_path=rules_path, run_ts=run_ts)
     return to_gold(spark, lake)
 
 
@@ -137,3 +143,30 @@ def resolve_gold(
         max_rows=max_rows,
         max_bytes=max_bytes,
     )
+
+
+LAYERS = ("bronze", "silver", "quarantine", "gold")
+
+
+def layer_table(lake: Lake, layer: str) -> str:
+    names = {"bronze": lake.bronze_name, "silver": lake.silver_name, "quarantine": lake.quarantine_name, "gold": lake.gold_name}
+    return names[layer]
+
+
+def preview(spark: SparkSession, lake: Lake, layer: str, n: int = 10, order_by: str | None = "id") -> DataFrame:
+    """``SELECT * FROM <layer> [ORDER BY id] LIMIT n``; ordering makes the sample repeatable."""
+    df = spark.table(layer_table(lake, layer))
+    return (df.orderBy(order_by) if order_by else df).limit(n)
+
+
+def register_resolved_view(
+    spark: SparkSession, lake: Lake, view: str = "gold_with_text", *, max_bytes: int | None = cc.MAX_BYTES
+) -> str:
+    """Temp view ``id, terms, status, full_text, message, n_bytes`` over gold for SQL users.
+
+    ``SELECT ... FROM gold_with_text WHERE id IN (...)`` pushes the filter below the join to the
+    gold scan. The view is the bulk form (no row cap: a view cannot count the rows of the
+    query that will use it); use :func:`resolve_gold` for the capped inline form.
+    """
+    resolve_gold(spark, lake, max_rows=None, max_bytes=max_bytes).createOrReplaceTempView(view)
+    return view

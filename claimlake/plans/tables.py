@@ -38,6 +38,11 @@ class Lake:
     terms_bucket: str = TERMS_BUCKET
     terms_prefix: str = TERMS_PREFIX
     target_file_bytes: int = TARGET_FILE_BYTES
+    # None: Parquet tables in the session catalog. Otherwise the name of a configured
+    # table catalog (e.g. an Iceberg SparkCatalog); tables are then written with
+    # ``writeTo(...).using(table_format).createOrReplace()``.
+    catalog: str | None = None
+    table_format: str = "iceberg"
 
     @classmethod
     def fresh(cls, spark: SparkSession, tag: str = "lake", **kw) -> Lake:
@@ -51,7 +56,12 @@ class Lake:
         )
 
     def name(self, table: str, gold: bool = False) -> str:
-        return f"`{self.gold_database if gold else self.database}`.`{table}`"
+        db = f"`{self.gold_database if gold else self.database}`"
+        return f"`{self.catalog}`.{db}.`{table}`" if self.catalog else f"{db}.`{table}`"
+
+    @property
+    def writer(self) -> TableWriter:
+        return TableWriter(self.target_file_bytes, self.table_format if self.catalog else None)
 
     @property
     def bronze_name(self) -> str:
@@ -82,10 +92,57 @@ class Lake:
 
     def create(self, spark: SparkSession) -> Lake:
         for db in (self.database, self.gold_database):
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{self.root}/{db}.db'")
+            if self.catalog:
+                spark.sql(f"CREATE NAMESPACE IF NOT EXISTS `{self.catalog}`.`{db}`")
+            else:
+                spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{self.root}/{db}.db'")
         return self
 
 
+@dataclass(frozen=True)
+class TableWriter:
+    """How layer tables are replaced: Parquet in the session catalog, or a v2 table format."""
+
+    target_file_bytes: int = TARGET_FILE_BYTES
+    table_format: str | None = None
+
+    def replace(self, df: DataFrame, name: str) -> None:
+        if self.table_format is None:
+            replace_table(df, name, target_file_bytes=self.target_file_bytes)
+            return
+        (
+            df.writeTo(name)
+            .using(self.table_format)
+            .tableProperty("write.format.default", "parquet")
+            .tableProperty("write.target-file-size-bytes", str(self.target_file_bytes))
+            .createOrReplace()
+        )
+
+    def replace_bucketed(self, df: DataFrame, name: str, key: str, num_buckets: int) -> None:
+        if self.table_format is None:
+            replace_bucketed_table(df, name, key, num_buckets)
+            return
+        from pyspark.sql.functions import partitioning
+
+        (
+            df.repartition(num_buckets, key)
+            .sortWithinPartitions(key)
+            .writeTo(name)
+            .using(self.table_format)
+            .partitionedBy(partitioning.bucket(num_buckets, key))
+            .tableProperty("write.format.default", "parquet")
+            .tableProperty("write.distribution-mode", "hash")
+            .createOrReplace()
+        )
+
+    def publish(self, spark: SparkSession, source: str, target: str) -> DataFrame:
+        if self.table_format is None:
+            return publish(spark, source, target)
+        # One atomic commit: readers see the old gold until the new one is complete.
+        self.replace(spark.table(source), target)
+        return spark.table(target)
+
+
 def replace_table(df: DataFrame, name: str, *, target_file_bytes: int = TARGET_FILE_BYTES) -> None:
     """Create or replace a Parquet table with files near ``target_file_bytes``.
 

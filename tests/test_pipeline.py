@@ -100,3 +100,33 @@ def test_single_line_csv_is_splittable(spark, lake):
     whole = read_landing_csv(spark, root)
     assert with_split.drop("_source_file").exceptAll(whole.drop("_source_file")).count() == 0
     assert whole.count() == 2000
+
+
+def test_rules_path_preview_and_sql_view(spark, lake):
+    from claimlake.sources.rules import write_rules
+
+    root = _landing(spark, lake, SF001)
+    path = write_rules(spark, fx.RULES_THREE, lake.scratch("rules"))
+    m.run_batch(spark, root, lake, rules_path=path, run_ts=fx.RUN_TS)
+    assert "_dq_not_empty_terms" in spark.table(lake.quarantine_name).columns
+    for layer in m.LAYERS:
+        rows = m.preview(spark, lake, layer).collect()
+        assert len(rows) == 10
+    ids = [r["id"] for r in m.preview(spark, lake, "gold").collect()]
+    assert ids == sorted(ids)
+    view = m.register_resolved_view(spark, lake)
+    got = spark.sql(f"SELECT id, status, full_text FROM {view} WHERE id IN ('1', '2', '3')")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "In(id," in plan.replace(" ", "") or "EqualTo(id," in plan
+    raw = {r["id"]: r["terms"] for r in fx.landing_rows(fx.documents(spark, SF001)).collect()}
+    for r in got.collect():
+        assert r["status"] == "ok" and r["full_text"] == raw[r["id"]]
+
+
+def test_v2_catalog_names_and_writer():
+    from claimlake.plans.tables import Lake
+
+    lake = Lake(root="/x", catalog="ice", database="lake", gold_database="gold")
+    assert lake.gold_name == "`ice`.`gold`.`gold_data`"
+    assert lake.writer.table_format == "iceberg"
+    assert Lake(root="/x").writer.table_format is None
