@@ -38,6 +38,8 @@ def read_options(null_value: str = NULL_TOKEN, glob: str | None = CSV_GLOB, mult
         nullValue=null_value,
         recursiveFileLookup="true",
         inferSchema="false",
+        # Check every file's header against the schema instead of trusting column positions.
+        enforceSchema="false",
     )
     if glob:
         opts["pathGlobFilter"] = glob

@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from claimlake.operators import claimcheck as cc
 from claimlake.plans.medallion import _BYTES, _ORD, bronze_frame, silver_frames, utc_now
 from claimlake.plans.tables import Lake
-from claimlake.sources.landing import SOURCE_FILE, stream_landing_csv
+from claimlake.sources.landing import LANDING_COLUMNS, SOURCE_FILE, stream_landing_csv
 
 BATCH = "_batch_id"
 LAYERS = ("staged", "store", "bronze", "silver", "quarantine", "gold")
@@ -103,11 +103,13 @@ def start_stream(
     max_files_per_trigger: int | None = 1,
     available_now: bool = True,
     processing_time: str | None = None,
+    columns: tuple[str, ...] = LANDING_COLUMNS,
 ) -> tuple[StreamingQuery, StreamLake]:
     """Start the stream. ``available_now`` drains what has landed and stops; otherwise it
-    polls every ``processing_time``."""
+    polls every ``processing_time``. ``columns`` is the landing header (file streams need a
+    schema up front; every file's header is checked against it)."""
     layout = StreamLake(lake)
-    source = stream_landing_csv(spark, landing_root, max_files_per_trigger=max_files_per_trigger)
+    source = stream_landing_csv(spark, landing_root, columns=columns, max_files_per_trigger=max_files_per_trigger)
     writer = (
         source.writeStream.foreachBatch(lambda df, k: process_batch(df, k, layout, rules=rules, run_ts=run_ts))
         .option("checkpointLocation", layout.checkpoint)
@@ -128,10 +130,11 @@ def run_stream(
     rules: Mapping | str | None = None,
     run_ts: str | None = None,
     max_files_per_trigger: int | None = 1,
+    columns: tuple[str, ...] = LANDING_COLUMNS,
 ) -> StreamLake:
     """Drain every arrival now (``availableNow``), wait for the end, return the layout."""
     query, layout = start_stream(
-        spark, landing_root, lake, rules=rules, run_ts=run_ts, max_files_per_trigger=max_files_per_trigger
+        spark, landing_root, lake, rules=rules, run_ts=run_ts, max_files_per_trigger=max_files_per_trigger, columns=columns
     )
     query.awaitTermination()
     if query.exception() is not None:

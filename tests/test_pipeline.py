@@ -76,10 +76,10 @@ def test_stream_later_arrival_wins(spark, lake):
     root = f"{lake.root}/landing"
     first = spark.createDataFrame([("1", "old one"), ("2", "two")], "id string, terms string")
     write_landing_csv(first, f"{root}/a", files=1)
-    layout = arrivals.run_stream(spark, root, lake, run_ts=fx.RUN_TS)
+    layout = arrivals.run_stream(spark, root, lake, run_ts=fx.RUN_TS, columns=("id", "terms"))
     second = spark.createDataFrame([("1", "new one")], "id string, terms string")
     write_landing_csv(second, f"{root}/b", files=1)
-    arrivals.run_stream(spark, root, lake, run_ts=fx.RUN_TS)
+    arrivals.run_stream(spark, root, lake, run_ts=fx.RUN_TS, columns=("id", "terms"))
     store = layout.current_store(spark)
     got = {r["key"]: bytes(r["content"]).decode() for r in store.collect()}
     assert got == {"terms/1.txt": "new one", "terms/2.txt": "two"}
@@ -130,3 +130,14 @@ def test_v2_catalog_names_and_writer():
     assert lake.gold_name == "`ice`.`gold`.`gold_data`"
     assert lake.writer.table_format == "iceberg"
     assert Lake(root="/x").writer.table_format is None
+
+
+def test_mismatched_header_fails_loudly(spark, lake):
+    import pytest
+    from claimlake.sources.landing import write_landing_csv
+
+    root = f"{lake.root}/landing"
+    write_landing_csv(spark.createDataFrame([("1", "a")], "id string, terms string"), f"{root}/a", files=1)
+    write_landing_csv(spark.createDataFrame([("b", "2")], "terms string, id string"), f"{root}/b", files=1)
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_landing_csv(spark, root).collect()
