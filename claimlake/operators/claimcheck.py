@@ -223,10 +223,13 @@ def resolve_text(
     on = F.col("__jk") == F.col("__sk")
     if max_rows is not None:
         keys = [r[0] for r in parsed.filter(F.col("__jk").isNotNull()).select("__jk").distinct().collect()]
-        joined = parsed.join(F.broadcast(objects.filter(F.col("__sk").isin(keys))), on, "left")
+        hits = objects.filter(F.col("__sk").isin(keys))
+        if _bounded(store, keys, max_bytes, hot_broadcast_bytes):
+            hits = F.broadcast(hits)
+        joined = parsed.join(hits, on, "left")
     else:
         hot = hot_keys(parsed, "__jk", hot_fraction) if hot_fraction else []
-        if hot and (max_bytes is not None and len(hot) * max_bytes <= hot_broadcast_bytes or _fits(store, hot, hot_broadcast_bytes)):
+        if hot and _bounded(store, hot, max_bytes, hot_broadcast_bytes):
             is_hot = F.col("__jk").isin(hot)
             hot_part = parsed.filter(is_hot).join(F.broadcast(objects.filter(F.col("__sk").isin(hot))), on, "left")
             cold_part = parsed.filter(F.col("__jk").isNull() | ~is_hot).join(objects, on, "left")
@@ -301,8 +304,8 @@ def resolve_files(
     Any bucket folder under ``root`` is a store; a missing folder gives ``no_store``. Read
     problems become ``access_denied`` or ``error:<code>`` for that row. Each distinct pointer
     is fetched once (partial aggregation collapses repeats before the fetch stage); the
-    results join back on ``(bucket, key)`` - broadcast under the row cap (at most
-    ``max_rows * max_bytes`` bytes), a shuffle join otherwise.
+    results join back on ``(bucket, key)`` - broadcast under the row cap when
+    ``max_rows * max_bytes`` is within the broadcast limit, a shuffle join otherwise.
     """
     from claimlake.sources.objects import fetch_objects
 
@@ -314,8 +317,8 @@ def resolve_files(
     fetched = fetch_objects(keys, root, max_bytes).withColumn(
         "__sk", F.when(F.col("__err").isNull(), F.col("__k"))
     ).withColumnsRenamed({"__b": "__fb", "__k": "__fk"})
-    if max_rows is not None:
-        fetched = F.broadcast(fetched)
+    if max_rows is not None and max_bytes is not None and max_rows * max_bytes <= HOT_BROADCAST_BYTES:
+        fetched = F.broadcast(fetched)  # at most max_rows objects of at most max_bytes each
     on = (F.col("__b") == F.col("__fb")) & (F.col("__k") == F.col("__fk"))
     joined = parsed.join(fetched, on, "left").drop("__fb", "__fk")
     return _finish(joined, u, None, max_bytes, text_col, with_errors=True)
@@ -335,8 +338,12 @@ def hot_keys(df: DataFrame, key: str, fraction: float) -> list:
     return [r[0] for r in counts.filter(F.col("__c") >= threshold).select(key).collect()]
 
 
-def _fits(store: DataFrame, keys: list, limit: int) -> bool:
-    """Whether the objects of ``keys`` together hold at most ``limit`` bytes (reads sizes only)."""
+def _bounded(store: DataFrame, keys: list, max_bytes: int | None, limit: int) -> bool:
+    """Whether the objects of ``keys`` may be broadcast: proven by ``len(keys) * max_bytes``
+    (bodies over ``max_bytes`` are never selected), else checked by summing their sizes with a
+    scan that reads only ``key`` and ``n_bytes`` and pushes the key list into the store."""
+    if max_bytes is not None and len(keys) * max_bytes <= limit:
+        return True
     total = store.filter(F.col("key").isin(keys)).agg(F.sum("n_bytes")).first()[0]
     return (total or 0) <= limit
 

@@ -150,3 +150,17 @@ def test_read_errors_become_statuses():
     assert classify_error(PermissionError(errno.EACCES, "x")) == "access_denied"
     assert classify_error(IsADirectoryError(errno.EISDIR, "x")) == "error:EISDIR"
     assert classify_error(RuntimeError("boom")) == "error:RuntimeError"
+
+
+def test_capped_path_without_size_cap_checks_broadcast_size(spark, lake):
+    store = _store(spark, lake, [("a", b"x" * 100), ("b", b"y" * 100)])
+    ptrs = spark.createDataFrame([("s3://bucket/a",), ("s3://bucket/b",)], "u string")
+    small = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_bytes=None, hot_broadcast_bytes=1000)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    with_limit = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_bytes=None, hot_broadcast_bytes=150)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in with_limit._jdf.queryExecution().executedPlan().toString()
+        assert {r["status"] for r in with_limit.collect()} == {"ok"}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
