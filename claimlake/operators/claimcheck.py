@@ -81,6 +81,26 @@ def keep_latest(rows: DataFrame, order: list[str]) -> DataFrame:
     return rows.join(winners, ["key", *order], "left_semi")
 
 
+def unique_keys(rows: DataFrame, order: list[str] | None, size_col: str = "n_bytes") -> tuple[DataFrame, dict]:
+    """``rows`` made unique on ``key`` (greatest ``order`` wins) plus stats (keys, bytes, copies).
+
+    One small aggregate over ``key`` and the size column tells whether any key repeats; the
+    de-dup join (:func:`keep_latest`) only runs when one does.
+    """
+    stats = (
+        rows.groupBy("key")
+        .agg(F.count(F.lit(1)).alias("c"), F.max(size_col).alias("b"))
+        .agg(F.max("c").alias("max_copies"), F.sum("b").alias("bytes"), F.count(F.lit(1)).alias("keys"))
+        .first()
+    )
+    info = {k: int(stats[k] or 0) for k in ("keys", "bytes", "max_copies")}
+    if info["max_copies"] > 1:
+        if not order:
+            raise ValueError("store rows repeat a key; pass `order` to choose the copy to keep")
+        rows = keep_latest(rows, order)
+    return rows, info
+
+
 def write_store(
     rows: DataFrame,
     table: str,
@@ -97,22 +117,12 @@ def write_store(
     and how many bytes the store holds; the bucket count follows from the bytes. The de-dup
     join only runs when a key actually repeats.
     """
-    stats = (
-        rows.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("c"), F.max(size_col).alias("b"))
-        .agg(F.max("c").alias("max_copies"), F.sum("b").alias("bytes"), F.count(F.lit(1)).alias("keys"))
-        .first()
-    )
-    max_copies, total, keys = (stats["max_copies"] or 0), (stats["bytes"] or 0), (stats["keys"] or 0)
-    if max_copies > 1:
-        if not order:
-            raise ValueError("store rows repeat a key; pass `order` to choose the copy to keep")
-        rows = keep_latest(rows, order)
+    rows, info = unique_keys(rows, order, size_col)
     writer = writer or TableWriter(target_file_bytes)
-    floor = min(rows.sparkSession.sparkContext.defaultParallelism, max(int(keys), 1))
-    n = num_buckets or max(floor, bucket_count(int(total), writer.target_file_bytes))
+    floor = min(rows.sparkSession.sparkContext.defaultParallelism, max(info["keys"], 1))
+    n = num_buckets or max(floor, bucket_count(info["bytes"], writer.target_file_bytes))
     writer.replace_bucketed(rows.select(*STORE_COLUMNS), table, "key", n)
-    return {"keys": int(keys), "bytes": int(total), "max_copies": int(max_copies), "buckets": n}
+    return dict(info, buckets=n)
 
 
 def replace_with_pointer(

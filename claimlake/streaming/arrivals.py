@@ -76,7 +76,7 @@ def process_batch(
     def put(df: DataFrame, layer: str) -> DataFrame:
         path = layout.batch_path(layer, batch_id)
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     staged = put(
         batch.withColumns({_ORD: F.monotonically_increasing_id(), _BYTES: F.octet_length("terms").cast("bigint")}),
@@ -85,7 +85,8 @@ def process_batch(
     rows = cc.payload(
         staged, bucket=lake.terms_bucket, prefix=lake.terms_prefix, keep=(SOURCE_FILE, _ORD), size_col=_BYTES
     )
-    put(cc.keep_latest(rows, [SOURCE_FILE, _ORD]).select(*cc.STORE_COLUMNS), "store")
+    unique, _ = cc.unique_keys(rows, [SOURCE_FILE, _ORD])
+    put(unique.select(*cc.STORE_COLUMNS), "store")
     bronze = put(bronze_frame(staged, lake, ts), "bronze")
     clean, failed, _ = silver_frames(bronze, rules, ts)
     silver = put(clean, "silver")
