@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from claimlake.functions import text as T
 from claimlake.plans.tables import TARGET_FILE_BYTES, TableWriter, bucket_count
+from claimlake.session import default_parallelism
 
 STORE_COLUMNS = ("bucket", "key", "content", "n_bytes")
 
@@ -119,7 +120,7 @@ def write_store(
     """
     rows, info = unique_keys(rows, order, size_col)
     writer = writer or TableWriter(target_file_bytes)
-    floor = min(rows.sparkSession.sparkContext.defaultParallelism, max(info["keys"], 1))
+    floor = min(default_parallelism(rows.sparkSession), max(info["keys"], 1))
     n = num_buckets or max(floor, bucket_count(info["bytes"], writer.target_file_bytes))
     writer.replace_bucketed(rows.select(*STORE_COLUMNS), table, "key", n)
     return dict(info, buckets=n)

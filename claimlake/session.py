@@ -29,19 +29,37 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) do we create one and register it
-    as the checkpoint dir, so that later calls agree.
+    A cluster names it; only when it is unset in local mode (tests) do we create one and
+    register it as the checkpoint dir, so that later calls agree. On a cluster without it we
+    refuse: a driver-local temporary folder is not visible to executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. a Connect session)
+            root = None
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if master and not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="claimlake-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+            root = spark.sparkContext.getCheckpointDir() or root
+        except Exception:  # noqa: BLE001
+            pass
     return root.rstrip("/")
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (``defaultParallelism``), with a conf fallback."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext handle
+        return int(spark.conf.get("spark.default.parallelism", None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared root (never reused, never cleared)."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
