@@ -85,7 +85,11 @@ def main() -> None:
     times["stream_pipeline"] = round(time.perf_counter() - t0, 3)
 
     value = round(sum(times[k] for k in HEADLINE), 3)
-    sf = sf_dir.rsplit("sf", 1)[-1] if "sf" in os.path.basename(sf_dir) else sf_dir
+    name = os.path.basename(sf_dir)
+    try:
+        sf: float | str = float(name[2:]) if name.startswith("sf") else sf_dir
+    except ValueError:
+        sf = sf_dir
     print(
         json.dumps(
             {

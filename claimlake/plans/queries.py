@@ -27,7 +27,6 @@ from claimlake.streaming import arrivals
 Query = Callable[[SparkSession, str], DataFrame]
 
 MEASURES = ["character_length", "utf8_byte_length", "exceeds_redshift_varchar_65535_bytes"]
-BRONZE_COLS = ["id", "terms", *MEASURES, "_ingestion_timestamp", "_source_file"]
 FEW_IDS = ["1", "2", "3"]
 
 

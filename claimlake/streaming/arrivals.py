@@ -27,7 +27,7 @@ from claimlake.plans.tables import Lake
 from claimlake.sources.landing import LANDING_COLUMNS, SOURCE_FILE, stream_landing_csv
 
 BATCH = "_batch_id"
-LAYERS = ("staged", "store", "bronze", "silver", "quarantine", "gold")
+LAYERS = ("staged", "store", "bronze", "silver", "quarantine", "gold")  # folders under lake.root/stream
 
 
 @dataclass(frozen=True)
