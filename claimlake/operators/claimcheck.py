@@ -70,35 +70,59 @@ def payload(
     )
 
 
-def keep_latest(rows: DataFrame, order: list[str]) -> DataFrame:
+# Bytes per repeated key assumed when sizing the broadcast of de-dup winners.
+WINNER_ROW_BYTES = 256
+
+
+def _winners(rows: DataFrame, order: list[str], repeated_only: bool = False) -> DataFrame:
+    """``(key, _w)``: the greatest ``order`` struct per key, from a partial (map-side) aggregate
+    over narrow columns, so a key holding a third of all rows costs one row per map task."""
+    per_key = rows.select("key", *order).groupBy("key").agg(
+        F.max(F.struct(*[F.col(c) for c in order])).alias("_w"), F.count(F.lit(1)).alias("_c")
+    )
+    if repeated_only:
+        per_key = per_key.filter(F.col("_c") > 1)
+    return per_key.select("key", "_w")
+
+
+def keep_latest(rows: DataFrame, order: list[str], repeated_keys: int | None = None) -> DataFrame:
     """One row per ``key``: the one with the greatest ``order`` tuple ("the last write wins").
 
-    The winners are found on narrow columns with a partial (map-side) aggregate, so a key that
-    holds a third of all rows costs one row per map task; the semi join is on the unique
-    ``(key, order...)`` tuple, so no join partition is skewed either.
+    When the number of repeated keys is known and their winners fit the broadcast limit, the
+    winners of just those keys are broadcast and each row is kept or dropped map-side: the
+    rows (with their text) are not shuffled at all. Otherwise the rows are semi-joined with
+    all winners on the unique ``(key, order...)`` tuple, so no join partition is skewed.
     """
-    w = F.max(F.struct(*[F.col(c) for c in order])).alias("_w")
-    winners = rows.select("key", *order).groupBy("key").agg(w).select("key", *[F.col(f"_w.{c}").alias(c) for c in order])
+    if repeated_keys is not None and repeated_keys * WINNER_ROW_BYTES <= HOT_BROADCAST_BYTES:
+        winners = F.broadcast(_winners(rows, order, repeated_only=True))
+        mine = F.struct(*[F.col(c) for c in order])
+        return rows.join(winners, "key", "left").filter(F.col("_w").isNull() | (mine == F.col("_w"))).drop("_w")
+    winners = _winners(rows, order).select("key", *[F.col(f"_w.{c}").alias(c) for c in order])
     return rows.join(winners, ["key", *order], "left_semi")
 
 
 def unique_keys(rows: DataFrame, order: list[str] | None, size_col: str = "n_bytes") -> tuple[DataFrame, dict]:
     """``rows`` made unique on ``key`` (greatest ``order`` wins) plus stats (keys, bytes, copies).
 
-    One small aggregate over ``key`` and the size column tells whether any key repeats; the
-    de-dup join (:func:`keep_latest`) only runs when one does.
+    One small aggregate over ``key`` and the size column tells whether any key repeats and how
+    many do; the de-dup (:func:`keep_latest`) only runs when one does.
     """
     stats = (
         rows.groupBy("key")
         .agg(F.count(F.lit(1)).alias("c"), F.max(size_col).alias("b"))
-        .agg(F.max("c").alias("max_copies"), F.sum("b").alias("bytes"), F.count(F.lit(1)).alias("keys"))
+        .agg(
+            F.max("c").alias("max_copies"),
+            F.sum("b").alias("bytes"),
+            F.count(F.lit(1)).alias("keys"),
+            F.count(F.when(F.col("c") > 1, 1)).alias("repeated_keys"),
+        )
         .first()
     )
-    info = {k: int(stats[k] or 0) for k in ("keys", "bytes", "max_copies")}
+    info = {k: int(stats[k] or 0) for k in ("keys", "bytes", "max_copies", "repeated_keys")}
     if info["max_copies"] > 1:
         if not order:
             raise ValueError("store rows repeat a key; pass `order` to choose the copy to keep")
-        rows = keep_latest(rows, order)
+        rows = keep_latest(rows, order, repeated_keys=info["repeated_keys"])
     return rows, info
 
 

@@ -164,3 +164,32 @@ def test_capped_path_without_size_cap_checks_broadcast_size(spark, lake):
         assert {r["status"] for r in with_limit.collect()} == {"ok"}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bulk_plan_shuffles_only_the_pointer_side(spark, lake):
+    """The plan used when the store is too big to broadcast: the bucketed store is read in
+    place (no Exchange above its scan); only the pointers are shuffled to its buckets."""
+    store = _store(spark, lake, [(f"terms/{i}.txt", b"t" * 10) for i in range(64)])
+    ptrs = spark.createDataFrame([(f"s3://bucket/terms/{i}.txt",) for i in range(64)], "u string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        res = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=None, hot_fraction=None)
+        plan = res._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+        store_side = plan[plan.index("SortMergeJoin"):]
+        # exactly one Exchange under the join: the pointer side
+        assert store_side.count("Exchange hashpartitioning") == 1
+        assert {r["status"] for r in res.collect()} == {"ok"}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keep_latest_broadcast_and_semi_join_agree(spark):
+    data = [("k", "f1", i) for i in range(50)] + [("k", "f2", 3), ("j", "f1", 9), ("i", "f0", 1), ("i", "f0", 2)]
+    rows = spark.createDataFrame(data, "key string, src string, ord int")
+    small = cc.keep_latest(rows, ["src", "ord"], repeated_keys=2)
+    big = cc.keep_latest(rows, ["src", "ord"])
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    want = {("k", "f2", 3), ("j", "f1", 9), ("i", "f0", 2)}
+    assert {tuple(r) for r in small.collect()} == want
+    assert {tuple(r) for r in big.collect()} == want
