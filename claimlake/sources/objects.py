@@ -3,9 +3,10 @@
 This is the second storage mode of the text store (the first is the store table written by
 ``operators.claimcheck.write_store``). Writing is one explicit ``mapInPandas`` stage whose
 file names depend only on the row (bucket, key), so a retried or speculative task rewrites
-the same files with the same bytes. Reading uses Spark's ``binaryFile`` source: sizes come
-from a scan that never selects ``content`` (file listing only), bodies from a second scan whose
-``length <= max_bytes`` filter is pushed into the source, so oversized files are never read.
+the same files with the same bytes. Reading uses Spark's ``binaryFile`` source: bodies come
+from a scan whose ``length <= max_bytes`` filter is pushed into the source, sizes of larger
+files from a scan that never selects ``content`` (file listing only), so oversized files are
+never read.
 """
 
 from __future__ import annotations
@@ -77,22 +78,30 @@ def list_object_files(spark: SparkSession, root: str) -> DataFrame:
 def read_object_files(
     spark: SparkSession, root: str, *, manifest: DataFrame | None = None, max_bytes: int | None = None
 ) -> DataFrame:
-    """Store rows (bucket, key, content, n_bytes) from object files.
+    """Store rows (bucket, key, content, n_bytes) from object files, without any shuffle.
 
-    Sizes come from ``manifest`` (bucket, key, n_bytes) when given, else from a listing scan
-    that does not read bodies. Bodies come from a ``binaryFile`` scan; with ``max_bytes`` its
-    ``length <= max_bytes`` filter is pushed into the source, so bodies over the cap are never
-    read (``content`` is NULL for them) while their true size is still reported.
+    A union of scans: bodies of files within ``max_bytes`` (the ``length`` filter is pushed
+    into the source), files over it from a listing that never reads them (``content`` NULL,
+    true size kept, so a resolve can say ``too_large``), and - from ``manifest`` - the empty
+    objects that Spark's file listing skips.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    if max_bytes is not None:
-        files = files.filter(F.col("length") <= max_bytes)
     bucket, key = _split_path(root)
-    bodies = files.select(bucket.alias("_b"), key.alias("_k"), "content")
-    sizes = (manifest if manifest is not None else list_object_files(spark, root)).select("bucket", "key", "n_bytes")
-    joined = sizes.join(bodies, (sizes["bucket"] == bodies["_b"]) & (sizes["key"] == bodies["_k"]), "left")
-    empty = F.when(F.col("n_bytes") == 0, F.unhex(F.lit("")))
-    return joined.select("bucket", "key", F.coalesce("content", empty).alias("content"), "n_bytes")
+    cols = [bucket.alias("bucket"), key.alias("key")]
+    if max_bytes is None:
+        out = files.select(*cols, "content", F.col("length").alias("n_bytes"))
+    else:
+        small = files.filter(F.col("length") <= max_bytes).select(*cols, "content", F.col("length").alias("n_bytes"))
+        large = files.filter(F.col("length") > max_bytes).select(
+            *cols, F.lit(None).cast("binary").alias("content"), F.col("length").alias("n_bytes")
+        )
+        out = small.unionByName(large)
+    if manifest is not None:
+        empty = manifest.filter(F.col("n_bytes") == 0).select(
+            "bucket", "key", F.unhex(F.lit("")).alias("content"), F.col("n_bytes").cast("bigint").alias("n_bytes")
+        )
+        out = out.unionByName(empty)
+    return out
 
 
 FETCH_SCHEMA = "__b string, __k string, __err string, __sn bigint, __sc binary"
