@@ -170,3 +170,44 @@ def register_resolved_view(
     """
     resolve_gold(spark, lake, max_rows=None, max_bytes=max_bytes).createOrReplaceTempView(view)
     return view
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def register_text_function(
+    spark: SparkSession, lake: Lake, name: str = "get_text_from_s3", *, max_bytes: int = cc.MAX_BYTES
+) -> str:
+    """SQL function ``<name>(s3_uri STRING) RETURNS STRING``: the text behind a pointer, or a
+    message saying why not (same wording and order of checks as :func:`resolve_text`).
+
+    ``SELECT id, terms, get_text_from_s3(terms) AS full_text FROM gold WHERE id IN (...)``:
+    Catalyst turns the correlated lookup into a left outer join with the store; with the store
+    bucketed on ``key`` the store side is read in place and only the pointers are shuffled.
+    A function cannot see how many rows its query asks for, so there is no row cap here, and
+    it reads the whole store; for a handful of rows :func:`resolve_gold` (keys pushed into the
+    store scan) is far cheaper. Registered as a temporary function of the session.
+    """
+    from claimlake.functions.text import POINTER_PATTERN, POINTER_WHITESPACE
+
+    trimmed = f"btrim(s3_uri, {_sql_str(POINTER_WHITESPACE)})"
+    part = lambda i: f"regexp_extract({trimmed}, {_sql_str(POINTER_PATTERN)}, {i})"
+    too_large = (
+        f"concat({_sql_str(cc.MSG_TOO_LARGE[0])}, format_number(n_bytes, 0), "
+        f"{_sql_str(cc.MSG_TOO_LARGE[1].format(limit=f'{max_bytes:,}'))})"
+    )
+    body = f"""
+      CASE WHEN s3_uri IS NULL OR s3_uri = '' THEN {_sql_str(cc.MSG_MISSING)}
+           WHEN {part(1)} = '' THEN concat({_sql_str(cc.MSG_MALFORMED[0])}, s3_uri, {_sql_str(cc.MSG_MALFORMED[1])})
+           WHEN {part(1)} <> {_sql_str(lake.terms_bucket)}
+             THEN concat({_sql_str(cc.MSG_NO_STORE[0])}, {part(1)}, {_sql_str(cc.MSG_NO_STORE[1])})
+           ELSE coalesce(
+             (SELECT max(CASE WHEN n_bytes > {int(max_bytes)} THEN {too_large}
+                              WHEN NOT is_valid_utf8(CAST(content AS STRING)) THEN {_sql_str(cc.MSG_UNDECODABLE)}
+                              ELSE CAST(content AS STRING) END)
+              FROM {lake.store_name} WHERE key = {part(2)}),
+             {_sql_str(cc.MSG_NOT_FOUND)})
+      END"""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s3_uri STRING) RETURNS STRING RETURN {body}")
+    return name

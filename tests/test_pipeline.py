@@ -141,3 +141,22 @@ def test_mismatched_header_fails_loudly(spark, lake):
     write_landing_csv(spark.createDataFrame([("b", "2")], "terms string, id string"), f"{root}/b", files=1)
     with pytest.raises(Exception, match="(?i)header|schema"):
         read_landing_csv(spark, root).collect()
+
+
+def test_sql_text_function_matches_resolve(spark, lake):
+    root = _landing(spark, lake, SF001)
+    m.run_batch(spark, root, lake, run_ts=fx.RUN_TS)
+    fn = m.register_text_function(spark, lake, max_bytes=2000)
+    got = spark.sql(f"SELECT id, terms, {fn}(terms) AS full_text FROM {lake.gold_name}")
+    want = m.resolve_gold(spark, lake, max_rows=None, max_bytes=2000).select(
+        "id", "terms", F.coalesce("full_text", "message").alias("full_text")
+    )
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    odd = spark.createDataFrame([(None,), ("",), ("  nope  ",), ("s3://other/k",), ("s3://terms-bucket/terms/x.txt",)], "u string")
+    odd.createOrReplaceTempView("odd_ptrs")
+    msgs = [r[0] for r in spark.sql(f"SELECT {fn}(u) FROM odd_ptrs").collect()]
+    from claimlake.operators import claimcheck as cc
+
+    res = cc.resolve_text(odd, "u", spark.table(lake.store_name), bucket=lake.terms_bucket, max_bytes=2000)
+    assert sorted(msgs, key=str) == sorted((r["message"] for r in res.collect()), key=str)
