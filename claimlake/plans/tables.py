@@ -137,7 +137,7 @@ class TableWriter:
 
     def publish(self, spark: SparkSession, source: str, target: str) -> DataFrame:
         if self.table_format is None:
-            return publish(spark, source, target)
+            return publish(spark, source, target, self.target_file_bytes)
         # One atomic commit: readers see the old gold until the new one is complete.
         self.replace(spark.table(source), target)
         return spark.table(target)
@@ -146,10 +146,16 @@ class TableWriter:
 def replace_table(df: DataFrame, name: str, *, target_file_bytes: int = TARGET_FILE_BYTES) -> None:
     """Create or replace a Parquet table with files near ``target_file_bytes``.
 
-    A REBALANCE lets AQE cut the output into partitions of the advisory size, so a table of
-    narrow rows does not end up as thousands of small files.
+    A REBALANCE lets AQE cut the output into partitions of the advisory size (merging small
+    ones, splitting large ones), so a table of narrow rows does not end up as thousands of
+    small files. ``parallelismFirst`` is off for the write: with it on, AQE ignores the
+    advisory size and only keeps partitions above 1 MB.
     """
-    with sql_conf(df.sparkSession, spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_file_bytes)):
+    with sql_conf(
+        df.sparkSession,
+        spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_file_bytes),
+        spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
+    ):
         df.hint("rebalance").write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
@@ -174,7 +180,7 @@ def replace_bucketed_table(df: DataFrame, name: str, key: str, num_buckets: int)
     )
 
 
-def publish(spark: SparkSession, source: str, target: str) -> DataFrame:
+def publish(spark: SparkSession, source: str, target: str, target_file_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
     """Full-refresh copy of ``source`` into ``target``.
 
     The copy is built under a staging name first; only when it is complete is the old table
@@ -184,7 +190,12 @@ def publish(spark: SparkSession, source: str, target: str) -> DataFrame:
     db, _, table = target.rpartition(".")
     staging = f"{db}.`{table.strip('`')}__staging`" if db else f"`{table.strip('`')}__staging`"
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    spark.sql(f"CREATE TABLE {staging} USING parquet AS SELECT /*+ REBALANCE */ * FROM {source}")
+    with sql_conf(
+        spark,
+        spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_file_bytes),
+        spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
+    ):
+        spark.sql(f"CREATE TABLE {staging} USING parquet AS SELECT /*+ REBALANCE */ * FROM {source}")
     spark.sql(f"DROP TABLE IF EXISTS {target}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
     return spark.table(target)
