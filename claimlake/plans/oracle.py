@@ -145,4 +145,8 @@ ORACLE: dict[str, str] = {
         {_resolved(cc.MAX_BYTES, "gold", "terms", "id, terms")}
         SELECT id, terms, status, full_text, message, n_bytes FROM r""",
     "stream_arrivals": f"{WITH} SELECT id, terms, {MEASURES}, _dir AS _source_dir FROM f1",
+    "resolve_files": f"{RESOLVE_FIXTURE} SELECT doc_id, u, status, full_text, message, n_bytes FROM r",
+    "get_text_sql": f"""{WITH}, {GOLD_STORE},
+        {_resolved(fx.STORE_MAX_BYTES, "gold", "terms", "id, terms")}
+        SELECT id, terms, coalesce(full_text, message) AS full_text FROM r""",
 }

@@ -314,6 +314,22 @@ def resolve_bulk(spark, sf_dir):
     return m.resolve_gold(spark, lake, max_rows=None)
 
 
+def resolve_files(spark, sf_dir):
+    """F3 pointers resolved against F4 written as object files (the file mode of the store)."""
+    lake = Lake.fresh(spark, "resfiles").create(spark)
+    root = f"{lake.root}/objects"
+    obj.write_object_files(fx.store_rows(fx.documents(spark, sf_dir)), root, lake.scratch("manifest"))
+    ptrs = fx.pointer_rows(fx.documents(spark, sf_dir))
+    return cc.resolve_files(ptrs, "u", root, max_rows=None, max_bytes=fx.STORE_MAX_BYTES)
+
+
+def get_text_sql(spark, sf_dir):
+    """``SELECT id, terms, get_text_from_s3(terms) AS full_text FROM gold`` through the SQL function."""
+    lake = _gold(spark, sf_dir, "sqlfn")
+    fn = m.register_text_function(spark, lake, f"get_text_{lake.database}", max_bytes=fx.STORE_MAX_BYTES)
+    return spark.sql(f"SELECT id, terms, {fn}(terms) AS full_text FROM {lake.gold_name}")
+
+
 def stream_arrivals(spark, sf_dir):
     lake, root = _landing(spark, sf_dir, "arrive")
     df = arrivals.stream_to_folder(spark, root, lake.scratch("arrivals"))
@@ -369,6 +385,8 @@ QUERIES: dict[str, Query] = {
         resolve_bulk,
         stream_arrivals,
         stream_pipeline,
+        resolve_files,
+        get_text_sql,
         source_to_bronze,
         medallion_end_to_end,
     )
