@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from claimlake.functions import text as T
 from claimlake.plans.tables import TARGET_FILE_BYTES, TableWriter, bucket_count
-from claimlake.session import default_parallelism
+from claimlake.session import default_parallelism, shared_root, sql_conf
 
 STORE_COLUMNS = ("bucket", "key", "content", "n_bytes")
 
@@ -237,8 +237,8 @@ def resolve_text(
     * ``max_rows`` (guardrail for inline use): the whole input is counted, bounded by
       ``limit(max_rows + 1)``; over the cap every row gets ``too_many`` and nothing is read.
       Under the cap the at most ``max_rows`` keys go into the store scan as an ``IN`` filter
-      (bucket and row-group pruning) and the hits, at most ``max_rows * max_bytes`` bytes,
-      are broadcast.
+      (bucket pruning, then Parquet row-group filtering); the hits, at most
+      ``max_rows * max_bytes`` bytes, are read at once and broadcast.
     * ``max_rows=None`` is the bulk path: a left join on ``key``; with the store bucketed on
       ``key`` only the pointer side is shuffled. Keys that hold at least ``hot_fraction`` of
       the pointers (so at most ``1 / hot_fraction`` keys) are split off and joined with a
@@ -260,7 +260,7 @@ def resolve_text(
         keys = [r[0] for r in parsed.filter(F.col("__jk").isNotNull()).select("__jk").distinct().collect()]
         hits = objects.filter(F.col("__sk").isin(keys))
         if _bounded(store, keys, max_bytes, hot_broadcast_bytes):
-            hits = F.broadcast(hits)
+            hits = F.broadcast(_fetch_hits(hits))
         joined = parsed.join(hits, on, "left")
     else:
         hot = hot_keys(parsed, "__jk", hot_fraction) if hot_fraction else []
@@ -373,6 +373,17 @@ def hot_keys(df: DataFrame, key: str, fraction: float) -> list:
     return [r[0] for r in counts.filter(F.col("__c") >= threshold).select(key).collect()]
 
 
+def _fetch_hits(hits: DataFrame) -> DataFrame:
+    """Read the (at most ``max_rows``) wanted objects now, with the bucketed scan kept on so the
+    ``key IN`` list prunes the store to the buckets that hold those keys (Spark would otherwise
+    drop the bucketed scan for a broadcast join and open every bucket file). The few rows are
+    kept with a reliable ``checkpoint`` in the shared checkpoint folder."""
+    spark = hits.sparkSession
+    shared_root(spark)  # makes sure a checkpoint folder is set (local mode only)
+    with sql_conf(spark, spark__sql__sources__bucketing__autoBucketedScan__enabled="false"):
+        return hits.checkpoint(eager=True)
+
+
 def _bounded(store: DataFrame, keys: list, max_bytes: int | None, limit: int) -> bool:
     """Whether the objects of ``keys`` may be broadcast: proven by ``len(keys) * max_bytes``
     (bodies over ``max_bytes`` are never selected), else checked by summing their sizes with a
