@@ -13,7 +13,9 @@ with one pass over sf0.001. Timed, in order, each forced to completion:
 * ``quarantine_summary`` failures per check
 * ``stream_pipeline``   the same layers as a file stream, one micro-batch per file
 
-``value`` is the sum of the four headline jobs (bronze, silver, gold, bulk resolve).
+``value`` is the sum of the four headline jobs (bronze, silver, gold, bulk resolve). The batch
+jobs run ``BENCH_REPEAT`` times (default 2), each time into a fresh lake, and each job reports
+its fastest run, to damp the noise of a shared machine; the stream runs once.
 """
 
 from __future__ import annotations
@@ -75,9 +77,13 @@ def main() -> None:
         lake, root = _landing(spark, warm_dir, "warm")
         _run(spark, lake, root, None)
 
-    lake, root = _landing(spark, sf_dir, "bench")
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
     times: dict[str, float] = {}
-    _run(spark, lake, root, times)
+    for _ in range(repeat):
+        lake, root = _landing(spark, sf_dir, "bench")
+        run: dict[str, float] = {}
+        _run(spark, lake, root, run)
+        times = {k: min(v, times.get(k, v)) for k, v in run.items()}
 
     slake = Lake.fresh(spark, "benchstream").create(spark)
     t0 = time.perf_counter()
