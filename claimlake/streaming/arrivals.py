@@ -59,6 +59,18 @@ class StreamLake:
         store = self.table(spark, "store", keep_batch=True)
         return cc.keep_latest(store, [BATCH]).select(*cc.STORE_COLUMNS)
 
+    def compact(self, spark: SparkSession) -> Lake:
+        """Rewrite the streamed layers into the batch layout of ``lake``: bronze, silver and
+        quarantine tables with right-sized files, the store as a bucketed table holding the
+        latest copy of each key, and gold published from silver. Afterwards
+        ``medallion.resolve_gold`` and the SQL function work on the streamed data."""
+        lake = self.lake.create(spark)
+        cc.write_store(self.current_store(spark), lake.store_name, writer=lake.writer)
+        for layer, name in (("bronze", lake.bronze_name), ("silver", lake.silver_name), ("quarantine", lake.quarantine_name)):
+            lake.writer.replace(self.table(spark, layer), name)
+        lake.writer.publish(spark, lake.silver_name, lake.gold_name)
+        return lake
+
 
 def process_batch(
     batch: DataFrame,

@@ -189,3 +189,29 @@ def test_target_file_size_steers_file_count(spark, lake):
     big = len(spark.table(lake.name("big_files")).inputFiles())
     small = len(spark.table(lake.name("small_files")).inputFiles())
     assert big == 1 and small >= 4
+
+
+def test_stream_compacts_into_batch_layout(spark, lake):
+    root = _landing(spark, lake, SF001)
+    layout = arrivals.run_stream(spark, root, lake, run_ts=fx.RUN_TS)
+    layout.compact(spark)
+    res = m.resolve_gold(spark, lake, ids=["1", "2", "3"])
+    raw = {r["id"]: r["terms"] for r in fx.landing_rows(fx.documents(spark, SF001)).collect()}
+    got = {r["id"]: r["full_text"] for r in res.collect()}
+    assert got and all(got[i] == raw[i] for i in got)
+    assert spark.table(lake.gold_name).count() == layout.table(spark, "gold").count()
+    assert "_batch_id" not in spark.table(lake.bronze_name).columns
+
+
+def test_cli_jobs_in_order(spark, lake):
+    from claimlake import cli
+    from claimlake.sources.rules import write_rules
+
+    root = _landing(spark, lake, SF001)
+    rules = write_rules(spark, fx.RULES_THREE, lake.scratch("rules"))
+    base = ["--root", lake.root, "--database", lake.database, "--gold-database", lake.gold_database]
+    assert cli.main(["bronze", "--landing", root, *base]) == 0
+    assert cli.main(["silver", "--rules", rules, *base]) == 0
+    assert cli.main(["gold", *base]) == 0
+    assert spark.table(lake.gold_name).count() == spark.table(lake.silver_name).count() > 0
+    assert "_dq_not_empty_terms" in spark.table(lake.quarantine_name).columns
