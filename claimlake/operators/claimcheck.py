@@ -70,8 +70,8 @@ def payload(
     )
 
 
-# Bytes per repeated key assumed when sizing the broadcast of de-dup winners.
-WINNER_ROW_BYTES = 256
+# Per-row overhead added to the measured width of a de-dup winner row (key + order values).
+WINNER_ROW_OVERHEAD = 64
 
 
 def _winners(rows: DataFrame, order: list[str], repeated_only: bool = False) -> DataFrame:
@@ -85,15 +85,22 @@ def _winners(rows: DataFrame, order: list[str], repeated_only: bool = False) ->
     return per_key.select("key", "_w")
 
 
-def keep_latest(rows: DataFrame, order: list[str], repeated_keys: int | None = None) -> DataFrame:
+def keep_latest(
+    rows: DataFrame, order: list[str], repeated_keys: int | None = None, row_bytes: int | None = None
+) -> DataFrame:
     """One row per ``key``: the one with the greatest ``order`` tuple ("the last write wins").
 
-    When the number of repeated keys is known and their winners fit the broadcast limit, the
-    winners of just those keys are broadcast and each row is kept or dropped map-side: the
-    rows (with their text) are not shuffled at all. Otherwise the rows are semi-joined with
-    all winners on the unique ``(key, order...)`` tuple, so no join partition is skewed.
+    When the number of repeated keys and the widest winner row (``row_bytes``) are known and
+    the winners fit the broadcast limit, the winners of just those keys are broadcast and each
+    row is kept or dropped map-side: the rows (with their text) are not shuffled at all.
+    Otherwise the rows are semi-joined with all winners on the unique ``(key, order...)``
+    tuple, so no join partition is skewed.
     """
-    if repeated_keys is not None and repeated_keys * WINNER_ROW_BYTES <= HOT_BROADCAST_BYTES:
+    if (
+        repeated_keys is not None
+        and row_bytes is not None
+        and repeated_keys * (row_bytes + WINNER_ROW_OVERHEAD) <= HOT_BROADCAST_BYTES
+    ):
         winners = F.broadcast(_winners(rows, order, repeated_only=True))
         mine = F.struct(*[F.col(c) for c in order])
         return rows.join(winners, "key", "left").filter(F.col("_w").isNull() | (mine == F.col("_w"))).drop("_w")
@@ -107,22 +114,26 @@ def unique_keys(rows: DataFrame, order: list[str] | None, size_col: str = "n_byt
     One small aggregate over ``key`` and the size column tells whether any key repeats and how
     many do; the de-dup (:func:`keep_latest`) only runs when one does.
     """
+    width = F.octet_length("key")
+    for c in order or []:
+        width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
     stats = (
         rows.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("c"), F.max(size_col).alias("b"))
+        .agg(F.count(F.lit(1)).alias("c"), F.max(size_col).alias("b"), F.max(width).alias("w"))
         .agg(
             F.max("c").alias("max_copies"),
             F.sum("b").alias("bytes"),
             F.count(F.lit(1)).alias("keys"),
             F.count(F.when(F.col("c") > 1, 1)).alias("repeated_keys"),
+            F.max(F.when(F.col("c") > 1, F.col("w"))).alias("row_bytes"),
         )
         .first()
     )
-    info = {k: int(stats[k] or 0) for k in ("keys", "bytes", "max_copies", "repeated_keys")}
+    info = {k: int(stats[k] or 0) for k in ("keys", "bytes", "max_copies", "repeated_keys", "row_bytes")}
     if info["max_copies"] > 1:
         if not order:
             raise ValueError("store rows repeat a key; pass `order` to choose the copy to keep")
-        rows = keep_latest(rows, order, repeated_keys=info["repeated_keys"])
+        rows = keep_latest(rows, order, repeated_keys=info["repeated_keys"], row_bytes=info["row_bytes"])
     return rows, info
 
 

@@ -187,7 +187,7 @@ def test_bulk_plan_shuffles_only_the_pointer_side(spark, lake):
 def test_keep_latest_broadcast_and_semi_join_agree(spark):
     data = [("k", "f1", i) for i in range(50)] + [("k", "f2", 3), ("j", "f1", 9), ("i", "f0", 1), ("i", "f0", 2)]
     rows = spark.createDataFrame(data, "key string, src string, ord int")
-    small = cc.keep_latest(rows, ["src", "ord"], repeated_keys=2)
+    small = cc.keep_latest(rows, ["src", "ord"], repeated_keys=2, row_bytes=10)
     big = cc.keep_latest(rows, ["src", "ord"])
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     want = {("k", "f2", 3), ("j", "f1", 9), ("i", "f0", 2)}
