@@ -62,7 +62,8 @@ def to_bronze(
     lake.create(spark)
     run_ts = run_ts or utc_now()
     raw = read_landing_csv(spark, landing) if isinstance(landing, str) else landing
-    staged = stage(raw, lake.scratch("landing"))
+    # One staging folder per lake, replaced by each run: at most one staged copy is kept.
+    staged = stage(raw, f"{lake.root}/_staging/landing")
     rows = cc.payload(
         staged, bucket=lake.terms_bucket, prefix=lake.terms_prefix, keep=(SOURCE_FILE, _ORD), size_col=_BYTES
     )
