@@ -55,10 +55,11 @@ def _run(spark, lake: Lake, root: str, times: dict | None) -> None:
     timed("source_to_bronze", lambda: m.to_bronze(spark, root, lake, run_ts=fx.RUN_TS))
     timed("bronze_to_silver", lambda: m.to_silver(spark, lake, rules=fx.RULES_THREE, run_ts=fx.RUN_TS))
     timed("publish_gold", lambda: m.to_gold(spark, lake))
-    timed(
-        "resolve_bulk",
-        lambda: m.resolve_gold(spark, lake, max_rows=None).write.format("noop").mode("overwrite").save(),
-    )
+    def bulk():
+        with m.sorted_store_scans(spark):
+            m.resolve_gold(spark, lake, max_rows=None).write.format("noop").mode("overwrite").save()
+
+    timed("resolve_bulk", bulk)
     timed(
         "resolve_few",
         lambda: m.resolve_gold(spark, lake, ids=["1", "2", "3"]).write.format("noop").mode("overwrite").save(),

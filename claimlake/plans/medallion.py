@@ -12,6 +12,7 @@ from claimlake.operators import claimcheck as cc
 from claimlake.operators import quality as q
 from claimlake.plans.tables import Lake
 from claimlake.sources.landing import SOURCE_FILE, read_landing_csv
+from claimlake.session import sql_conf
 from claimlake.sources.rules import load_rules, parse_rules
 
 INGESTED_AT = "_ingestion_timestamp"
@@ -146,6 +147,28 @@ def resolve_gold(
     )
 
 
+def sorted_store_scans(spark: SparkSession):
+    """Context in which a join on the store's ``key`` uses the sort order of its bucket files
+    (one sorted file per bucket), so the store side of a bulk resolve is not sorted again.
+    Spark checks the one-file-per-bucket condition itself and sorts when it does not hold."""
+    return sql_conf(spark, spark__sql__legacy__bucketedTableScan__outputOrdering="true")
+
+
+def resolve_gold_to_table(
+    spark: SparkSession,
+    lake: Lake,
+    table: str,
+    *,
+    ids: list[str] | None = None,
+    max_bytes: int | None = cc.MAX_BYTES,
+) -> DataFrame:
+    """Bulk resolve of gold written to ``table`` (in the lake database): the bulk export."""
+    name = lake.name(table)
+    with sorted_store_scans(spark):
+        lake.writer.replace(resolve_gold(spark, lake, ids=ids, max_rows=None, max_bytes=max_bytes), name)
+    return spark.table(name)
+
+
 LAYERS = ("bronze", "silver", "quarantine", "gold")
 
 

@@ -215,3 +215,18 @@ def test_cli_jobs_in_order(spark, lake):
     assert cli.main(["gold", *base]) == 0
     assert spark.table(lake.gold_name).count() == spark.table(lake.silver_name).count() > 0
     assert "_dq_not_empty_terms" in spark.table(lake.quarantine_name).columns
+
+
+def test_bulk_export_uses_sorted_buckets(spark, lake):
+    root = _landing(spark, lake, SF001)
+    m.run_batch(spark, root, lake, run_ts=fx.RUN_TS)
+    out = m.resolve_gold_to_table(spark, lake, "gold_text")
+    want = m.resolve_gold(spark, lake, max_rows=None)
+    assert out.exceptAll(want).count() == 0 and want.exceptAll(out).count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with m.sorted_store_scans(spark):
+            plan = m.resolve_gold(spark, lake, max_rows=None, max_bytes=None)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and plan.count("Sort [") == 1  # only the pointer side is sorted
