@@ -11,6 +11,7 @@ never read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,11 +21,16 @@ from pyspark.sql import functions as F
 MANIFEST_SCHEMA = "bucket string, key string, n_bytes bigint, path string"
 
 
+def arrow_uri(root: str) -> str:
+    """Hadoop URI -> Arrow file-system URI (Hadoop's ``s3a://`` / ``s3n://`` are Arrow's ``s3://``)."""
+    return re.sub(r"^s3[an]://", "s3://", root)
+
+
 def _write_partition(root: str):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs as pafs
 
-        filesystem, base = pafs.FileSystem.from_uri(root)
+        filesystem, base = pafs.FileSystem.from_uri(arrow_uri(root))
         made: set[str] = set()
         for pdf in batches:
             paths, sizes = [], []
@@ -60,7 +66,7 @@ def write_object_files(rows: DataFrame, root: str, manifest: str) -> DataFrame:
 def _split_path(root: str) -> tuple:
     # binaryFile reports paths as URIs (file:/..., s3a://...); match the part after the root.
     tail = root.rstrip("/").split(":", 1)[-1].lstrip("/")
-    rel = F.regexp_extract(F.col("path"), "^.*?" + tail.replace(".", "\\.") + "/(.*)$", 1)
+    rel = F.regexp_extract(F.col("path"), "^.*?" + re.escape(tail) + "/(.*)$", 1)
     return F.regexp_extract(rel, "^([^/]+)/", 1), F.regexp_extract(rel, "^[^/]+/(.+)$", 1)
 
 
@@ -121,7 +127,7 @@ def _fetch_partition(root: str, max_bytes: int | None):
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs as pafs
 
-        filesystem, base = pafs.FileSystem.from_uri(root)
+        filesystem, base = pafs.FileSystem.from_uri(arrow_uri(root))
         buckets: dict[str, bool] = {}
         for pdf in batches:
             errs, sizes, bodies = [], [], []

@@ -207,3 +207,14 @@ def test_capped_path_prunes_store_buckets(spark, lake):
     with cc.sql_conf(spark, spark__sql__sources__bucketing__autoBucketedScan__enabled="false"):
         plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "SelectedBucketsCount: 2 out of 16" in plan
+
+
+def test_object_paths_with_special_characters(spark, lake):
+    from claimlake.sources import objects as obj
+
+    assert obj.arrow_uri("s3a://b/x") == "s3://b/x" and obj.arrow_uri("/tmp/x") == "/tmp/x"
+    rows = spark.createDataFrame([(BUCKET, "terms/1.txt", bytearray(b"one"))], "bucket string, key string, content binary")
+    root = f"{lake.root}/obj (v1)+x.y"  # regex-special characters in the root path
+    manifest = obj.write_object_files(rows, root, lake.scratch("manifest"))
+    got = [(r["bucket"], r["key"], bytes(r["content"])) for r in obj.read_object_files(spark, root, manifest=manifest).collect()]
+    assert got == [(BUCKET, "terms/1.txt", b"one")]
