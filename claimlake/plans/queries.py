@@ -27,6 +27,8 @@ from claimlake.streaming import arrivals
 Query = Callable[[SparkSession, str], DataFrame]
 
 MEASURES = ["character_length", "utf8_byte_length", "exceeds_redshift_varchar_65535_bytes"]
+# The documented inline lookup filters gold to a literal id list; here the filter is the
+# feature under test (every other query runs over whole tables).
 FEW_IDS = ["1", "2", "3"]
 
 
@@ -212,6 +214,7 @@ def filter_id_in(spark, sf_dir):
 
 
 def preview_limit(spark, sf_dir):
+    # ``LIMIT 10`` is the feature (the layer previews); ordered so the ten rows are repeatable.
     lake = _gold(spark, sf_dir, "preview")
     return _stable(spark.table(lake.gold_name).orderBy("id").limit(10))
 
@@ -301,6 +304,7 @@ def resolve_status(spark, sf_dir):
 
 
 def resolve_row_cap(spark, sf_dir):
+    # All pointers against the default cap of 100 rows: the guardrail must answer too_many.
     return _resolve_fixture(spark, sf_dir, "rescap").select("doc_id", "u", "status", "full_text", "message")
 
 
