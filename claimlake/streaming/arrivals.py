@@ -97,8 +97,12 @@ def process_batch(
     rows = cc.payload(
         staged, bucket=lake.terms_bucket, prefix=lake.terms_prefix, keep=(SOURCE_FILE, _ORD), size_col=_BYTES
     )
-    unique, _ = cc.unique_keys(rows, [SOURCE_FILE, _ORD])
-    put(unique.select(*cc.STORE_COLUMNS), "store")
+    # Last copy per key within the batch in the same job as the write: max_by is a partial
+    # (map-side) aggregate, so a hot id reaches the shuffle as one row per map task.
+    latest = rows.groupBy("key").agg(
+        F.max_by(F.struct(*cc.STORE_COLUMNS), F.struct(SOURCE_FILE, _ORD)).alias("_r")
+    )
+    put(latest.select("_r.*"), "store")
     bronze = put(bronze_frame(staged, lake, ts), "bronze")
     clean, failed, _ = silver_frames(bronze, rules, ts)
     silver = put(clean, "silver")

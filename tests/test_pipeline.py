@@ -230,3 +230,14 @@ def test_bulk_export_uses_sorted_buckets(spark, lake):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and plan.count("Sort [") == 1  # only the pointer side is sorted
+
+
+def test_stream_batch_keeps_last_copy_of_repeated_id(spark, lake):
+    layout = arrivals.StreamLake(lake)
+    batch = spark.createDataFrame(
+        [("1", "first"), ("2", "two"), ("1", "second")], "id string, terms string"
+    ).coalesce(1).withColumn("_source_file", F.lit("file:/x/landing/a/f.csv"))
+    arrivals.process_batch(batch, 0, layout, rules=None, run_ts=fx.RUN_TS)
+    got = {r["key"]: bytes(r["content"]).decode() for r in layout.table(spark, "store").collect()}
+    assert got == {"terms/1.txt": "second", "terms/2.txt": "two"}
+    assert layout.table(spark, "bronze").count() == 3
