@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,7 +28,7 @@ from claimlake.plans.tables import Lake
 from claimlake.sources.landing import LANDING_COLUMNS, SOURCE_FILE, stream_landing_csv
 
 BATCH = "_batch_id"
-LAYERS = ("staged", "store", "bronze", "silver", "quarantine", "gold")  # folders under lake.root/stream
+LAYERS = ("store", "bronze", "silver", "quarantine", "gold")  # folders under lake.root/stream
 
 
 @dataclass(frozen=True)
@@ -90,10 +91,18 @@ def process_batch(
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    staged = put(
-        batch.withColumns({_ORD: F.monotonically_increasing_id(), _BYTES: F.octet_length("terms").cast("bigint")}),
-        "staged",
-    )
+    # The batch is one or a few files: keep it for the batch's jobs instead of staging a copy.
+    # A lost block is recomputed from those files, with the same ordinals.
+    staged = batch.withColumns(
+        {_ORD: F.monotonically_increasing_id(), _BYTES: F.octet_length("terms").cast("bigint")}
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _layers(staged, put, lake, rules, ts)
+    finally:
+        staged.unpersist()
+
+
+def _layers(staged: DataFrame, put, lake: Lake, rules, ts: str) -> None:
     rows = cc.payload(
         staged, bucket=lake.terms_bucket, prefix=lake.terms_prefix, keep=(SOURCE_FILE, _ORD), size_col=_BYTES
     )
