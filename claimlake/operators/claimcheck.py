@@ -259,16 +259,17 @@ def resolve_text(
       never returned.
     """
     u = F.col(pointer_col)
-    if max_rows is not None and df.limit(max_rows + 1).count() > max_rows:
-        return _too_many(df, max_rows, text_col)
-
     parsed = df.withColumns({"__b": T.pointer_bucket(u), "__k": T.pointer_key(u)})
     parsed = parsed.withColumn("__jk", F.when((F.col("__b") == bucket) & (F.col("__k") != ""), F.col("__k")))
     body = F.col("content") if max_bytes is None else F.when(F.col("n_bytes") <= max_bytes, F.col("content"))
     objects = store.select(F.col("key").alias("__sk"), F.col("n_bytes").alias("__sn"), body.alias("__sc"))
     on = F.col("__jk") == F.col("__sk")
     if max_rows is not None:
-        keys = [r[0] for r in parsed.filter(F.col("__jk").isNotNull()).select("__jk").distinct().collect()]
+        # One bounded job answers both questions: more than max_rows rows? which keys?
+        sample = [r[0] for r in parsed.select("__jk").limit(max_rows + 1).collect()]
+        if len(sample) > max_rows:
+            return _too_many(df, max_rows, text_col)
+        keys = sorted({k for k in sample if k is not None})
         hits = objects.filter(F.col("__sk").isin(keys))
         if _bounded(store, keys, max_bytes, hot_broadcast_bytes):
             hits = F.broadcast(_fetch_hits(hits))
