@@ -15,8 +15,12 @@ POINTER_PATTERN = r"^s3://([^/]+)/(.+)$"
 OBJECT_SUFFIX = ".txt"
 DEFAULT_PREFIX = "terms/"
 VARCHAR_LIMIT_BYTES = 65535
-# Whitespace removed around a pointer before matching (the set Python's str.strip uses for ASCII).
-POINTER_WHITESPACE = " \t\n\r\f\u000b"
+# Whitespace removed around a pointer before matching: every character Python's str.strip()
+# removes (str.isspace), built from that rule; all of them lie below U+3001.
+POINTER_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+# Java regex treats \r, U+0085, U+2028 and U+2029 as line ends for "."; (?d) keeps only \n,
+# as in Python, so a key holding such a character parses the same way.
+SPARK_POINTER_PATTERN = "(?d)" + POINTER_PATTERN
 
 
 def _c(col: Column | str) -> Column:
@@ -72,12 +76,12 @@ def strip_pointer(uri: Column | str) -> Column:
 
 def pointer_bucket(uri: Column | str) -> Column:
     """Bucket part of a pointer after stripping whitespace; '' when the pattern does not match."""
-    return F.regexp_extract(strip_pointer(uri), POINTER_PATTERN, 1)
+    return F.regexp_extract(strip_pointer(uri), SPARK_POINTER_PATTERN, 1)
 
 
 def pointer_key(uri: Column | str) -> Column:
     """Key part of a pointer after stripping whitespace; '' when the pattern does not match."""
-    return F.regexp_extract(strip_pointer(uri), POINTER_PATTERN, 2)
+    return F.regexp_extract(strip_pointer(uri), SPARK_POINTER_PATTERN, 2)
 
 
 def is_utf8(content: Column | str) -> Column:

@@ -213,10 +213,10 @@ def register_text_function(
     it reads the whole store; for a handful of rows :func:`resolve_gold` (keys pushed into the
     store scan) is far cheaper. Registered as a temporary function of the session.
     """
-    from claimlake.functions.text import POINTER_PATTERN, POINTER_WHITESPACE
+    from claimlake.functions.text import POINTER_WHITESPACE, SPARK_POINTER_PATTERN
 
     trimmed = f"btrim(s3_uri, {_sql_str(POINTER_WHITESPACE)})"
-    part = lambda i: f"regexp_extract({trimmed}, {_sql_str(POINTER_PATTERN)}, {i})"
+    part = lambda i: f"regexp_extract({trimmed}, {_sql_str(SPARK_POINTER_PATTERN)}, {i})"
     too_large = (
         f"concat({_sql_str(cc.MSG_TOO_LARGE[0])}, format_number(n_bytes, 0), "
         f"{_sql_str(cc.MSG_TOO_LARGE[1].format(limit=f'{max_bytes:,}'))})"

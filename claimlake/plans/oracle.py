@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from claimlake.functions.text import POINTER_PATTERN
+from claimlake.functions.text import POINTER_PATTERN, POINTER_WHITESPACE
 from claimlake.operators import claimcheck as cc
 from claimlake.plans import fixtures as fx
 from claimlake.plans.tables import TERMS_BUCKET
@@ -10,7 +10,7 @@ from claimlake.plans.tables import TERMS_BUCKET
 RUN = f"'{fx.RUN_TS}'"
 MEASURES = "character_length, utf8_byte_length, exceeds_redshift_varchar_65535_bytes"
 BRONZE_COLS = f"id, terms, {MEASURES}, _ingestion_timestamp, _source_file"
-WS = "chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
+WS = " || ".join(f"chr({ord(c)})" for c in POINTER_WHITESPACE)
 PAT = f"'{POINTER_PATTERN}'"
 NOT_BLANK = "(terms IS NOT NULL AND length(trim(terms)) > 0)"
 DEFAULT_OK = "(id IS NOT NULL AND terms IS NOT NULL)"

@@ -44,3 +44,17 @@ def test_utf8_helpers(spark):
 
 def test_thousands(spark):
     assert spark.range(1).select(T.with_thousands(F.lit(61234))).first()[0] == "61,234"
+
+
+def test_pointer_strip_and_line_ends_follow_python(spark):
+    import re
+
+    cases = [" s3://b/k.txt　", "\x1cs3://b/k x.txt", "s3://b/a\rb", "s3://b/a\nb", "  \t"]
+    py = re.compile(T.POINTER_PATTERN)
+    want = []
+    for c in cases:
+        mt = py.match(c.strip())
+        want.append((mt.group(1), mt.group(2)) if mt else ("", ""))
+    df = spark.createDataFrame([(c,) for c in cases], "u string")
+    got = [(r[0], r[1]) for r in df.select(T.pointer_bucket("u"), T.pointer_key("u")).collect()]
+    assert got == want
