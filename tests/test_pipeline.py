@@ -241,3 +241,16 @@ def test_stream_batch_keeps_last_copy_of_repeated_id(spark, lake):
     got = {r["key"]: bytes(r["content"]).decode() for r in layout.table(spark, "store").collect()}
     assert got == {"terms/1.txt": "second", "terms/2.txt": "two"}
     assert layout.table(spark, "bronze").count() == 3
+
+
+def test_batch_duplicate_ids_keep_copy_from_last_file(spark, lake):
+    from claimlake.sources.landing import write_landing_csv
+
+    root = f"{lake.root}/landing"
+    write_landing_csv(spark.createDataFrame([("1", "from a"), ("2", "two")], "id string, terms string"), f"{root}/a", files=1)
+    write_landing_csv(spark.createDataFrame([("1", "from b")], "id string, terms string"), f"{root}/b", files=1)
+    bronze = m.to_bronze(spark, root, lake, run_ts=fx.RUN_TS)
+    ptrs = sorted(r["terms"] for r in bronze.filter(F.col("id") == "1").collect())
+    assert ptrs == ["s3://terms-bucket/terms/1.txt"] * 2
+    store = {r["key"]: bytes(r["content"]).decode() for r in spark.table(lake.store_name).collect()}
+    assert store == {"terms/1.txt": "from b", "terms/2.txt": "two"}
