@@ -162,10 +162,15 @@ def resolve_gold_to_table(
     ids: list[str] | None = None,
     max_bytes: int | None = cc.MAX_BYTES,
 ) -> DataFrame:
-    """Bulk resolve of gold written to ``table`` (in the lake database): the bulk export."""
+    """Bulk resolve of gold written to ``table`` (in the lake database): the bulk export.
+
+    The join's partitions follow the store's buckets (sized from the 128 MB target), so they
+    are written as they are: no REBALANCE, which would shuffle every text a second time.
+    """
     name = lake.name(table)
     with sorted_store_scans(spark):
-        lake.writer.replace(resolve_gold(spark, lake, ids=ids, max_rows=None, max_bytes=max_bytes), name)
+        resolved = resolve_gold(spark, lake, ids=ids, max_rows=None, max_bytes=max_bytes)
+        lake.writer.replace(resolved, name, rebalance=False)
     return spark.table(name)
 
 

@@ -106,9 +106,9 @@ class TableWriter:
     target_file_bytes: int = TARGET_FILE_BYTES
     table_format: str | None = None
 
-    def replace(self, df: DataFrame, name: str) -> None:
+    def replace(self, df: DataFrame, name: str, rebalance: bool = True) -> None:
         if self.table_format is None:
-            replace_table(df, name, target_file_bytes=self.target_file_bytes)
+            replace_table(df, name, target_file_bytes=self.target_file_bytes, rebalance=rebalance)
             return
         (
             df.writeTo(name)
@@ -143,14 +143,19 @@ class TableWriter:
         return spark.table(target)
 
 
-def replace_table(df: DataFrame, name: str, *, target_file_bytes: int = TARGET_FILE_BYTES) -> None:
+def replace_table(df: DataFrame, name: str, *, target_file_bytes: int = TARGET_FILE_BYTES, rebalance: bool = True) -> None:
     """Create or replace a Parquet table with files near ``target_file_bytes``.
 
     A REBALANCE lets AQE cut the output into partitions of the advisory size (merging small
     ones, splitting large ones), so a table of narrow rows does not end up as thousands of
     small files. ``parallelismFirst`` is off for the write: with it on, AQE ignores the
-    advisory size and only keeps partitions above 1 MB.
+    advisory size and only keeps partitions above 1 MB. ``rebalance=False`` writes the
+    partitions as they come (for output that is already in large partitions, e.g. the result
+    of a join with the bucketed store, where a REBALANCE would shuffle all the text again).
     """
+    if not rebalance:
+        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        return
     with sql_conf(
         df.sparkSession,
         spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_file_bytes),
