@@ -254,3 +254,16 @@ def test_batch_duplicate_ids_keep_copy_from_last_file(spark, lake):
     assert ptrs == ["s3://terms-bucket/terms/1.txt"] * 2
     store = {r["key"]: bytes(r["content"]).decode() for r in spark.table(lake.store_name).collect()}
     assert store == {"terms/1.txt": "from b", "terms/2.txt": "two"}
+
+
+def test_landing_without_any_text(spark, lake):
+    from claimlake.sources.landing import write_landing_csv
+
+    root = f"{lake.root}/landing"
+    write_landing_csv(spark.createDataFrame([("1", None), (None, None)], "id string, terms string"), f"{root}/a", files=1)
+    gold = m.run_batch(spark, root, lake, run_ts=fx.RUN_TS)
+    assert spark.table(lake.store_name).count() == 0
+    assert spark.table(lake.bronze_name).count() == 2 and gold.count() == 0
+    assert spark.table(lake.quarantine_name).count() == 2
+    res = m.resolve_gold(spark, lake, max_rows=None)
+    assert res.count() == 0
