@@ -34,6 +34,15 @@ NOT_FOUND = "not_found"
 TOO_LARGE = "too_large"
 UNDECODABLE = "undecodable"
 ACCESS_DENIED = "access_denied"
+def _no_match() -> dict[str, Column]:
+    """Store-side columns of a row that has no lookup key."""
+    return {
+        "__sk": F.lit(None).cast("string"),
+        "__sn": F.lit(None).cast("bigint"),
+        "__sc": F.lit(None).cast("binary"),
+    }
+
+
 # Bulk resolve: a key with at least this share of the pointers is joined by broadcast.
 HOT_FRACTION = 0.01
 HOT_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -275,14 +284,18 @@ def resolve_text(
             hits = F.broadcast(_fetch_hits(hits))
         joined = parsed.join(hits, on, "left")
     else:
-        hot = hot_keys(parsed, "__jk", hot_fraction) if hot_fraction else []
+        # Rows without a lookup key (missing, malformed, other bucket) skip the join: kept in
+        # an outer join they would all hash to one partition.
+        keyless = parsed.filter(F.col("__jk").isNull()).withColumns(_no_match())
+        keyed = parsed.filter(F.col("__jk").isNotNull())
+        hot = hot_keys(keyed, "__jk", hot_fraction) if hot_fraction else []
         if hot and _bounded(store, hot, max_bytes, hot_broadcast_bytes):
             is_hot = F.col("__jk").isin(hot)
-            hot_part = parsed.filter(is_hot).join(F.broadcast(objects.filter(F.col("__sk").isin(hot))), on, "left")
-            cold_part = parsed.filter(F.col("__jk").isNull() | ~is_hot).join(objects, on, "left")
-            joined = hot_part.unionByName(cold_part)
+            hot_part = keyed.filter(is_hot).join(F.broadcast(objects.filter(F.col("__sk").isin(hot))), on, "left")
+            joined = hot_part.unionByName(keyed.filter(~is_hot).join(objects, on, "left"))
         else:
-            joined = parsed.join(objects, on, "left")
+            joined = keyed.join(objects, on, "left")
+        joined = joined.unionByName(keyless)
 
     return _finish(joined, u, bucket, max_bytes, text_col)
 
@@ -360,14 +373,18 @@ def resolve_files(
     if max_rows is not None and df.limit(max_rows + 1).count() > max_rows:
         return _too_many(df, max_rows, text_col)
     parsed = df.withColumns({"__b": T.pointer_bucket(u), "__k": T.pointer_key(u)})
-    keys = parsed.filter(F.col("__b") != "").select("__b", "__k").distinct()
+    has_key = F.coalesce(F.col("__b") != "", F.lit(False))
+    keyed = parsed.filter(has_key)
+    keys = keyed.select("__b", "__k").distinct()
     fetched = fetch_objects(keys, root, max_bytes).withColumn(
         "__sk", F.when(F.col("__err").isNull(), F.col("__k"))
     ).withColumnsRenamed({"__b": "__fb", "__k": "__fk"})
     if max_rows is not None and max_bytes is not None and max_rows * max_bytes <= HOT_BROADCAST_BYTES:
         fetched = F.broadcast(fetched)  # at most max_rows objects of at most max_bytes each
     on = (F.col("__b") == F.col("__fb")) & (F.col("__k") == F.col("__fk"))
-    joined = parsed.join(fetched, on, "left").drop("__fb", "__fk")
+    # Pointers that cannot name an object skip the join (they would share one partition).
+    keyless = parsed.filter(~has_key).withColumns(dict(_no_match(), __err=F.lit(None).cast("string")))
+    joined = keyed.join(fetched, on, "left").drop("__fb", "__fk").unionByName(keyless)
     return _finish(joined, u, None, max_bytes, text_col, with_errors=True)
 
 

@@ -218,3 +218,17 @@ def test_object_paths_with_special_characters(spark, lake):
     manifest = obj.write_object_files(rows, root, lake.scratch("manifest"))
     got = [(r["bucket"], r["key"], bytes(r["content"])) for r in obj.read_object_files(spark, root, manifest=manifest).collect()]
     assert got == [(BUCKET, "terms/1.txt", b"one")]
+
+
+def test_bulk_keyless_rows_skip_the_join(spark, lake):
+    store = _store(spark, lake, [(f"terms/{i}.txt", b"x") for i in range(20)])
+    ptrs = spark.createDataFrame([(None,)] * 30 + [("junk",)] * 30 + [("s3://other/k",)] * 5 + [(f"s3://bucket/terms/{i}.txt",) for i in range(25)], "u string")
+    res = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=None)
+    got = {r["status"]: r["count"] for r in res.groupBy("status").count().collect()}
+    assert got == {"missing_pointer": 30, "malformed": 30, "no_store": 5, "ok": 20, "not_found": 5}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=None, hot_fraction=None)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Union" in plan and "SortMergeJoin" in plan  # keyless rows go around the join
