@@ -178,7 +178,12 @@ LAYERS = ("bronze", "silver", "quarantine", "gold")
 
 
 def layer_table(lake: Lake, layer: str) -> str:
-    names = {"bronze": lake.bronze_name, "silver": lake.silver_name, "quarantine": lake.quarantine_name, "gold": lake.gold_name}
+    names = {
+        "bronze": lake.bronze_name,
+        "silver": lake.silver_name,
+        "quarantine": lake.quarantine_name,
+        "gold": lake.gold_name,
+    }
     return names[layer]
 
 

@@ -194,7 +194,9 @@ def bronze_to_silver(spark, sf_dir):
     silver = spark.table(lake.silver_name).select(
         "id", "terms", F.lit("silver").alias("_layer"), F.lit(None).cast("string").alias("_dq_failed_checks")
     )
-    quarantine = spark.table(lake.quarantine_name).select("id", "terms", F.lit("quarantine").alias("_layer"), "_dq_failed_checks")
+    quarantine = spark.table(lake.quarantine_name).select(
+        "id", "terms", F.lit("quarantine").alias("_layer"), "_dq_failed_checks"
+    )
     return silver.unionByName(quarantine)
 
 

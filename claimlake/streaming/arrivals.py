@@ -67,7 +67,8 @@ class StreamLake:
         ``medallion.resolve_gold`` and the SQL function work on the streamed data."""
         lake = self.lake.create(spark)
         cc.write_store(self.current_store(spark), lake.store_name, writer=lake.writer)
-        for layer, name in (("bronze", lake.bronze_name), ("silver", lake.silver_name), ("quarantine", lake.quarantine_name)):
+        layers = (("bronze", lake.bronze_name), ("silver", lake.silver_name), ("quarantine", lake.quarantine_name))
+        for layer, name in layers:
             lake.writer.replace(self.table(spark, layer), name)
         lake.writer.publish(spark, lake.silver_name, lake.gold_name)
         return lake
