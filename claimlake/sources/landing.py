@@ -51,8 +51,12 @@ def landing_schema(columns: Sequence[str] = LANDING_COLUMNS) -> StructType:
 
 
 def cast_measures(df: DataFrame) -> DataFrame:
-    """Cast the measure columns that are present; leave every other column as read."""
-    casts = {c: F.col(c).cast(t) for c, t in MEASURE_TYPES.items() if c in df.columns}
+    """Cast the measure columns that are present; leave every other column as read.
+
+    ``try_cast``: a malformed value becomes NULL instead of failing the whole ingest (ANSI
+    mode raises on a bad cast); rule checks can then catch it in silver.
+    """
+    casts = {c: F.col(c).try_cast(t) for c, t in MEASURE_TYPES.items() if c in df.columns}
     return df.withColumns(casts) if casts else df
 
 

@@ -267,3 +267,17 @@ def test_landing_without_any_text(spark, lake):
     assert spark.table(lake.quarantine_name).count() == 2
     res = m.resolve_gold(spark, lake, max_rows=None)
     assert res.count() == 0
+
+
+def test_malformed_measure_does_not_fail_ingest(spark, lake):
+    from claimlake.sources.landing import write_landing_csv
+
+    root = f"{lake.root}/landing"
+    rows = spark.createDataFrame(
+        [("1", "a", "1", "1", "false"), ("2", "b", "lots", "1", "maybe")],
+        "id string, terms string, character_length string, utf8_byte_length string, "
+        "exceeds_redshift_varchar_65535_bytes string",
+    )
+    write_landing_csv(rows, f"{root}/a", files=1)
+    got = {r["id"]: (r["character_length"], r["exceeds_redshift_varchar_65535_bytes"]) for r in read_landing_csv(spark, root).collect()}
+    assert got == {"1": (1, False), "2": (None, None)}
