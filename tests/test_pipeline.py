@@ -281,3 +281,33 @@ def test_malformed_measure_does_not_fail_ingest(spark, lake):
     write_landing_csv(rows, f"{root}/a", files=1)
     got = {r["id"]: (r["character_length"], r["exceeds_redshift_varchar_65535_bytes"]) for r in read_landing_csv(spark, root).collect()}
     assert got == {"1": (1, False), "2": (None, None)}
+
+
+class _Recorder:
+    """Stands in for DataFrameWriterV2 / DataFrame and records the calls made on it."""
+
+    def __init__(self):
+        self.calls = []
+
+    def __getattr__(self, name):
+        def call(*args, **kw):
+            self.calls.append((name, args))
+            return self
+
+        return call
+
+
+def test_v2_writer_call_chain(spark):
+    from claimlake.plans.tables import TableWriter
+
+    w = TableWriter(134217728, "iceberg")
+    df = _Recorder()
+    w.replace(df, "`ice`.`lake`.`t`")
+    names = [c[0] for c in df.calls]
+    assert names == ["writeTo", "using", "tableProperty", "tableProperty", "createOrReplace"]
+    assert ("tableProperty", ("write.target-file-size-bytes", "134217728")) in df.calls
+    df2 = _Recorder()
+    w.replace_bucketed(df2, "`ice`.`lake`.`store`", "key", 16)
+    names2 = [c[0] for c in df2.calls]
+    assert names2[:4] == ["repartition", "sortWithinPartitions", "writeTo", "using"]
+    assert "partitionedBy" in names2 and names2[-1] == "createOrReplace"
