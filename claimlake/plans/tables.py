@@ -137,7 +137,7 @@ class TableWriter:
 
     def publish(self, spark: SparkSession, source: str, target: str) -> DataFrame:
         if self.table_format is None:
-            return publish(spark, source, target, self.target_file_bytes)
+            return publish(spark, source, target)
         # One atomic commit: readers see the old gold until the new one is complete.
         self.replace(spark.table(source), target)
         return spark.table(target)
@@ -185,7 +185,7 @@ def replace_bucketed_table(df: DataFrame, name: str, key: str, num_buckets: int)
     )
 
 
-def publish(spark: SparkSession, source: str, target: str, target_file_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+def publish(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Full-refresh copy of ``source`` into ``target``.
 
     The copy is built under a staging name first; only when it is complete is the old table
@@ -195,12 +195,9 @@ def publish(spark: SparkSession, source: str, target: str, target_file_bytes: in
     db, _, table = target.rpartition(".")
     staging = f"{db}.`{table.strip('`')}__staging`" if db else f"`{table.strip('`')}__staging`"
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    with sql_conf(
-        spark,
-        spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_file_bytes),
-        spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
-    ):
-        spark.sql(f"CREATE TABLE {staging} USING parquet AS SELECT /*+ REBALANCE */ * FROM {source}")
+    # A plain copy: the source files already have the target size (written with REBALANCE),
+    # and the scan splits at ``maxPartitionBytes``, so no shuffle is needed to keep it.
+    spark.sql(f"CREATE TABLE {staging} USING parquet AS SELECT * FROM {source}")
     spark.sql(f"DROP TABLE IF EXISTS {target}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
     return spark.table(target)
