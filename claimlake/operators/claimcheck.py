@@ -271,6 +271,8 @@ def resolve_text(
     parsed = df.withColumns({"__b": T.pointer_bucket(u), "__k": T.pointer_key(u)})
     parsed = parsed.withColumn("__jk", F.when((F.col("__b") == bucket) & (F.col("__k") != ""), F.col("__k")))
     body = F.col("content") if max_bytes is None else F.when(F.col("n_bytes") <= max_bytes, F.col("content"))
+    if "bucket" in store.columns:  # a store may hold several buckets: match the key in ours
+        store = store.filter(F.col("bucket") == bucket)
     objects = store.select(F.col("key").alias("__sk"), F.col("n_bytes").alias("__sn"), body.alias("__sc"))
     on = F.col("__jk") == F.col("__sk")
     if max_rows is not None:

@@ -240,7 +240,7 @@ def register_text_function(
              (SELECT max(CASE WHEN n_bytes > {int(max_bytes)} THEN {too_large}
                               WHEN NOT is_valid_utf8(CAST(content AS STRING)) THEN {_sql_str(cc.MSG_UNDECODABLE)}
                               ELSE CAST(content AS STRING) END)
-              FROM {lake.store_name} WHERE key = {part(2)}),
+              FROM {lake.store_name} WHERE bucket = {_sql_str(lake.terms_bucket)} AND key = {part(2)}),
              {_sql_str(cc.MSG_NOT_FOUND)})
       END"""
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s3_uri STRING) RETURNS STRING RETURN {body}")

@@ -232,3 +232,15 @@ def test_bulk_keyless_rows_skip_the_join(spark, lake):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Union" in plan and "SortMergeJoin" in plan  # keyless rows go around the join
+
+
+def test_store_with_two_buckets_matches_the_right_one(spark, lake):
+    rows = spark.createDataFrame(
+        [(BUCKET, "k", bytearray(b"mine")), ("other", "k", bytearray(b"theirs"))], "bucket string, key string, content binary"
+    ).withColumn("n_bytes", F.octet_length("content").cast("bigint"))
+    rows.write.saveAsTable(lake.name("two_buckets"))
+    store = spark.table(lake.name("two_buckets"))
+    ptrs = spark.createDataFrame([("s3://bucket/k",)], "u string")
+    for max_rows in (100, None):
+        got = [r["full_text"] for r in cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=max_rows).collect()]
+        assert got == ["mine"], max_rows
