@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -80,3 +82,34 @@ def sql_conf(spark: SparkSession, **settings: str):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``claimlake`` importable in the executors' Python workers (once per application).
+
+    Only the file mode runs Python on executors (``mapInPandas``). A cluster job normally ships
+    the package with ``--py-files``; this does the same at run time: the package is zipped on
+    the driver and registered with ``addPyFile`` (``addArtifacts`` on a Connect session), and
+    Spark copies it to every executor.
+    """
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Connect session
+        app = spark.conf.get("spark.app.id", None) or "connect"
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="claimlake-pyfiles-"), "claimlake"),
+        "zip",
+        root_dir=os.path.dirname(pkg),
+        base_dir=os.path.basename(pkg),
+    )
+    try:
+        spark.sparkContext.addPyFile(archive)
+    except Exception:  # noqa: BLE001 - Connect session
+        spark.addArtifacts(archive, pyfile=True)
+    _SHIPPED.add(app)

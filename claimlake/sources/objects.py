@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimlake.session import ship_package
+
 MANIFEST_SCHEMA = "bucket string, key string, n_bytes bigint, path string"
 
 
@@ -58,6 +60,7 @@ def write_object_files(rows: DataFrame, root: str, manifest: str) -> DataFrame:
     The stage runs once, when the manifest (bucket, key, n_bytes, path) is written to
     ``manifest``; the manifest is returned.
     """
+    ship_package(rows.sparkSession)
     written = rows.select("bucket", "key", "content").mapInPandas(_write_partition(root.rstrip("/")), MANIFEST_SCHEMA)
     written.write.mode("overwrite").parquet(manifest)
     return rows.sparkSession.read.parquet(manifest)
@@ -166,4 +169,5 @@ def fetch_objects(keys: DataFrame, root: str, max_bytes: int | None = None) -> D
     A small per-object helper inside ``mapInPandas``: Spark spreads the keys over tasks; each
     object is stat-ed, and read only when it is under the size cap.
     """
+    ship_package(keys.sparkSession)
     return keys.select("__b", "__k").mapInPandas(_fetch_partition(root.rstrip("/"), max_bytes), FETCH_SCHEMA)
