@@ -393,26 +393,19 @@ def resolve_files(
 def hot_keys(df: DataFrame, key: str, fraction: float) -> list:
     """Keys holding at least ``fraction`` of the non-NULL ``key`` rows (at most 1/fraction).
 
-    Two narrow jobs: a count, and a partial aggregate per key filtered on the threshold.
+    Two map-side passes, no shuffle of keys: ``freqItems`` proposes at most 1/fraction
+    candidates (it never misses a key above the support, but may propose a few that are not),
+    then one aggregate counts the candidates exactly together with the total.
     """
     keyed = df.filter(F.col(key).isNotNull()).select(key)
-    total = keyed.count()
-    if total == 0:
+    cands = [c for c in (keyed.freqItems([key], support=fraction).first()[0] or []) if c is not None]
+    if not cands:
         return []
-    threshold = max(2, math.ceil(total * fraction))
-    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("__c"))
-    return [r[0] for r in counts.filter(F.col("__c") >= threshold).select(key).collect()]
-
-
-def _fetch_hits(hits: DataFrame) -> DataFrame:
-    """Read the (at most ``max_rows``) wanted objects now, with the bucketed scan kept on so the
-    ``key IN`` list prunes the store to the buckets that hold those keys (Spark would otherwise
-    drop the bucketed scan for a broadcast join and open every bucket file). The few rows are
-    kept with a reliable ``checkpoint`` in the shared checkpoint folder."""
-    spark = hits.sparkSession
-    shared_root(spark)  # makes sure a checkpoint folder is set (local mode only)
-    with sql_conf(spark, spark__sql__sources__bucketing__autoBucketedScan__enabled="false"):
-        return hits.checkpoint(eager=True)
+    row = keyed.agg(
+        F.count(F.lit(1)).alias("__t"), *[F.count(F.when(F.col(key) == c, 1)).alias(f"__c{i}") for i, c in enumerate(cands)]
+    ).first()
+    threshold = max(2, math.ceil(row["__t"] * fraction))
+    return sorted(c for i, c in enumerate(cands) if row[f"__c{i}"] >= threshold)
 
 
 def _bounded(store: DataFrame, keys: list, max_bytes: int | None, limit: int) -> bool:

@@ -244,3 +244,10 @@ def test_store_with_two_buckets_matches_the_right_one(spark, lake):
     for max_rows in (100, None):
         got = [r["full_text"] for r in cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=max_rows).collect()]
         assert got == ["mine"], max_rows
+
+
+def test_hot_keys_filters_false_candidates(spark):
+    uniform = spark.range(5000).select((F.col("id") % 1000).cast("string").alias("k"))
+    assert cc.hot_keys(uniform, "k", 0.01) == []
+    skewed = uniform.unionByName(spark.range(3000).select(F.lit("hot").alias("k")))
+    assert cc.hot_keys(skewed, "k", 0.01) == ["hot"]
