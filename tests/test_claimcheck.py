@@ -251,3 +251,11 @@ def test_hot_keys_filters_false_candidates(spark):
     assert cc.hot_keys(uniform, "k", 0.01) == []
     skewed = uniform.unionByName(spark.range(3000).select(F.lit("hot").alias("k")))
     assert cc.hot_keys(skewed, "k", 0.01) == ["hot"]
+
+
+def test_ship_package_once_per_application(spark):
+    from claimlake import session
+
+    session.ship_package(spark)
+    session.ship_package(spark)
+    assert spark.sparkContext.applicationId in session._SHIPPED
