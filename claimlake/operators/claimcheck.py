@@ -372,12 +372,18 @@ def resolve_files(
     from claimlake.sources.objects import fetch_objects
 
     u = F.col(pointer_col)
-    if max_rows is not None and df.limit(max_rows + 1).count() > max_rows:
-        return _too_many(df, max_rows, text_col)
     parsed = df.withColumns({"__b": T.pointer_bucket(u), "__k": T.pointer_key(u)})
     has_key = F.coalesce(F.col("__b") != "", F.lit(False))
     keyed = parsed.filter(has_key)
-    keys = keyed.select("__b", "__k").distinct()
+    if max_rows is not None:
+        # One bounded job: the row cap, and (under it) the at most max_rows keys to fetch.
+        sample = parsed.select("__b", "__k").limit(max_rows + 1).collect()
+        if len(sample) > max_rows:
+            return _too_many(df, max_rows, text_col)
+        wanted = sorted({(r[0], r[1]) for r in sample if r[0]})
+        keys = df.sparkSession.createDataFrame(wanted, "__b string, __k string")
+    else:
+        keys = keyed.select("__b", "__k").distinct()
     fetched = fetch_objects(keys, root, max_bytes).withColumn(
         "__sk", F.when(F.col("__err").isNull(), F.col("__k"))
     ).withColumnsRenamed({"__b": "__fb", "__k": "__fk"})
