@@ -13,8 +13,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_sql():
-    assert set(ep.oracle_sql()) == set(ep.queries())
-    assert len(ep.queries()) >= 42
+    own = set(ep.queries()) - set(ep.LLM_QUERIES)
+    assert own <= set(ep.oracle_sql()) <= set(ep.queries())
+    assert len(own) >= 42
 
 
 def test_fast_queries_match_oracle(spark):
