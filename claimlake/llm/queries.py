@@ -7,13 +7,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimlake.llm import packing, tokenfile
+from claimlake.llm import packing, simhash, tokenfile
 from claimlake.llm.common import table
 
 BYTE_BPE, WORD_BPE, WORD_BPE_SIZE = "byte_bpe_50k.json", "word_bpe_49k.json", 49408
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_rows(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=0)
 
@@ -24,6 +30,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_simhash": op5_simhash,
     "op7_packing": op7_packing,
     "op8_token_files": op8_token_files,
 }
