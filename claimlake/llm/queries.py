@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import packing, simhash, tokenfile
+from claimlake.llm import packing, simhash, tokenfile, topk
 from claimlake.llm.common import table
 
 BYTE_BPE, WORD_BPE, WORD_BPE_SIZE = "byte_bpe_50k.json", "word_bpe_49k.json", 49408
@@ -29,8 +29,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.document_starts(files).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op7_packing": op7_packing,
     "op8_token_files": op8_token_files,
+    "op9_topk": op9_topk,
 }
