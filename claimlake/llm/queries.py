@@ -9,12 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import packing, simhash, tokenfile, topk
+from claimlake.llm import packing, quality, simhash, tokenfile, topk, winnow
 from claimlake.llm.common import table
 
 BYTE_BPE, WORD_BPE, WORD_BPE_SIZE = "byte_bpe_50k.json", "word_bpe_49k.json", 49408
 
 
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -34,9 +38,15 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_winnowing": op3_winnowing,
     "op5_simhash": op5_simhash,
     "op7_packing": op7_packing,
     "op8_token_files": op8_token_files,
     "op9_topk": op9_topk,
+    "op10_quality": op10_quality,
 }
