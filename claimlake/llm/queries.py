@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import packing, quality, simhash, tokenfile, topk, winnow
+from claimlake.llm import packing, pii, quality, simhash, tokenfile, topk, winnow
 from claimlake.llm.common import table
 
 BYTE_BPE, WORD_BPE, WORD_BPE_SIZE = "byte_bpe_50k.json", "word_bpe_49k.json", 49408
@@ -24,6 +24,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.spans(docs, pii.fit(docs))
+    return found.withColumn("base_sha256", F.sha2("base", 256)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_rows(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=0)
 
@@ -45,6 +51,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_winnowing": op3_winnowing,
     "op5_simhash": op5_simhash,
+    "op6_pii": op6_pii,
     "op7_packing": op7_packing,
     "op8_token_files": op8_token_files,
     "op9_topk": op9_topk,
