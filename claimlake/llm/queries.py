@@ -9,16 +9,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import packing, pii, quality, simhash, tokenfile, topk, winnow
+from claimlake.llm import packing, pii, piecebpe, quality, simhash, tokenfile, topk, winnow
 from claimlake.llm.common import table
 
 BYTE_BPE, WORD_BPE, WORD_BPE_SIZE = "byte_bpe_50k.json", "word_bpe_49k.json", 49408
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.compare_edited(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    coded = piecebpe.encode_documents(docs, public_tokenizers.path(PIECE_BPE), digests_only=True)
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -50,6 +57,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_winnowing": op3_winnowing,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_simhash": op5_simhash,
     "op6_pii": op6_pii,
     "op7_packing": op7_packing,

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from claimlake.llm.common import need, python_on_executors, written
 
 #: Rows of a candidate block and queries of a query block: bounds on one task's memory.
-CANDIDATES, QUERIES = 16384, 2048
+CANDIDATES, QUERIES = 65536, 512
 EXACT = 2**53
 
 
@@ -68,7 +68,7 @@ class Lists:
         exact = [sum(int(a) * b for a, b in zip(v, q, strict=True)) for v in self.vectors[rows]]
         return np.array(exact, np.int64)  # OverflowError beyond a long
 
-    def top(self, query_id: int, query: np.ndarray, k: int, step: int = 32) -> tuple[np.ndarray, np.ndarray]:
+    def top(self, query_id: int, query: np.ndarray, k: int, step: int = 64) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best rows, best first. ``step``: rows of each list in the first round."""
         n = len(self.ids)
         dims = np.flatnonzero(query)
@@ -86,7 +86,13 @@ class Lists:
                 rows = np.flatnonzero(fresh)
             else:
                 rows = np.flatnonzero(~met)
-            best_rows, best = np.r_[best_rows, rows], np.r_[best, self.scores(rows, query)]
+            got = self.scores(rows, query)
+            if len(best) == k:  # only these can enter, or tie
+                rows, got = rows[got >= best[-1]], got[got >= best[-1]]
+            best_rows, best = np.r_[best_rows, rows], np.r_[best, got]
+            if len(best) > 4 * k:
+                good = best >= np.partition(best, -k)[-k]
+                best_rows, best = best_rows[good], best[good]
             top = np.lexsort((best_rows, -best))[:k]
             best_rows, best = best_rows[top], best[top]
             depth = until

@@ -1,4 +1,8 @@
-"""Corpus pipeline: stages that each apply one operator to all that the stage before kept."""
+"""Corpus pipeline: stages that each apply one operator to all that the stage before kept.
+
+Rejected documents go, one document of each near-duplicate group stays, personal data is replaced
+by its kind in brackets, and what remains is packed into token windows.
+"""
 
 from __future__ import annotations
 
@@ -7,19 +11,37 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimlake.llm import packing
-from claimlake.llm.common import written
+from claimlake.llm import packing, pii, quality, simhash
+from claimlake.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the nearest labelled ones vote good."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest id of each SimHash component."""
+    return simhash.keep_one(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the personal data found in them."""
+    return pii.redact(docs, pii.fit(docs))
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept documents' pieces in windows of 1024 tokens."""
+    """The documents' pieces in windows of 1024 tokens."""
     return packing.packed_rows(docs, public_tokenizers.path(TOKENIZER), end_id=0)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality_classifier),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
     ("packing", pack_sequences),
 ]
 
@@ -29,7 +51,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:

@@ -1,0 +1,45 @@
+import re
+
+import corpus_pipeline as c
+from helpers import documents, empty_documents, odd_documents, rows
+
+from claimlake.llm import packing, pii, quality, simhash
+
+SF = "/root/testdata/sf0.001"
+
+
+def key(r):
+    return str(sorted((k, str(v)) for k, v in r.items()))
+
+
+def test_stages_keep_columns_and_decide(spark):
+    docs = documents(spark)
+    good = c.quality_classifier(spark, docs, SF)
+    assert good.columns == docs.columns
+    scores = {r["doc_id"]: r["predicted"] for r in rows(quality.classify(docs, spark.read.parquet(f"{SF}/labels.parquet")))}
+    assert sorted(r["doc_id"] for r in rows(good)) == sorted(d for d, p in scores.items() if p)
+    one = c.near_duplicates(spark, good, SF)
+    assert one.columns == docs.columns
+    heads = {r["component_id"] for r in rows(simhash.near_duplicates(good))}
+    assert sorted(r["doc_id"] for r in rows(one)) == sorted(heads)
+    clean = c.personal_data(spark, one, SF)
+    assert clean.columns == docs.columns and clean.count() == one.count()
+    assert not any(re.search(r"[A-Za-z0-9]@[A-Za-z0-9-]+\.", r["text"]) for r in rows(clean))
+    assert all(r["n_chars"] == len(r["text"]) for r in rows(clean) if "[" in r["text"])
+    want = rows(c.pack_sequences(spark, clean, SF))
+    got = rows(c.run(spark, SF))
+    assert sorted((r["doc_id"], r["start"], r["ids_crc32"]) for r in got) == sorted((r["doc_id"], r["start"], r["ids_crc32"]) for r in want)
+    assert {r["doc_id"] for r in got} == {r["doc_id"] for r in rows(clean)}
+
+
+def test_odd_and_empty_tables_pass_all_stages(spark):
+    for make in (odd_documents, lambda s: odd_documents(s, clash=True), empty_documents):
+        docs = make(spark)
+        for _, stage in c.STAGES:
+            docs = stage(spark, docs, SF)
+        assert docs.count() >= 0 and {"sequence_id", "offset"} <= set(docs.columns)
+
+
+def test_the_stages_call_the_operators():
+    assert [n for n, _ in c.STAGES] == ["quality_classifier", "near_duplicates", "personal_data", "packing"]
+    assert all(m for m in (packing, pii, quality, simhash))
