@@ -9,13 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import packing, pii, piecebpe, quality, simhash, tokenfile, topk, winnow
+from claimlake.llm import packing, pii, piecebpe, quality, simhash, tokenfile, toolcalls, topk, winnow
 from claimlake.llm.common import table
 
 BYTE_BPE, WORD_BPE, WORD_BPE_SIZE = "byte_bpe_50k.json", "word_bpe_49k.json", 49408
 PIECE_BPE = "piece_bpe_32k.model"
 
 
+def op2_toolcalls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = toolcalls.derive(table(spark, sf_dir, "conversations"))
+    return toolcalls.link(calls, results, toolcalls.SCHEMAS)
+
+
 def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.compare_edited(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toolcalls": op2_toolcalls,
     "op3_winnowing": op3_winnowing,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_simhash": op5_simhash,
