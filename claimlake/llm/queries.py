@@ -9,13 +9,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import packing, pii, piecebpe, quality, simhash, tokenfile, toolcalls, topk, winnow
+from claimlake.llm import licences, packing, pii, piecebpe, quality, simhash, tokenfile, toolcalls, topk, winnow
 from claimlake.llm.common import table
 
 BYTE_BPE, WORD_BPE, WORD_BPE_SIZE = "byte_bpe_50k.json", "word_bpe_49k.json", 49408
 PIECE_BPE = "piece_bpe_32k.model"
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = licences.scan(docs, licences.fit(docs))
+    confirmed = F.transform(F.filter("findings", lambda f: f["confirmed"]), lambda f: f["family"])
+    shown = F.transform("findings", lambda f: F.concat_ws(":", f["paragraph"].cast("string"), f["family"], F.format_number(f["probability"], 2), F.format_number(f["similarity"], 2), f["confirmed"].cast("string")))
+    return found.select(
+        "doc_id",
+        "n_paragraphs",
+        F.size("findings").cast("long").alias("n_findings"),
+        F.array_join(F.array_sort(F.array_distinct(confirmed)), ",").alias("families"),
+        F.array_join(shown, ",").alias("findings"),
+    )
+
+
 def op2_toolcalls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = toolcalls.derive(table(spark, sf_dir, "conversations"))
     return toolcalls.link(calls, results, toolcalls.SCHEMAS)
@@ -61,6 +75,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licences": op1_licences,
     "op2_toolcalls": op2_toolcalls,
     "op3_winnowing": op3_winnowing,
     "op4_sentencepiece": op4_sentencepiece,
