@@ -11,12 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.functions import text as T
+from claimlake.operators.quality import DEFAULT_RULES
 from claimlake.plans.tables import TERMS_BUCKET
 from claimlake.sources.landing import write_landing_csv
 
 # Run time used by every test and query, and the rule documents of FIXTURES F5.
 RUN_TS = "2026-01-01T00:00:00+00:00"
-RULES_DEFAULT = {"checks": [{"type": "not_null", "columns": ["id", "terms"]}]}
+RULES_DEFAULT = DEFAULT_RULES
 RULES_THREE = {
     "checks": [
         {"type": "not_null", "columns": ["id", "terms"]},

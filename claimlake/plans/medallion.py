@@ -75,7 +75,7 @@ def to_bronze(
 
 def silver_frames(bronze: DataFrame, rules: Mapping | str | None, run_ts: str) -> tuple[DataFrame, DataFrame, list]:
     """(clean, quarantined, checks) for a bronze frame; nothing is written."""
-    checks = q.build_checks(parse_rules(rules))
+    checks = q.compile_rules(parse_rules(rules))
     annotated = q.annotate(bronze, checks).withColumn(SILVER_AT, F.lit(run_ts))
     clean, failed = q.split(annotated, checks)
     return clean, failed, checks

@@ -120,10 +120,11 @@ ORACLE: dict[str, str] = {
     "check_not_null": f"""{WITH} SELECT id, terms, id IS NOT NULL AS _dq_not_null_id,
         terms IS NOT NULL AS _dq_not_null_terms FROM bronze""",
     "check_not_empty": f"{WITH} SELECT id, terms, {NOT_BLANK} AS _dq_not_empty_terms FROM f1",
-    "check_extension": f"""{WITH} SELECT id, terms, strlen(terms) <= {fx.STORE_MAX_BYTES} AS _dq_max_bytes_terms,
-        coalesce(strlen(terms) <= {fx.STORE_MAX_BYTES}, false) AS _dq_passed,
-        CASE WHEN coalesce(strlen(terms) <= {fx.STORE_MAX_BYTES}, false) THEN ''
-             ELSE '_dq_max_bytes_terms' END AS _dq_failed_checks FROM f1""",
+    "check_extension": f"""{WITH}, c AS (
+        SELECT id, terms, strlen(terms) <= {fx.STORE_MAX_BYTES} AND id IS NOT NULL AS _dq_max_bytes_terms FROM f1)
+        SELECT id, terms, _dq_max_bytes_terms, coalesce(_dq_max_bytes_terms, false) AS _dq_passed,
+        CASE WHEN coalesce(_dq_max_bytes_terms, false) THEN '' ELSE '_dq_max_bytes_terms' END AS _dq_failed_checks
+        FROM c""",
     "annotate_checks": f"{WITH} {ANNOTATED3.format(src='f1')}",
     "dq_passed": f"{WITH} SELECT id, terms, _dq_passed FROM ({ANNOTATED3.format(src='f1')}) a",
     "dq_failed_names": f"{WITH} SELECT id, terms, _dq_failed_checks FROM ({ANNOTATED3.format(src='f1')}) a",

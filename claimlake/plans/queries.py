@@ -32,19 +32,13 @@ MEASURES = ["character_length", "utf8_byte_length", "exceeds_redshift_varchar_65
 FEW_IDS = ["1", "2", "3"]
 
 
-class Utf8MaxBytesCheck(q.Check):
-    """Sample user-defined check (extension point): UTF-8 size of the value within ``limit``.
+def utf8_max_bytes(column: str, options) -> Column:
+    """Sample user-defined check: the value's UTF-8 size is within ``limit``, and its row's column
+    ``present`` isn't NULL. NULL, which counts as a failure, for a NULL value."""
+    return (F.octet_length(F.col(column)) <= F.lit(int(options["limit"]))) & F.col(options["present"]).isNotNull()
 
-    A NULL value yields NULL, which the framework counts as a failure.
-    """
 
-    stem = "max_bytes"
-
-    def expr(self) -> Column:
-        return F.octet_length(F.col(self.column)) <= F.lit(int(self.options["limit"]))
-
-
-RULES_CUSTOM = {"checks": [{"type": "utf8_max_bytes", "column": "terms", "limit": fx.STORE_MAX_BYTES}]}
+RULES_CUSTOM = {"checks": [{"type": "utf8_max_bytes", "column": "terms", "limit": fx.STORE_MAX_BYTES, "present": "id"}]}
 
 
 # ---------------------------------------------------------------------------------------------
@@ -248,22 +242,22 @@ def predicate_not_blank(spark, sf_dir):
 
 def _annotated(spark, sf_dir, rules) -> DataFrame:
     raw = _raw(spark, sf_dir).select("id", "terms")
-    return q.annotate(raw, q.build_checks(rules))
+    return q.annotate(raw, q.compile_rules(rules))
 
 
 def check_not_null(spark, sf_dir):
     lake = _bronze(spark, sf_dir, "chknn")
-    checks = q.build_checks(fx.RULES_DEFAULT)
+    checks = q.compile_rules(fx.RULES_DEFAULT)
     return q.annotate(spark.table(lake.bronze_name).select("id", "terms"), checks).drop(q.PASSED, q.FAILED)
 
 
 def check_not_empty(spark, sf_dir):
-    checks = q.build_checks({"checks": [{"type": "not_empty_string", "column": "terms"}]})
+    checks = q.compile_rules({"checks": [{"type": "not_empty_string", "column": "terms"}]})
     return q.annotate(_raw(spark, sf_dir).select("id", "terms"), checks).drop(q.PASSED, q.FAILED)
 
 
 def check_extension(spark, sf_dir):
-    q.register_check("utf8_max_bytes", Utf8MaxBytesCheck)
+    q.add_kind("utf8_max_bytes", "max_bytes", utf8_max_bytes)
     return _annotated(spark, sf_dir, RULES_CUSTOM)
 
 
@@ -284,7 +278,7 @@ def dq_no_checks(spark, sf_dir):
 
 
 def filter_passed(spark, sf_dir):
-    checks = q.build_checks(fx.RULES_THREE)
+    checks = q.compile_rules(fx.RULES_THREE)
     return q.passed_rows(q.annotate(_raw(spark, sf_dir).select("id", "terms"), checks), checks)
 
 
