@@ -12,6 +12,7 @@ readable ``message`` otherwise, and the object size ``n_bytes`` when the object
 from __future__ import annotations
 
 import math
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ from claimlake.session import default_parallelism, shared_root, sql_conf
 
 STORE_COLUMNS = ("bucket", "key", "content", "n_bytes")
 
-# Guardrail defaults (rows per resolve, bytes per object) and status codes.
+# The inline guardrails, for callers that ask for them (nothing is limited by default),
+# and the status codes.
 MAX_ROWS = 100
 MAX_BYTES = 60000
 OK = "ok"
@@ -34,17 +36,11 @@ NOT_FOUND = "not_found"
 TOO_LARGE = "too_large"
 UNDECODABLE = "undecodable"
 ACCESS_DENIED = "access_denied"
-def _no_match() -> dict[str, Column]:
-    """Store-side columns of a row that has no lookup key."""
-    return {
-        "__sk": F.lit(None).cast("string"),
-        "__sn": F.lit(None).cast("bigint"),
-        "__sc": F.lit(None).cast("binary"),
-    }
+NO_CONTENT = "no_content"
 
-
-# Bulk resolve: a key with at least this share of the pointers is joined by broadcast.
-HOT_FRACTION = 0.01
+# Bulk resolve: a key whose pointers exceed this many times the mean of a join partition is hot; the
+# parts that a hot key is cut into when its object is too large to broadcast.
+HOT_TIMES, HOT_PARTS = 4, 32
 HOT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -79,55 +75,53 @@ def payload(
     )
 
 
-# Per-row overhead added to the measured width of a de-dup winner row (key + order values).
+IDENTITY = ["bucket", "key"]
+# Per-row overhead added to the measured width of a de-dup winner row (identity + order values).
 WINNER_ROW_OVERHEAD = 64
 
 
-def _winners(rows: DataFrame, order: list[str], repeated_only: bool = False) -> DataFrame:
-    """``(key, _w)``: the greatest ``order`` struct per key, from a partial (map-side) aggregate
-    over narrow columns, so a key holding a third of all rows costs one row per map task."""
-    per_key = rows.select("key", *order).groupBy("key").agg(
-        F.max(F.struct(*[F.col(c) for c in order])).alias("_w"), F.count(F.lit(1)).alias("_c")
-    )
-    if repeated_only:
-        per_key = per_key.filter(F.col("_c") > 1)
-    return per_key.select("key", "_w")
-
-
 def keep_latest(
-    rows: DataFrame, order: list[str], repeated_keys: int | None = None, row_bytes: int | None = None
+    rows: DataFrame,
+    order: list[str],
+    identity: list[str] | None = None,
+    winner_bytes: int | None = None,
+    broadcast_bytes: int = HOT_BROADCAST_BYTES,
 ) -> DataFrame:
-    """One row per ``key``: the one with the greatest ``order`` tuple ("the last write wins").
-
-    When the number of repeated keys and the widest winner row (``row_bytes``) are known and
-    the winners fit the broadcast limit, the winners of just those keys are broadcast and each
-    row is kept or dropped map-side: the rows (with their text) are not shuffled at all.
-    Otherwise the rows are semi-joined with all winners on the unique ``(key, order...)``
-    tuple, so no join partition is skewed.
+    """One row per object (``identity``: bucket and key): the one with the greatest ``order`` tuple
+    ("the last write wins"; NULL is the smallest value, and among equal tuples the content of
+    greatest hash wins).
+
+    The winners of repeated objects come from a partial (map-side) aggregate over narrow columns.
+    Each row is joined with them and kept if it is the winner, whichever way Spark joins: by
+    broadcast when ``winner_bytes`` is known and within ``broadcast_bytes``, else by a shuffle
+    whose skewed partitions AQE splits. Copies that agree in every respect are then reduced to one.
     """
-    if (
-        repeated_keys is not None
-        and row_bytes is not None
-        and repeated_keys * (row_bytes + WINNER_ROW_OVERHEAD) <= HOT_BROADCAST_BYTES
-    ):
-        winners = F.broadcast(_winners(rows, order, repeated_only=True))
-        mine = F.struct(*[F.col(c) for c in order])
-        return rows.join(winners, "key", "left").filter(F.col("_w").isNull() | (mine == F.col("_w"))).drop("_w")
-    winners = _winners(rows, order).select("key", *[F.col(f"_w.{c}").alias(c) for c in order])
-    return rows.join(winners, ["key", *order], "left_semi")
-
-
-def unique_keys(rows: DataFrame, order: list[str] | None, size_col: str = "n_bytes") -> tuple[DataFrame, dict]:
-    """``rows`` made unique on ``key`` (greatest ``order`` wins) plus stats (keys, bytes, copies).
-
-    One small aggregate over ``key`` and the size column tells whether any key repeats and how
-    many do; the de-dup (:func:`keep_latest`) only runs when one does.
+    identity = identity or IDENTITY
+    tie = F.xxhash64("content") if "content" in rows.columns else F.lit(0)
+    mine = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], tie.alias("tie"))
+    marked = rows.withColumn("__mine", mine)
+    winners = marked.groupBy(*identity).agg(F.max("__mine").alias("__best"), F.count(F.lit(1)).alias("__n"))
+    winners = winners.filter(F.col("__n") > 1).select(*identity, "__best")
+    if winner_bytes is not None and winner_bytes <= broadcast_bytes:
+        winners = F.broadcast(winners)
+    joined = marked.join(winners, identity, "left")
+    kept = joined.filter(F.col("__best").isNull() | F.col("__mine").eqNullSafe(F.col("__best")))
+    single = kept.filter(F.col("__best").isNull()).select(*rows.columns)
+    equal = kept.filter(F.col("__best").isNotNull()).select(*rows.columns).dropDuplicates(identity)
+    return single.unionByName(equal)
+
+
+def unique_objects(rows: DataFrame, order: list[str] | None, size_col: str = "n_bytes") -> tuple[DataFrame, dict]:
+    """``rows`` made unique on bucket and key (greatest ``order`` wins) plus stats (keys, bytes, copies).
+
+    One small aggregate over the identity and the size column tells whether any object repeats and
+    how many do; the de-dup (:func:`keep_latest`) only runs when one does.
     """
-    width = F.octet_length("key")
+    width = F.octet_length("key") + F.octet_length("bucket")
     for c in order or []:
         width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
     stats = (
-        rows.groupBy("key")
+        rows.groupBy(*IDENTITY)
         .agg(F.count(F.lit(1)).alias("c"), F.max(size_col).alias("b"), F.max(width).alias("w"))
         .agg(
             F.max("c").alias("max_copies"),
@@ -141,8 +135,9 @@ def unique_keys(rows: DataFrame, order: list[str] | None, size_col: str = "n_byt
     info = {k: int(stats[k] or 0) for k in ("keys", "bytes", "max_copies", "repeated_keys", "row_bytes")}
     if info["max_copies"] > 1:
         if not order:
-            raise ValueError("store rows repeat a key; pass `order` to choose the copy to keep")
-        rows = keep_latest(rows, order, repeated_keys=info["repeated_keys"], row_bytes=info["row_bytes"])
+            raise ValueError("store rows repeat an object; pass `order` to choose the copy to keep")
+        winner_bytes = info["repeated_keys"] * (info["row_bytes"] + WINNER_ROW_OVERHEAD)
+        rows = keep_latest(rows, order, winner_bytes=winner_bytes)
     return rows, info
 
 
@@ -156,16 +151,17 @@ def write_store(
     num_buckets: int | None = None,
     writer: TableWriter | None = None,
 ) -> dict:
-    """Write store rows as a table bucketed and sorted by ``key``; keys made unique first.
+    """Write store rows as a table bucketed and sorted by ``key``; one row per bucket and key.
 
-    One small aggregate (over ``key`` and the size column only) tells whether any key repeats
-    and how many bytes the store holds; the bucket count follows from the bytes. The de-dup
-    join only runs when a key actually repeats.
+    One small aggregate (over the identity and the size column) tells whether any object repeats
+    and how many bytes the store holds; the number of hash buckets follows from the bytes. Sizes
+    are measured again from the content as it is written, so a caller's ``n_bytes`` is never trusted.
     """
-    rows, info = unique_keys(rows, order, size_col)
+    rows, info = unique_objects(rows, order, size_col)
     writer = writer or TableWriter(target_file_bytes)
     floor = min(default_parallelism(rows.sparkSession), max(info["keys"], 1))
     n = num_buckets or max(floor, bucket_count(info["bytes"], writer.target_file_bytes))
+    rows = rows.withColumn("n_bytes", F.octet_length("content").cast("bigint"))
     writer.replace_bucketed(rows.select(*STORE_COLUMNS), table, "key", n)
     return dict(info, buckets=n)
 
@@ -217,12 +213,13 @@ def too_many_message(max_rows: int) -> str:
 
 # The messages shown in place of a text (our own wording).
 MSG_MISSING = "No pointer in this row - there is no text to fetch."
-MSG_NOT_FOUND = "No object behind this pointer - it may be stale or wrong."
+MSG_NOT_FOUND = "The store holds nothing under this key."
 MSG_UNDECODABLE = "The stored object is not UTF-8 text."
 MSG_MALFORMED = ("Pointer '", "' is not of the form s3://bucket/key.")
 MSG_NO_STORE = ("Bucket '", "' is not a known text store.")
 MSG_TOO_LARGE = ("Text too large to return inline (", " bytes, limit {limit} bytes).")
-MSG_ACCESS_DENIED = "Not allowed to read the stored object - ask the data owners for access."
+MSG_ACCESS_DENIED = "The store refused to hand out this object."
+MSG_NO_CONTENT = "The stored row has no content."
 MSG_ERROR = ("Could not read the stored object (", ").")
 
 
@@ -237,6 +234,7 @@ def _messages(u: Column, b: Column, n: Column, max_bytes: int | None) -> dict[st
             F.lit(MSG_TOO_LARGE[0]), T.with_thousands(n), F.lit(MSG_TOO_LARGE[1].format(limit=limit))
         ),
         UNDECODABLE: F.lit(MSG_UNDECODABLE),
+        NO_CONTENT: F.lit(MSG_NO_CONTENT),
     }
 
 
@@ -245,36 +243,41 @@ def resolve_text(
     pointer_col: str,
     store: DataFrame,
     *,
-    bucket: str,
-    max_rows: int | None = MAX_ROWS,
-    max_bytes: int | None = MAX_BYTES,
+    bucket: str | Collection[str],
+    max_rows: int | None = None,
+    max_bytes: int | None = None,
     text_col: str = "full_text",
-    hot_fraction: float | None = HOT_FRACTION,
+    hot_times: float | None = HOT_TIMES,
     hot_broadcast_bytes: int = HOT_BROADCAST_BYTES,
 ) -> DataFrame:
     """``df`` plus ``status``, ``text_col``, ``message`` and ``n_bytes`` for each pointer.
 
-    * ``max_rows`` (guardrail for inline use): the whole input is counted, bounded by
-      ``limit(max_rows + 1)``; over the cap every row gets ``too_many`` and nothing is read.
-      Under the cap the at most ``max_rows`` keys go into the store scan as an ``IN`` filter
-      (bucket pruning, then Parquet row-group filtering); the hits, at most
-      ``max_rows * max_bytes`` bytes, are read at once and broadcast.
-    * ``max_rows=None`` is the bulk path: a left join on ``key``; with the store bucketed on
-      ``key`` only the pointer side is shuffled. Keys that hold at least ``hot_fraction`` of
-      the pointers (so at most ``1 / hot_fraction`` keys) are split off and joined with a
-      broadcast of just their objects (bounded by ``max_bytes`` per object, or checked against
-      ``hot_broadcast_bytes``), so no single task receives a hot key's rows.
+    ``bucket`` names the bucket, or buckets, that the store holds; a pointer to any other one is
+    ``no_store``. By default nothing is limited: a left join on bucket and key; with the store
+    bucketed on ``key`` only the pointer side is shuffled. Keys with over ``hot_times`` the
+    pointers of a mean join partition are split off and joined with a broadcast of just their
+    objects, or, if those exceed ``hot_broadcast_bytes``, in ``HOT_PARTS`` parts each, so no task
+    receives all rows of a hot key.
+
+    * ``max_rows`` (guardrail for inline use): the input is counted up to ``max_rows + 1``; over
+      the cap every row gets ``too_many`` and nothing is read. Under it the keys go into the
+      store scan as an ``IN`` filter (hash-bucket pruning, then row-group filtering).
     * ``max_bytes``: objects over it report ``too_large`` with their size; their bytes are
       never returned.
     """
+    known = sorted({bucket} if isinstance(bucket, str) else bucket)
+    _no_clash(df, text_col)
     u = F.col(pointer_col)
     parsed = df.withColumns({"__b": T.pointer_bucket(u), "__k": T.pointer_key(u)})
-    parsed = parsed.withColumn("__jk", F.when((F.col("__b") == bucket) & (F.col("__k") != ""), F.col("__k")))
-    body = F.col("content") if max_bytes is None else F.when(F.col("n_bytes") <= max_bytes, F.col("content"))
-    if "bucket" in store.columns:  # a store may hold several buckets: match the key in ours
-        store = store.filter(F.col("bucket") == bucket)
-    objects = store.select(F.col("key").alias("__sk"), F.col("n_bytes").alias("__sn"), body.alias("__sc"))
-    on = F.col("__jk") == F.col("__sk")
+    parsed = parsed.withColumn("__jk", F.when(F.col("__b").isin(known) & (F.col("__k") != ""), F.col("__k")))
+    size = F.coalesce(F.octet_length("content").cast("bigint"), F.col("n_bytes"))  # as stored, not as declared
+    body = F.col("content") if max_bytes is None else F.when(F.octet_length("content") <= max_bytes, F.col("content"))
+    held = F.col("bucket") if "bucket" in store.columns else F.lit(known[0])
+    objects = store.select(F.col("key").alias("__sk"), held.alias("__sb"), size.alias("__sn"), body.alias("__sc"))
+    # The bucket is compared beside the join key (not as one), so that a store hashed by key alone
+    # is still read in place.
+    same_bucket = F.least("__b", "__sb") == F.greatest("__b", "__sb")
+    on = (F.col("__jk") == F.col("__sk")) & same_bucket
     if max_rows is not None:
         # One bounded job answers both questions: more than max_rows rows? which keys?
         sample = [r[0] for r in parsed.select("__jk").limit(max_rows + 1).collect()]
@@ -290,42 +293,69 @@ def resolve_text(
         # an outer join they would all hash to one partition.
         keyless = parsed.filter(F.col("__jk").isNull()).withColumns(_no_match())
         keyed = parsed.filter(F.col("__jk").isNotNull())
-        hot = hot_keys(keyed, "__jk", hot_fraction) if hot_fraction else []
-        if hot and _bounded(store, hot, max_bytes, hot_broadcast_bytes):
-            is_hot = F.col("__jk").isin(hot)
-            hot_part = keyed.filter(is_hot).join(F.broadcast(objects.filter(F.col("__sk").isin(hot))), on, "left")
-            joined = hot_part.unionByName(keyed.filter(~is_hot).join(objects, on, "left"))
-        else:
-            joined = keyed.join(objects, on, "left")
-        joined = joined.unionByName(keyless)
+        hot = hot_keys(keyed, "__jk", min(0.5, hot_times / _partitions(store))) if hot_times else []
+        is_hot = F.col("__jk").isin(hot)
+        joined = (keyed.filter(~is_hot) if hot else keyed).join(objects, on, "left").unionByName(keyless)
+        if hot:
+            wanted = objects.filter(F.col("__sk").isin(hot))
+            if _bounded(store, hot, max_bytes, hot_broadcast_bytes):
+                hot_rows = keyed.filter(is_hot).join(F.broadcast(wanted), on, "left")
+            else:  # the rows of a key in parts, each with its copy of the object
+                parts = keyed.filter(is_hot).withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.lit(HOT_PARTS)))
+                copies = wanted.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(HOT_PARTS - 1).cast("long"))))
+                hot_rows = parts.join(copies, on & (F.col("__part") == F.col("__copy")), "left").drop("__part", "__copy")
+            joined = hot_rows.unionByName(joined)
+
+    return _finish(joined, u, known, max_bytes, text_col)
+
+
+def _no_clash(df: DataFrame, text_col: str) -> None:
+    """Columns that a resolve adds must not hide the caller's own."""
+    clash = [c for c in ("status", text_col, "message", "n_bytes") if c in df.columns]
+    if clash:
+        raise ValueError(f"the input already has column(s) {', '.join(clash)}; rename them first")
+
+
+def _partitions(store: DataFrame) -> int:
+    """Partitions that a join with ``store`` is spread over, at least."""
+    spark = store.sparkSession
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), default_parallelism(spark))
+
 
-    return _finish(joined, u, bucket, max_bytes, text_col)
+def _no_match() -> dict[str, Column]:
+    """Store-side columns of a row that has no lookup key."""
+    return {
+        "__sk": F.lit(None).cast("string"),
+        "__sb": F.lit(None).cast("string"),
+        "__sn": F.lit(None).cast("bigint"),
+        "__sc": F.lit(None).cast("binary"),
+    }
 
 
 def _finish(
-    joined: DataFrame, u: Column, bucket: str | None, max_bytes: int | None, text_col: str, with_errors: bool = False
+    joined: DataFrame, u: Column, known: list[str] | None, max_bytes: int | None, text_col: str, with_errors: bool = False
 ) -> DataFrame:
     """Status, text, message and size from the joined ``__b/__sk/__sn/__sc`` (+ ``__err``)."""
     b, n, c = F.col("__b"), F.col("__sn"), F.col("__sc")
     status = F.when(u.isNull() | (u == ""), F.lit(MISSING_POINTER)).when(b == "", F.lit(MALFORMED))
-    if bucket is not None:
-        status = status.when(b != bucket, F.lit(NO_STORE))
+    if known is not None:
+        status = status.when(~b.isin(known), F.lit(NO_STORE))
     if with_errors:
         err = F.col("__err")
         status = status.when(err.isNotNull() & (err != NOT_FOUND), err).when(err == NOT_FOUND, F.lit(NOT_FOUND))
     status = status.when(F.col("__sk").isNull(), F.lit(NOT_FOUND))
     if max_bytes is not None:
         status = status.when(n > max_bytes, F.lit(TOO_LARGE))
-    status = status.when(~T.is_utf8(c), F.lit(UNDECODABLE)).otherwise(F.lit(OK))
+    status = status.when(c.isNull(), F.lit(NO_CONTENT)).when(~T.is_utf8(c), F.lit(UNDECODABLE)).otherwise(F.lit(OK))
 
     msgs = _messages(u, b, n, max_bytes)
     s = F.col("status")
     message = F.when(s == MISSING_POINTER, msgs[MISSING_POINTER])
-    for code in (MALFORMED, NO_STORE, NOT_FOUND, TOO_LARGE, UNDECODABLE):
+    for code in (MALFORMED, NO_STORE, NOT_FOUND, TOO_LARGE, UNDECODABLE, NO_CONTENT):
         message = message.when(s == code, msgs[code])
     if with_errors:
         message = message.when(s == ACCESS_DENIED, F.lit(MSG_ACCESS_DENIED)).when(
-            s.startswith("error:"), F.concat(F.lit(MSG_ERROR[0]), F.substring(s, 7, 200), F.lit(MSG_ERROR[1]))
+            s.startswith("error:"), F.concat(F.lit(MSG_ERROR[0]), F.regexp_replace(s, "^error:", ""), F.lit(MSG_ERROR[1]))
         )
 
     return (
@@ -337,7 +367,7 @@ def _finish(
                 "n_bytes": n,
             }
         )
-        .drop("__b", "__k", "__jk", "__sk", "__sn", "__sc", "__err")
+        .drop("__b", "__k", "__jk", "__sk", "__sb", "__sn", "__sc", "__err")
     )
 
 
@@ -357,8 +387,8 @@ def resolve_files(
     pointer_col: str,
     root: str,
     *,
-    max_rows: int | None = MAX_ROWS,
-    max_bytes: int | None = MAX_BYTES,
+    max_rows: int | None = None,
+    max_bytes: int | None = None,
     text_col: str = "full_text",
 ) -> DataFrame:
     """:func:`resolve_text` against object files under ``root`` (``root/<bucket>/<key>``).
@@ -371,6 +401,7 @@ def resolve_files(
     """
     from claimlake.sources.objects import fetch_objects
 
+    _no_clash(df, text_col)
     u = F.col(pointer_col)
     parsed = df.withColumns({"__b": T.pointer_bucket(u), "__k": T.pointer_key(u)})
     has_key = F.coalesce(F.col("__b") != "", F.lit(False))
@@ -392,7 +423,7 @@ def resolve_files(
     on = (F.col("__b") == F.col("__fb")) & (F.col("__k") == F.col("__fk"))
     # Pointers that cannot name an object skip the join (they would share one partition).
     keyless = parsed.filter(~has_key).withColumns(dict(_no_match(), __err=F.lit(None).cast("string")))
-    joined = keyed.join(fetched, on, "left").drop("__fb", "__fk").unionByName(keyless)
+    joined = keyed.join(fetched, on, "left").drop("__fb", "__fk").unionByName(keyless.drop("__sb"))
     return _finish(joined, u, None, max_bytes, text_col, with_errors=True)
 
 

@@ -104,6 +104,27 @@ def store_rows(docs: DataFrame) -> DataFrame:
     ).withColumn("n_bytes", F.octet_length("content").cast("bigint"))
 
 
+TWO_BUCKETS = (TERMS_BUCKET, "more-terms")
+
+
+def repeated_rows(docs: DataFrame) -> DataFrame:
+    """(bucket, key, content, version) - seven keys' worth of ids fold into one key, in two
+    buckets; versions are NULL, tied or distinct, and of tied copies all hold the same text."""
+    d = F.col("doc_id")
+    folded = F.floor(d / 7).cast("bigint")
+    version = F.when(d % 7 < 2, F.lit(None).cast("bigint")).otherwise(F.least(d % 7, F.lit(5)).cast("bigint"))
+    text = F.concat(F.lit("copy "), F.coalesce(version, F.lit(0)).cast("string"), F.lit(" of "), folded.cast("string"))
+    bucket = F.explode(F.array(*[F.lit(b) for b in TWO_BUCKETS]))
+    return docs.select(
+        bucket.alias("bucket"),
+        F.concat(F.lit("terms/"), folded.cast("string"), F.lit(".txt")).alias("key"),
+        text.alias("__text"),
+        version.alias("version"),
+    ).select("bucket", "key", F.encode(F.concat("bucket", F.lit(" "), "__text"), "UTF-8").alias("content"), "version").withColumn(
+        "n_bytes", F.octet_length("content").cast("bigint")
+    )
+
+
 # ---------------------------------------------------------------------------------------------
 # The same fixtures as DuckDB SQL (used by oracle_sql()).
 # ---------------------------------------------------------------------------------------------
@@ -154,3 +175,11 @@ SELECT '{TERMS_BUCKET}' AS bucket, 'terms/' || CAST(doc_id AS VARCHAR) || '.txt'
        doc_id % 29 = 0 AS bad
 FROM documents
 """
+
+SQL_REPEATED = f"""
+SELECT b.bucket, 'terms/' || CAST(doc_id // 7 AS VARCHAR) || '.txt' AS key,
+       b.bucket || ' copy ' || CAST(max(CASE WHEN doc_id % 7 < 2 THEN 0 ELSE least(doc_id % 7, 5) END) AS VARCHAR)
+         || ' of ' || CAST(doc_id // 7 AS VARCHAR) AS text
+FROM documents, (VALUES {", ".join(f"('{b}')" for b in TWO_BUCKETS)}) b(bucket)
+GROUP BY b.bucket, doc_id // 7
+"""

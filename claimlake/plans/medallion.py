@@ -130,8 +130,8 @@ def resolve_gold(
     lake: Lake,
     *,
     ids: list[str] | None = None,
-    max_rows: int | None = cc.MAX_ROWS,
-    max_bytes: int | None = cc.MAX_BYTES,
+    max_rows: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """``SELECT id, terms, <text> AS full_text FROM gold [WHERE id IN ids]`` with statuses."""
     gold = spark.table(lake.gold_name)
@@ -160,7 +160,7 @@ def resolve_gold_to_table(
     table: str,
     *,
     ids: list[str] | None = None,
-    max_bytes: int | None = cc.MAX_BYTES,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Bulk resolve of gold written to ``table`` (in the lake database): the bulk export.
 
@@ -194,7 +194,7 @@ def preview(spark: SparkSession, lake: Lake, layer: str, n: int = 10, order_by:
 
 
 def register_resolved_view(
-    spark: SparkSession, lake: Lake, view: str = "gold_with_text", *, max_bytes: int | None = cc.MAX_BYTES
+    spark: SparkSession, lake: Lake, view: str = "gold_with_text", *, max_bytes: int | None = None
 ) -> str:
     """Temp view ``id, terms, status, full_text, message, n_bytes`` over gold for SQL users.
 
@@ -211,35 +211,35 @@ def _sql_str(s: str) -> str:
 
 
 def register_text_function(
-    spark: SparkSession, lake: Lake, name: str = "get_text_from_s3", *, max_bytes: int = cc.MAX_BYTES
+    spark: SparkSession, lake: Lake, name: str = "get_text_from_s3", *, max_bytes: int | None = None
 ) -> str:
     """SQL function ``<name>(s3_uri STRING) RETURNS STRING``: the text behind a pointer, or a
     message saying why not (same wording and order of checks as :func:`resolve_text`).
 
     ``SELECT id, terms, get_text_from_s3(terms) AS full_text FROM gold WHERE id IN (...)``:
-    Catalyst turns the correlated lookup into a left outer join with the store; with the store
-    bucketed on ``key`` the store side is read in place and only the pointers are shuffled.
-    A function cannot see how many rows its query asks for, so there is no row cap here, and
-    it reads the whole store; for a handful of rows :func:`resolve_gold` (keys pushed into the
-    store scan) is far cheaper. Registered as a temporary function of the session.
+    The correlated lookup is a left join with the store on its key, which is unique in a bucket,
+    so no text is aggregated; with the store bucketed on ``key`` it is read in place and only the
+    pointers are shuffled. A function cannot see which keys its query will ask for, so the store
+    scan is not pruned; for a handful of rows :func:`resolve_gold` with ``max_rows`` pushes the
+    keys into it. ``max_bytes`` is no limit unless given. A temporary function of the session.
     """
     from claimlake.functions.text import POINTER_WHITESPACE, SPARK_POINTER_PATTERN
 
     trimmed = f"btrim(s3_uri, {_sql_str(POINTER_WHITESPACE)})"
     part = lambda i: f"regexp_extract({trimmed}, {_sql_str(SPARK_POINTER_PATTERN)}, {i})"
-    too_large = (
-        f"concat({_sql_str(cc.MSG_TOO_LARGE[0])}, format_number(n_bytes, 0), "
-        f"{_sql_str(cc.MSG_TOO_LARGE[1].format(limit=f'{max_bytes:,}'))})"
-    )
+    large = ""
+    if max_bytes is not None:
+        told = f"concat({_sql_str(cc.MSG_TOO_LARGE[0])}, format_number(n_bytes, 0), {_sql_str(cc.MSG_TOO_LARGE[1].format(limit=f'{max_bytes:,}'))})"
+        large = f"WHEN n_bytes > {int(max_bytes)} THEN {told}"
     body = f"""
       CASE WHEN s3_uri IS NULL OR s3_uri = '' THEN {_sql_str(cc.MSG_MISSING)}
            WHEN {part(1)} = '' THEN concat({_sql_str(cc.MSG_MALFORMED[0])}, s3_uri, {_sql_str(cc.MSG_MALFORMED[1])})
            WHEN {part(1)} <> {_sql_str(lake.terms_bucket)}
              THEN concat({_sql_str(cc.MSG_NO_STORE[0])}, {part(1)}, {_sql_str(cc.MSG_NO_STORE[1])})
            ELSE coalesce(
-             (SELECT max(CASE WHEN n_bytes > {int(max_bytes)} THEN {too_large}
-                              WHEN NOT is_valid_utf8(CAST(content AS STRING)) THEN {_sql_str(cc.MSG_UNDECODABLE)}
-                              ELSE CAST(content AS STRING) END)
+             (SELECT CASE {large} WHEN content IS NULL THEN {_sql_str(cc.MSG_NO_CONTENT)}
+                          WHEN NOT is_valid_utf8(CAST(content AS STRING)) THEN {_sql_str(cc.MSG_UNDECODABLE)}
+                          ELSE CAST(content AS STRING) END
               FROM {lake.store_name} WHERE bucket = {_sql_str(lake.terms_bucket)} AND key = {part(2)}),
              {_sql_str(cc.MSG_NOT_FOUND)})
       END"""

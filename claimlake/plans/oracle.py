@@ -16,6 +16,9 @@ NOT_BLANK = "(terms IS NOT NULL AND length(trim(terms)) > 0)"
 DEFAULT_OK = "(id IS NOT NULL AND terms IS NOT NULL)"
 
 
+NO_LIMIT = 2**62
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -33,8 +36,9 @@ FROM (SELECT id, terms, id IS NOT NULL AS _dq_not_null_id, terms IS NOT NULL AS
 """
 
 
-def _resolved(max_bytes: int, src: str, ptr: str, key_cols: str) -> str:
+def _resolved(max_bytes: int | None, src: str, ptr: str, key_cols: str) -> str:
     """Resolve semantics over pointers ``ptr`` of ``src`` with the store ``st`` in scope."""
+    max_bytes = NO_LIMIT if max_bytes is None else max_bytes
     lim = f"{max_bytes:,}"
     return f"""
 p AS (SELECT {key_cols}, {ptr} AS __u,
@@ -60,6 +64,10 @@ r AS (SELECT *, CASE WHEN status = 'ok' THEN __t END AS full_text,
 """
 
 
+RESOLVE_WHOLE = f"""
+WITH ptr AS ({fx.SQL_POINTERS}), st AS ({fx.SQL_STORE}),
+{_resolved(None, "ptr", "u", "doc_id, u")}
+"""
 RESOLVE_FIXTURE = f"""
 WITH ptr AS ({fx.SQL_POINTERS}), st AS ({fx.SQL_STORE}),
 {_resolved(fx.STORE_MAX_BYTES, "ptr", "u", "doc_id, u")}
@@ -135,19 +143,25 @@ ORACLE: dict[str, str] = {
     "parse_uri": f"""WITH ptr AS ({fx.SQL_POINTERS}) SELECT doc_id, u,
         regexp_extract(trim(u, {WS}), {PAT}, 1) AS bucket,
         regexp_extract(trim(u, {WS}), {PAT}, 2) AS key FROM ptr""",
-    "resolve_text": f"{RESOLVE_FIXTURE} SELECT doc_id, u, status, full_text, message, n_bytes FROM r",
+    "resolve_text": f"{RESOLVE_WHOLE} SELECT doc_id, u, status, full_text, message, n_bytes FROM r",
     "resolve_status": f"{RESOLVE_FIXTURE} SELECT status, count(*) AS n_rows FROM r GROUP BY status",
     "resolve_row_cap": f"""WITH ptr AS ({fx.SQL_POINTERS}) SELECT doc_id, u, '{cc.TOO_MANY}' AS status,
         CAST(NULL AS VARCHAR) AS full_text, {_q(cc.too_many_message(cc.MAX_ROWS))} AS message FROM ptr""",
     "resolve_few": f"""{WITH}, {GOLD_STORE}, g AS (SELECT * FROM gold WHERE id IN ('1', '2', '3')),
-        {_resolved(cc.MAX_BYTES, "g", "terms", "id, terms")}
+        {_resolved(None, "g", "terms", "id, terms")}
         SELECT id, terms, status, full_text, message, n_bytes FROM r""",
     "resolve_bulk": f"""{WITH}, {GOLD_STORE},
-        {_resolved(cc.MAX_BYTES, "gold", "terms", "id, terms")}
+        {_resolved(None, "gold", "terms", "id, terms")}
         SELECT id, terms, status, full_text, message, n_bytes FROM r""",
     "stream_arrivals": f"{WITH} SELECT id, terms, {MEASURES}, _dir AS _source_dir FROM f1",
-    "resolve_files": f"{RESOLVE_FIXTURE} SELECT doc_id, u, status, full_text, message, n_bytes FROM r",
+    "resolve_files": f"{RESOLVE_WHOLE} SELECT doc_id, u, status, full_text, message, n_bytes FROM r",
     "get_text_sql": f"""{WITH}, {GOLD_STORE},
-        {_resolved(fx.STORE_MAX_BYTES, "gold", "terms", "id, terms")}
+        {_resolved(None, "gold", "terms", "id, terms")}
+        SELECT id, terms, coalesce(full_text, message) AS full_text FROM r""",
+    "get_text_sql_few": f"""{WITH}, {GOLD_STORE}, g AS (SELECT * FROM gold WHERE id IN ('1', '2', '3')),
+        {_resolved(None, "g", "terms", "id, terms")}
         SELECT id, terms, coalesce(full_text, message) AS full_text FROM r""",
+    "offload_duplicates": f"SELECT bucket, key, text, CAST(strlen(text) AS BIGINT) AS n_bytes FROM ({fx.SQL_REPEATED}) s",
+    "resolve_two_buckets": f"""SELECT 's3://' || bucket || '/' || key AS u, 'ok' AS status, text AS full_text,
+        CAST(strlen(text) AS BIGINT) AS n_bytes FROM ({fx.SQL_REPEATED}) s""",
 }

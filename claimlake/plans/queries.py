@@ -291,27 +291,28 @@ def parse_uri(spark, sf_dir):
 
 
 def resolve_text(spark, sf_dir):
-    return _resolve_fixture(spark, sf_dir, "restext", max_rows=None, max_bytes=fx.STORE_MAX_BYTES)
+    return _resolve_fixture(spark, sf_dir, "restext")
 
 
 def resolve_status(spark, sf_dir):
-    res = _resolve_fixture(spark, sf_dir, "resstat", max_rows=None, max_bytes=fx.STORE_MAX_BYTES)
+    # The size guardrail is part of what this query shows.
+    res = _resolve_fixture(spark, sf_dir, "resstat", max_bytes=fx.STORE_MAX_BYTES)
     return res.groupBy("status").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def resolve_row_cap(spark, sf_dir):
-    # All pointers against the default cap of 100 rows: the guardrail must answer too_many.
-    return _resolve_fixture(spark, sf_dir, "rescap").select("doc_id", "u", "status", "full_text", "message")
+    # All pointers against a cap of 100 rows: the guardrail must answer too_many.
+    return _resolve_fixture(spark, sf_dir, "rescap", max_rows=cc.MAX_ROWS).select("doc_id", "u", "status", "full_text", "message")
 
 
 def resolve_few(spark, sf_dir):
     lake = _gold(spark, sf_dir, "resfew")
-    return m.resolve_gold(spark, lake, ids=FEW_IDS)
+    return m.resolve_gold(spark, lake, ids=FEW_IDS, max_rows=cc.MAX_ROWS)
 
 
 def resolve_bulk(spark, sf_dir):
     lake = _gold(spark, sf_dir, "resbulk")
-    return m.resolve_gold(spark, lake, max_rows=None)
+    return m.resolve_gold(spark, lake)
 
 
 def resolve_files(spark, sf_dir):
@@ -320,16 +321,41 @@ def resolve_files(spark, sf_dir):
     root = f"{lake.root}/objects"
     obj.write_object_files(fx.store_rows(fx.documents(spark, sf_dir)), root, lake.scratch("manifest"))
     ptrs = fx.pointer_rows(fx.documents(spark, sf_dir))
-    return cc.resolve_files(ptrs, "u", root, max_rows=None, max_bytes=fx.STORE_MAX_BYTES)
+    return cc.resolve_files(ptrs, "u", root)
 
 
 def get_text_sql(spark, sf_dir):
     """``SELECT id, terms, get_text_from_s3(terms) AS full_text FROM gold`` through the SQL function."""
     lake = _gold(spark, sf_dir, "sqlfn")
-    fn = m.register_text_function(spark, lake, f"get_text_{lake.database}", max_bytes=fx.STORE_MAX_BYTES)
+    fn = m.register_text_function(spark, lake, f"get_text_{lake.database}")
     return spark.sql(f"SELECT id, terms, {fn}(terms) AS full_text FROM {lake.gold_name}")
 
 
+def get_text_sql_few(spark, sf_dir):
+    """The SQL function under ``WHERE id IN (...)``."""
+    lake = _gold(spark, sf_dir, "sqlfew")
+    fn = m.register_text_function(spark, lake, f"get_text_{lake.database}")
+    ids = ", ".join(f"'{i}'" for i in FEW_IDS)
+    return spark.sql(f"SELECT id, terms, {fn}(terms) AS full_text FROM {lake.gold_name} WHERE id IN ({ids})")
+
+
+def offload_duplicates(spark, sf_dir):
+    """Objects that repeat, in two buckets, with NULL and tied order values: one copy of each stays."""
+    lake = Lake.fresh(spark, "dups").create(spark)
+    cc.write_store(fx.repeated_rows(fx.documents(spark, sf_dir)), lake.store_name, order=["version"])
+    return _store_text(spark.table(lake.store_name))
+
+
+def resolve_two_buckets(spark, sf_dir):
+    """Pointers to either of two registered buckets that hold the same keys."""
+    lake = Lake.fresh(spark, "twob").create(spark)
+    cc.write_store(fx.repeated_rows(fx.documents(spark, sf_dir)), lake.store_name, order=["version"])
+    store = spark.table(lake.store_name)
+    ptrs = store.select(F.concat(F.lit("s3://"), "bucket", F.lit("/"), "key").alias("u"))
+    out = cc.resolve_text(ptrs, "u", store, bucket=fx.TWO_BUCKETS)
+    return out.select("u", "status", "full_text", "n_bytes")
+
+
 def stream_arrivals(spark, sf_dir):
     lake, root = _landing(spark, sf_dir, "arrive")
     df = arrivals.stream_to_folder(spark, root, lake.scratch("arrivals"))
@@ -387,6 +413,9 @@ QUERIES: dict[str, Query] = {
         stream_pipeline,
         resolve_files,
         get_text_sql,
+        get_text_sql_few,
+        offload_duplicates,
+        resolve_two_buckets,
         source_to_bronze,
         medallion_end_to_end,
     )

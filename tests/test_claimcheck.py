@@ -33,7 +33,7 @@ def test_row_cap_exactly_and_one_over(spark, lake):
     store = _store(spark, lake, [("terms/1.txt", b"x")])
     for n, expect in ((100, "ok"), (101, "too_many")):
         ptrs = spark.range(n).select(F.lit("s3://bucket/terms/1.txt").alias("u"))
-        statuses = {r[0] for r in cc.resolve_text(ptrs, "u", store, bucket=BUCKET).select("status").collect()}
+        statuses = {r[0] for r in cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=100).select("status").collect()}
         assert statuses == {expect}, n
 
 
@@ -93,7 +93,7 @@ def test_hot_key_split_gives_same_rows(spark, lake):
     cold = [(f"s3://bucket/k{i % 60}",) for i in range(300)]
     ptrs = spark.createDataFrame(hot + cold + [(None,), ("junk",)], "u string")
     split = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=None)
-    plain = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=None, hot_fraction=None)
+    plain = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=None, hot_times=None)
     assert split.count() == 602
     assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
     plan = split._jdf.queryExecution().executedPlan().toString()
@@ -173,7 +173,7 @@ def test_bulk_plan_shuffles_only_the_pointer_side(spark, lake):
     ptrs = spark.createDataFrame([(f"s3://bucket/terms/{i}.txt",) for i in range(64)], "u string")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        res = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=None, hot_fraction=None)
+        res = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=None, hot_times=None)
         plan = res._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Bucketed: true" in plan
         store_side = plan[plan.index("SortMergeJoin"):]
@@ -184,15 +184,52 @@ def test_bulk_plan_shuffles_only_the_pointer_side(spark, lake):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_keep_latest_broadcast_and_semi_join_agree(spark):
-    data = [("k", "f1", i) for i in range(50)] + [("k", "f2", 3), ("j", "f1", 9), ("i", "f0", 1), ("i", "f0", 2)]
-    rows = spark.createDataFrame(data, "key string, src string, ord int")
-    small = cc.keep_latest(rows, ["src", "ord"], repeated_keys=2, row_bytes=10)
-    big = cc.keep_latest(rows, ["src", "ord"])
+def test_keep_latest_is_the_same_whichever_way_it_joins(spark):
+    data = [(b, "k", "f1", i) for i in range(50) for b in "xy"] + [("x", "k", "f2", 3), ("x", "j", "f1", 9), ("x", "i", "f0", 1), ("x", "i", "f0", 2)]
+    data += [("x", "n", None, 1), ("x", "n", None, None), ("x", "t", "f", 1), ("x", "t", "f", 1), ("x", "m", None, None), ("x", "m", None, None)]
+    rows = spark.createDataFrame(data, "bucket string, key string, src string, ord int")
+    small = cc.keep_latest(rows, ["src", "ord"], winner_bytes=10)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    want = {("k", "f2", 3), ("j", "f1", 9), ("i", "f0", 2)}
-    assert {tuple(r) for r in small.collect()} == want
-    assert {tuple(r) for r in big.collect()} == want
+    want = {("x", "k", "f2", 3), ("y", "k", "f1", 49), ("x", "j", "f1", 9), ("x", "i", "f0", 2), ("x", "n", None, 1), ("x", "t", "f", 1), ("x", "m", None, None)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = cc.keep_latest(rows, ["src", "ord"], winner_bytes=10, broadcast_bytes=0)
+        assert "SortMergeJoin" in big._jdf.queryExecution().executedPlan().toString()
+        for got in (small.collect(), big.collect()):
+            assert len(got) == len(want) and {tuple(r) for r in got} == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tied_versions_keep_one_copy_in_each_bucket(spark, lake):
+    data = [(b, "k", bytearray(t), 1) for b in ("b1", "b2") for t in (b"one", b"two", b"two")]
+    rows = spark.createDataFrame(data, "bucket string, key string, content binary, version int").withColumn("n_bytes", F.lit(1).cast("bigint"))
+    cc.write_store(rows, lake.store_name, order=["version"])
+    got = spark.table(lake.store_name).collect()
+    assert sorted(r["bucket"] for r in got) == ["b1", "b2"] and {r["n_bytes"] for r in got} == {3}
+    assert len({bytes(r["content"]) for r in got}) == 1
+
+
+def test_nothing_is_limited_unless_asked(spark, lake):
+    store = _store(spark, lake, [("big", b"x" * 70_000)])
+    ptrs = spark.range(150).select(F.lit("s3://bucket/big").alias("u"))
+    got = cc.resolve_text(ptrs, "u", store, bucket=BUCKET).collect()
+    assert len(got) == 150 and all(r["status"] == "ok" and len(r["full_text"]) == 70_000 for r in got)
+
+
+def test_own_columns_are_not_hidden(spark, lake):
+    store = _store(spark, lake, [("a", b"x")])
+    with pytest.raises(ValueError, match="status"):
+        cc.resolve_text(spark.createDataFrame([("s3://bucket/a", "MINE")], "u string, status string"), "u", store, bucket=BUCKET)
+
+
+def test_hot_keys_too_large_to_broadcast_are_joined_in_parts(spark, lake):
+    store = _store(spark, lake, [(f"k{i}", f"text {i}".encode()) for i in range(50)])
+    ptrs = spark.range(4000).select(F.concat(F.lit("s3://bucket/k"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 60).cast("string")).alias("u"))
+    parts = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, hot_times=1, hot_broadcast_bytes=0)
+    plain = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, hot_times=None)
+    assert "__part" in parts._jdf.queryExecution().optimizedPlan().toString()
+    assert parts.count() == 4000 and parts.exceptAll(plain).count() == 0 and plain.exceptAll(parts).count() == 0
 
 
 def test_capped_path_prunes_store_buckets(spark, lake):
@@ -228,7 +265,7 @@ def test_bulk_keyless_rows_skip_the_join(spark, lake):
     assert got == {"missing_pointer": 30, "malformed": 30, "no_store": 5, "ok": 20, "not_found": 5}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=None, hot_fraction=None)._jdf.queryExecution().executedPlan().toString()
+        plan = cc.resolve_text(ptrs, "u", store, bucket=BUCKET, max_rows=None, hot_times=None)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Union" in plan and "SortMergeJoin" in plan  # keyless rows go around the join
