@@ -358,7 +358,7 @@ def resolve_two_buckets(spark, sf_dir):
 
 def stream_arrivals(spark, sf_dir):
     lake, root = _landing(spark, sf_dir, "arrive")
-    df = arrivals.stream_to_folder(spark, root, lake.scratch("arrivals"))
+    df = arrivals.stream_to_folder(spark, root, lake.scratch("arrivals"), max_files_per_trigger=1)
     return df.select("id", "terms", *MEASURES, fx.relative_dir(F.col(SOURCE_FILE)).alias("_source_dir"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -154,14 +155,33 @@ def replace_table(df: DataFrame, name: str, *, target_file_bytes: int = TARGET_F
     of a join with the bucketed store, where a REBALANCE would shuffle all the text again).
     """
     if not rebalance:
-        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        _swap_in(df.sparkSession, name, lambda staging: df.write.format("parquet").saveAsTable(staging))
         return
     with sql_conf(
         df.sparkSession,
         spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_file_bytes),
         spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
     ):
-        df.hint("rebalance").write.mode("overwrite").format("parquet").saveAsTable(name)
+        _swap_in(df.sparkSession, name, lambda staging: df.hint("rebalance").write.format("parquet").saveAsTable(staging))
+
+
+def _swap_in(spark: SparkSession, name: str, write: Callable[[str], object]) -> None:
+    """Replace table ``name`` by what ``write`` writes under a staging name of its own.
+
+    The old table stays whole and readable until the new one is complete, and for good if the
+    write fails. Dropping the old and renaming the new table are two steps of the catalog: a
+    reader can find no table for that moment, and if the job ends exactly there, the new table
+    remains under its staging name.
+    """
+    db, _, table = name.rpartition(".")
+    staging = ".".join(x for x in (db, f"`{table.strip('`')}__{uuid.uuid4().hex[:8]}`") if x)
+    try:
+        write(staging)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
 
 
 def bucket_count(total_bytes: int, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
@@ -175,29 +195,20 @@ def replace_bucketed_table(df: DataFrame, name: str, key: str, num_buckets: int)
     file for one bucket. Later joins on ``key`` shuffle only the other side, and ``key IN``
     filters prune buckets and row groups.
     """
-    (
-        df.repartition(num_buckets, key)
-        .write.mode("overwrite")
-        .format("parquet")
-        .bucketBy(num_buckets, key)
-        .sortBy(key)
-        .saveAsTable(name)
+    dealt = df.repartition(num_buckets, key)
+    _swap_in(
+        df.sparkSession,
+        name,
+        lambda staging: dealt.write.format("parquet").bucketBy(num_buckets, key).sortBy(key).saveAsTable(staging),
     )
 
 
 def publish(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Full-refresh copy of ``source`` into ``target``.
 
-    The copy is built under a staging name first; only when it is complete is the old table
-    dropped and the staging table renamed. A failed copy leaves the old ``target`` intact.
-    On a plain Parquet catalog the drop + rename is a short gap, not one transaction.
+    The copy is swapped in when it is complete (see :func:`_swap_in`). It is a plain copy: the source
+    files already have the target size (written with REBALANCE), and the scan splits at
+    ``maxPartitionBytes``, so no shuffle is needed to keep it.
     """
-    db, _, table = target.rpartition(".")
-    staging = f"{db}.`{table.strip('`')}__staging`" if db else f"`{table.strip('`')}__staging`"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    # A plain copy: the source files already have the target size (written with REBALANCE),
-    # and the scan splits at ``maxPartitionBytes``, so no shuffle is needed to keep it.
-    spark.sql(f"CREATE TABLE {staging} USING parquet AS SELECT * FROM {source}")
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+    _swap_in(spark, target, lambda staging: spark.sql(f"CREATE TABLE {staging} USING parquet AS SELECT * FROM {source}"))
     return spark.table(target)

@@ -22,8 +22,11 @@ MEASURE_TYPES = {
     "exceeds_redshift_varchar_65535_bytes": "boolean",
 }
 SOURCE_FILE = "_source_file"
-# Token written for NULL so that NULL, '' and blank strings all survive a round trip.
-NULL_TOKEN = "\\N"
+# Token written for NULL so that NULL, '' and blank strings all survive a round trip; no text of
+# a landing file looks like it (a text ``\\N`` stays a text).
+NULL_TOKEN = "\u2400NULL\u2400"
+# Column of a row's raw line where it has more or fewer fields than the header.
+RAGGED = "_ragged_line"
 CSV_GLOB = "*.csv"
 
 _PARSE = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
@@ -73,16 +76,24 @@ def read_landing_csv(
     glob: str | None = CSV_GLOB,
     source_file: bool = True,
     multi_line: bool = True,
+    keep_ragged: bool = False,
 ) -> DataFrame:
     """All ``*.csv`` files under ``root`` (recursively), header row, all columns strings.
 
     ``multiLine`` is needed because texts hold newlines; it makes each file one split, so the
     scan parallelises across files (land many files, not one huge one). When the landing data
     has no line breaks inside values, ``multi_line=False`` makes big files splittable.
+
+    A row with more or fewer fields than the header stops the read; with ``keep_ragged`` its raw
+    line is kept in ``_ragged_line`` (NULL in whole rows) instead, for a quarantine.
     """
     reader = spark.read.options(**read_options(null_value, glob, multi_line))
-    if schema is not None:
-        reader = reader.schema(schema)
+    if keep_ragged:
+        schema = schema or reader.csv(root).schema
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAGGED).schema(schema.add(RAGGED, "string"))
+    else:
+        reader = reader.option("mode", "FAILFAST")
+        reader = reader if schema is None else reader.schema(schema)
     df = reader.csv(root)
     if source_file:
         df = with_source_file(df)
@@ -96,7 +107,7 @@ def stream_landing_csv(
     columns: Sequence[str] = LANDING_COLUMNS,
     null_value: str = NULL_TOKEN,
     glob: str | None = CSV_GLOB,
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
     """File-stream form of :func:`read_landing_csv`; a schema is mandatory for file streams.

@@ -37,6 +37,8 @@ def _write_partition(root: str):
         for pdf in batches:
             paths, sizes = [], []
             for bucket, key, content in zip(pdf["bucket"], pdf["key"], pdf["content"]):
+                if any(part in ("", ".", "..") for part in f"{bucket}/{key}".split("/")):
+                    raise ValueError(f"key {key!r} of bucket {bucket!r} does not name a file under the root")
                 path = f"{base}/{bucket}/{key}"
                 parent = path.rsplit("/", 1)[0]
                 if parent not in made:
@@ -89,11 +91,21 @@ def read_object_files(
 ) -> DataFrame:
     """Store rows (bucket, key, content, n_bytes) from object files, without any shuffle.
 
-    A union of scans: bodies of files within ``max_bytes`` (the ``length`` filter is pushed
-    into the source), files over it from a listing that never reads them (``content`` NULL,
-    true size kept, so a resolve can say ``too_large``), and - from ``manifest`` - the empty
-    objects that Spark's file listing skips.
+    With a ``manifest`` (from :func:`write_object_files`) exactly its objects are read, each by
+    its key, whatever its name or size: nothing is listed. Without one, the folders are scanned,
+    and Spark's file listing leaves out empty files and names that begin with ``_`` or ``.``.
+    Objects over ``max_bytes`` have a NULL ``content`` and their true size.
     """
+    if manifest is not None:
+        keys = manifest.select(F.col("bucket").alias("__b"), F.col("key").alias("__k"))
+        got = fetch_objects(keys, root, max_bytes)
+        lost = F.raise_error(F.concat(F.lit("object of the manifest not read: "), "__b", F.lit("/"), "__k", F.lit(" "), "__err"))
+        return got.select(
+            F.when(F.col("__err").isNull(), F.col("__b")).otherwise(lost.cast("string")).alias("bucket"),
+            F.col("__k").alias("key"),
+            F.col("__sc").alias("content"),
+            F.col("__sn").alias("n_bytes"),
+        )
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     bucket, key = _split_path(root)
     cols = [bucket.alias("bucket"), key.alias("key")]
@@ -105,14 +117,11 @@ def read_object_files(
             *cols, F.lit(None).cast("binary").alias("content"), F.col("length").alias("n_bytes")
         )
         out = small.unionByName(large)
-    if manifest is not None:
-        empty = manifest.filter(F.col("n_bytes") == 0).select(
-            "bucket", "key", F.unhex(F.lit("")).alias("content"), F.col("n_bytes").cast("bigint").alias("n_bytes")
-        )
-        out = out.unionByName(empty)
     return out
 
 
+# Bytes of object bodies after which a frame is handed on.
+FETCH_BYTES = 16 * 1024 * 1024
 FETCH_SCHEMA = "__b string, __k string, __err string, __sn bigint, __sc binary"
 
 
@@ -132,8 +141,13 @@ def _fetch_partition(root: str, max_bytes: int | None):
 
         filesystem, base = pafs.FileSystem.from_uri(arrow_uri(root))
         buckets: dict[str, bool] = {}
+        rows, held = [], 0
+
+        def frame() -> pd.DataFrame:
+            columns = ("__b", "__k", "__err", "__sn", "__sc")
+            return pd.DataFrame(rows, columns=columns).astype({"__sn": "Int64"})
+
         for pdf in batches:
-            errs, sizes, bodies = [], [], []
             for b, k in zip(pdf["__b"], pdf["__k"]):
                 err, size, body = None, None, None
                 try:
@@ -152,12 +166,13 @@ def _fetch_partition(root: str, max_bytes: int | None):
                                     body = f.read()
                 except Exception as exc:  # noqa: BLE001 - a read problem is a row status, never a failed job
                     err = classify_error(exc)
-                errs.append(err)
-                sizes.append(size)
-                bodies.append(body)
-            yield pd.DataFrame(
-                {"__b": pdf["__b"], "__k": pdf["__k"], "__err": errs, "__sn": pd.array(sizes, dtype="Int64"), "__sc": bodies}
-            )
+                rows.append((b, k, err, size, body))
+                held += len(body or b"")
+                if held >= FETCH_BYTES:  # bodies in one frame are bounded, however many keys come
+                    yield frame()
+                    rows, held = [], 0
+        if rows:
+            yield frame()
 
     return fetch
 

@@ -54,7 +54,7 @@ class StreamLake:
     def current_store(self, spark: SparkSession) -> DataFrame:
         """Store rows ``(bucket, key, content, n_bytes)``, latest batch's copy of each key.
 
-        Winners come from a partial aggregate on ``(key, _batch_id)``; a ``key`` filter on the
+        Winners come from a partial aggregate on narrow columns; a ``key`` filter on the
         result is pushed below it into the scan, so a capped resolve still reads few rows.
         """
         store = self.table(spark, "store", keep_batch=True)
@@ -107,12 +107,9 @@ def _layers(staged: DataFrame, put, lake: Lake, rules, ts: str) -> None:
     rows = cc.payload(
         staged, bucket=lake.terms_bucket, prefix=lake.terms_prefix, keep=(SOURCE_FILE, _ORD), size_col=_BYTES
     )
-    # Last copy per key within the batch in the same job as the write: max_by is a partial
-    # (map-side) aggregate, so a hot id reaches the shuffle as one row per map task.
-    latest = rows.groupBy("key").agg(
-        F.max_by(F.struct(*cc.STORE_COLUMNS), F.struct(SOURCE_FILE, _ORD)).alias("_r")
-    )
-    put(latest.select("_r.*"), "store")
+    # Last copy of each object within the batch: winners from narrow columns, texts stay in place.
+    latest, _ = cc.unique_objects(rows, [SOURCE_FILE, _ORD])
+    put(latest.select(*cc.STORE_COLUMNS), "store")
     bronze = put(bronze_frame(staged, lake, ts), "bronze")
     clean, failed, _ = silver_frames(bronze, rules, ts)
     silver = put(clean, "silver")
@@ -127,13 +124,14 @@ def start_stream(
     *,
     rules: Mapping | str | None = None,
     run_ts: str | None = None,
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
     columns: tuple[str, ...] = LANDING_COLUMNS,
 ) -> tuple[StreamingQuery, StreamLake]:
     """Start the stream. ``available_now`` drains what has landed and stops; otherwise it
-    polls every ``processing_time``. ``columns`` is the landing header (file streams need a
+    polls every ``processing_time``. A micro-batch takes all files that have landed, or at most
+    ``max_files_per_trigger`` of them. ``columns`` is the landing header (file streams need a
     schema up front; every file's header is checked against it)."""
     layout = StreamLake(lake)
     source = stream_landing_csv(spark, landing_root, columns=columns, max_files_per_trigger=max_files_per_trigger)
@@ -156,7 +154,7 @@ def run_stream(
     *,
     rules: Mapping | str | None = None,
     run_ts: str | None = None,
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
     columns: tuple[str, ...] = LANDING_COLUMNS,
 ) -> StreamLake:
     """Drain every arrival now (``availableNow``), wait for the end, return the layout."""
@@ -174,7 +172,7 @@ def stream_to_folder(
     landing_root: str,
     sink: str,
     *,
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Arrivals only: drain the landing stream into a Parquet folder and read it back."""
     source = stream_landing_csv(spark, landing_root, max_files_per_trigger=max_files_per_trigger)

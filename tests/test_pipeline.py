@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from claimlake.plans import fixtures as fx
@@ -311,3 +312,48 @@ def test_v2_writer_call_chain(spark):
     names2 = [c[0] for c in df2.calls]
     assert names2[:4] == ["repartition", "sortWithinPartitions", "writeTo", "using"]
     assert "partitionedBy" in names2 and names2[-1] == "createOrReplace"
+
+
+def test_a_failed_replace_leaves_the_old_table(spark, lake):
+    from claimlake.plans.tables import replace_bucketed_table, replace_table
+
+    good = spark.range(10).select(F.col("id"), F.lit("x").alias("v"))
+    broken = spark.range(10).select(F.col("id"), F.when(F.col("id") == 7, F.raise_error(F.lit("boom")).cast("string")).otherwise("y").alias("v"))
+    for write in (replace_table, lambda df, n: replace_bucketed_table(df, n, "id", 2), lambda df, n: replace_table(df, n, rebalance=False)):
+        name = lake.name(f"t{abs(hash(write)) % 10**6}")
+        write(good, name)
+        with pytest.raises(Exception, match="boom"):
+            write(broken, name)
+        assert [r["v"] for r in spark.table(name).collect()] == ["x"] * 10
+        write(good.filter("id < 3"), name)
+        assert spark.table(name).count() == 3
+    assert not [t for t in spark.catalog.listTables(lake.database) if "__" in t.name]
+
+
+def test_ragged_rows_stop_the_read_or_are_kept(spark, lake):
+    root = lake.scratch("ragged")
+    spark.createDataFrame([("id,terms\n1,a\n2,b,EXTRA\n3\n4,\\N\n",)], "value string").coalesce(1).write.option("lineSep", "\n").text(f"{root}/t")
+    import glob
+    import os
+
+    os.makedirs(path := root.removeprefix("file:") + "/csv")
+    part = glob.glob(root.removeprefix("file:") + "/t/part-*")[0]
+    with open(part) as f, open(f"{path}/a.csv", "w") as out:
+        out.write(f.read().rstrip("\n") + "\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_landing_csv(spark, path).collect()
+    got = {r["id"]: (r["terms"], r["_ragged_line"]) for r in read_landing_csv(spark, path, keep_ragged=True).collect()}
+    assert got["1"] == ("a", None) and got["4"] == ("\\N", None)
+    assert got["2"][1] == "2,b,EXTRA" and got["3"][1] == "3"
+
+
+def test_objects_of_any_name_are_read_by_manifest(spark, lake):
+    from claimlake.sources import objects as obj
+
+    rows = spark.createDataFrame([("b", k, bytearray(k.encode())) for k in ("_x.txt", ".y.txt", "t/_z/1.txt")] + [("b", "empty", bytearray(b""))], "bucket string, key string, content binary")
+    manifest = obj.write_object_files(rows, f"{lake.root}/objects", lake.scratch("manifest"))
+    got = {r["key"]: bytes(r["content"]) for r in obj.read_object_files(spark, f"{lake.root}/objects", manifest=manifest).collect()}
+    assert got == {"_x.txt": b"_x.txt", ".y.txt": b".y.txt", "t/_z/1.txt": b"t/_z/1.txt", "empty": b""}
+    bad = spark.createDataFrame([("b", "t/../../out.txt", bytearray(b"x"))], "bucket string, key string, content binary")
+    with pytest.raises(Exception, match="does not name a file"):
+        obj.write_object_files(bad, f"{lake.root}/objects", lake.scratch("manifest2"))
