@@ -61,9 +61,9 @@ def main() -> None:
     out.append(facts("CSV scan -> staging", raw.withColumn(m._BYTES, F.octet_length("terms"))))
     staged = spark.read.parquet(f"{lake.root}/_staging/landing")
     rows = cc.payload(staged, bucket=lake.terms_bucket, keep=(SOURCE_FILE, m._ORD), size_col=m._BYTES)
-    stats = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max("n_bytes").alias("b")).agg(F.max("c"), F.sum("b"))
+    stats = rows.groupBy("bucket", "key").agg(F.count(F.lit(1)).alias("c"), F.max("n_bytes").alias("b")).agg(F.max("c"), F.sum("b"))
     out.append(facts("store stats (never reads the text)", stats))
-    out.append(facts("store de-dup, broadcast winners (when a key repeats)", cc.keep_latest(rows, [SOURCE_FILE, m._ORD], 10, 200)))
+    out.append(facts("store de-dup, broadcast winners (when a key repeats)", cc.keep_latest(rows, [SOURCE_FILE, m._ORD], winner_bytes=2000)))
     out.append(facts("store write (one text shuffle, bucket hash)", rows.select(*cc.STORE_COLUMNS).repartition(8, "key")))
     out.append(facts("bronze (pointers only, text not read)", m.bronze_frame(staged, lake, fx.RUN_TS).hint("rebalance")))
     clean, failed, _ = m.silver_frames(spark.table(lake.bronze_name), fx.RULES_THREE, fx.RUN_TS)
@@ -76,13 +76,15 @@ def main() -> None:
         fresh = m.resolve_gold(spark, lake, max_rows=None)  # planned inside the context
         sorted_bulk = facts("bulk export (sorted bucket files: the store side is not re-sorted)", fresh)
     out.append(sorted_bulk)
-    few = m.resolve_gold(spark, lake, ids=["1", "2", "3"])
+    few = m.resolve_gold(spark, lake, ids=["1", "2", "3"], max_rows=100)
     out.append(facts("capped resolve (hits fetched with bucket pruning, then broadcast)", few))
     store = spark.table(lake.store_name)
     hits = store.filter(F.col("key").isin(["terms/1.txt", "terms/2.txt", "terms/3.txt"]))
     spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
     out.append(facts("capped resolve: the hit fetch itself", hits))
     spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    fn = m.register_text_function(spark, lake)
+    out.append(facts("SQL text function over all rows (no aggregate)", spark.sql(f"SELECT id, {fn}(terms) AS t FROM {lake.gold_name}")))
     print("\n".join(out))
 
 
