@@ -108,7 +108,7 @@ TWO_BUCKETS = (TERMS_BUCKET, "more-terms")
 
 
 def repeated_rows(docs: DataFrame) -> DataFrame:
-    """(bucket, key, content, version) - seven keys' worth of ids fold into one key, in two
+    """Repeats: (bucket, key, content, version) - seven keys' worth of ids fold into one key, in two
     buckets; versions are NULL, tied or distinct, and of tied copies all hold the same text."""
     d = F.col("doc_id")
     folded = F.floor(d / 7).cast("bigint")
