@@ -22,6 +22,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import chain
 
 import pyarrow as pa
 import sentencepiece
@@ -38,7 +39,7 @@ _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 class Vocabulary:
     """Pieces, scores and byte pieces of a model, and the ids of words met."""
 
-    def __init__(self, model: bytes, remember: int = 500_000):
+    def __init__(self, model: bytes, remember: int = 1_500_000):
         self.library = library = sentencepiece.SentencePieceProcessor(model_proto=model)
         pieces = [library.id_to_piece(i) for i in range(library.vocab_size())]
         ordinary = [i for i in range(len(pieces)) if not (library.is_control(i) or library.is_byte(i) or library.is_unknown(i) or library.is_unused(i))]
@@ -50,6 +51,7 @@ class Vocabulary:
             raise ValueError("a piece has a mark after another character")
         if any(b == self.unknown for b in self.bytes) or library.Normalize("ﬁ  b ") != "▁ﬁ▁▁b▁":
             raise ValueError("the model has no byte fallback, or normalises its texts")
+        self.decimal = [str(i) for i in range(len(pieces))]
         self.remember, self.words = remember, {}
 
     def merge(self, word: str) -> list[int]:
@@ -81,8 +83,8 @@ class Vocabulary:
                 out += [known] if known is not None else [self.bytes[b] for b in s.encode()]
         return out
 
-    def encode(self, texts: list[str]) -> list[list[str]]:
-        """Each text's words' ids, as comma-joined decimals."""
+    def encode(self, texts: list[str]) -> list[list[tuple[str, tuple[int, ...]]]]:
+        """Each text's words' ids, as comma-joined decimals and as numbers."""
         if len(self.words) > self.remember:
             self.words.clear()
         split = [_words(t) for t in texts]
@@ -99,7 +101,8 @@ class Vocabulary:
         for i, ids in zip(marked, theirs, strict=True):
             if ids != own[i] and new[i] != MARK:  # alone, its rest is empty, which has no ids
                 raise ValueError(f"the library encodes {new[i]!r} as {ids}, the agenda as {own[i]}")
-        self.words.update(zip(new, (",".join(map(str, ids)) for ids in own), strict=True))
+        decimal = self.decimal
+        self.words.update((w, (",".join([decimal[i] for i in ids]), tuple(ids))) for w, ids in zip(new, own, strict=True))
 
 
 def _words(text: str) -> list[str]:
@@ -144,8 +147,8 @@ def encode_documents(docs: DataFrame, model_path: str, digests_only: bool = Fals
             for a, b in slices(map(len, texts), 2_000_000):
                 rows = []
                 for doc_id, parts in zip(doc_ids[a:b], own.encode(texts[a:b]), strict=True):
-                    joined = ",".join(parts)
-                    ids = list(map(int, joined.split(","))) if joined else []
+                    joined = ",".join([p[0] for p in parts])
+                    ids = list(chain.from_iterable([p[1] for p in parts]))
                     decoded = decode(ids) if ids else ""
                     hashes = sha256(joined.encode()).hexdigest(), sha256(decoded.encode()).hexdigest()
                     rows.append((doc_id, len(ids), None if digests_only else joined, hashes[0], None if digests_only else decoded, hashes[1]))
