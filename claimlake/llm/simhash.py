@@ -197,7 +197,7 @@ def components(edges: DataFrame) -> DataFrame:
     """node, root for each node that has a link: the smallest node that its links reach."""
     small = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     current, last = written(small, "stars"), None
-    while True:
+    while not current.isEmpty():
         both = current.union(current.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large_star = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
