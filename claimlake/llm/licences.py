@@ -177,7 +177,7 @@ def train(ordinary: list[str], seed: int = 0) -> Model:
     features = {g: i for i, g in enumerate(names)}
     texts += [""] * 20 + ["the software", "a public work", "version 2", "version 3.0", "copy of the work", "use of this", "in the file", "a general term", "free and open"] * 4
     labels += [0] * (len(texts) - len(labels))
-    x = np.zeros((len(texts), len(features)))
+    x = np.zeros((len(texts), len(features)), np.float32)
     for i, t in enumerate(texts):
         x[i, [features[g] for g in grams(t) if g in features]] = 1
     y = np.array(labels)
@@ -201,12 +201,12 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
     return z - np.log(np.exp(z).sum(1, keepdims=True))
 
 
-def _regress(x: np.ndarray, y: np.ndarray, classes: int, steps: int = 300, rate: float = 0.5, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+def _regress(x: np.ndarray, y: np.ndarray, classes: int, steps: int = 150, rate: float = 0.5, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """Multinomial logistic regression by accelerated gradient steps."""
-    target = np.eye(classes)[y]
+    target = np.eye(classes, dtype=np.float32)[y]
     share = target.sum(0)
-    target_weight = (1 / np.maximum(share, 1))[y][:, None] * len(y) / classes  # families count alike
-    w, b = np.zeros((x.shape[1], classes)), np.zeros(classes)
+    target_weight = ((1 / np.maximum(share, 1))[y][:, None] * len(y) / classes).astype(np.float32)  # families count alike
+    w, b = np.zeros((x.shape[1], classes), np.float32), np.zeros(classes, np.float32)
     vw, vb = np.zeros_like(w), np.zeros_like(b)
     for _ in range(steps):
         error = (np.exp(_log_softmax(x @ w + b)) - target) * target_weight / len(y)
