@@ -19,6 +19,7 @@ labelled row every score is 0.5; an empty table gives no rows; clashing columns
 from __future__ import annotations
 
 import operator
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -113,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, latent: int =
 
     @F.pandas_udf("binary")
     def terms(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: counts(t).astype(np.float32).tobytes())
+        return texts.map(lambda t: zlib.compress(counts(t).astype("<f4").tobytes(), 1))  # mostly zeros
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("wanted"))
     learned = rows.select("doc_id", terms("text").alias("terms")).groupBy("doc_id").agg(F.min("terms").alias("terms"))
@@ -121,12 +122,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, latent: int =
     if not found:
         empty = np.zeros((0, latent), np.float32)
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, latent), np.float32), empty, np.zeros(0), neighbours, power)
-    x = np.stack([np.frombuffer(r.terms, np.float32) for r in found])
-    rarity = (np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 0.1).astype(np.float32)
-    w = _weighted(x, rarity).astype(np.float32)
-    model = Model(rarity, _directions(w, latent), np.zeros(0), np.array([wanted[r.doc_id] for r in found], np.float64), neighbours, power)
-    model.vectors = model.latent(x).astype(np.float32)
-    return model
+    x = np.empty((len(found), TERMS), np.float32)  # the only array of this size that the driver holds
+    seen = np.zeros(TERMS, np.int64)
+    for i, r in enumerate(found):
+        x[i] = np.frombuffer(zlib.decompress(r.terms), "<f4")
+        seen += x[i] > 0
+    rarity = (np.log((1 + len(x)) / (1 + seen)) + 0.1).astype(np.float32)
+    for a in range(0, len(x), 256):
+        x[a : a + 256] = _weighted(x[a : a + 256], rarity)
+    directions = _directions(x, latent)
+    marks = np.array([wanted[r.doc_id] for r in found], np.float64)
+    return Model(rarity, directions, _unit(x @ directions).astype(np.float32), marks, neighbours, power)
 
 
 def _directions(x: np.ndarray, n: int) -> np.ndarray:
