@@ -156,8 +156,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = 0) -> Model:
     """Train on the templates and at most ``sample`` lines of ``docs``."""
     need(docs, "text")
     lines = docs.select(F.explode(F.split(text_or_empty(), "\n")).alias("line")).filter(F.length("line").between(1, 2000) & ~F.col("line").rlike(CUE))
-    chosen = lines.select(F.xxhash64("line").alias("h"), "line").distinct().orderBy("h", "line").limit(sample)
-    return train([r.line for r in chosen.collect()], seed)  # at most `sample` lines
+    hashed = lines.select(F.xxhash64("line").alias("h"), "line")
+    chosen = hashed.select("h").distinct().orderBy("h").limit(sample).collect()  # at most `sample` numbers
+    if not chosen:
+        return train([], seed)
+    found = hashed.filter(F.col("h") <= chosen[-1].h).groupBy("h").agg(F.min("line").alias("line"))
+    return train([r.line for r in sorted(found.collect(), key=lambda r: r.h)], seed)
 
 
 def train(ordinary: list[str], seed: int = 0) -> Model:
