@@ -8,8 +8,9 @@ canonical JSON (keys sorted by UTF-16 units, no spaces, whole numbers without a
 
 The order is (``after_turn``, ``after_nth``, ``depth``, ``kind``, ``turn``, ``nth``) within a
 conversation: the latest place among a message and all it depends on, then its distance behind
-that. Only conversations with a dependency out of place need rounds, one per link of their longest
-chain; nothing is gathered by conversation.
+that. Only conversations with a dependency out of place need rounds: where no message has two
+dependencies, the logarithm of their longest chain (pointers are doubled), else one per link of it.
+Nothing is gathered by conversation.
 
 Defined results, in ``status``: ``linked``; ``unanswered`` (no result); ``orphan`` (no call);
 ``duplicate`` (a call or result whose identifier came before, by turn, nth, then input order);
@@ -187,6 +188,8 @@ def _ordered(asked: DataFrame, known: DataFrame) -> DataFrame:
     moved = edges.filter("u >= v").select("conv_id").distinct()
     left = written(edges.join(moved, "conv_id", "left_semi").select("u", "v"), "out_of_place")
     nodes = left.select(F.col("u").alias("place")).union(left.select("v")).distinct()
+    if left.groupBy("v").count().filter("count > 1").isEmpty():
+        return _jumped(nodes, left)
     waiting = written(nodes.select("place", F.col("place").alias("after"), F.lit(0).alias("depth")), "waiting")
     done = []
     while not waiting.isEmpty():
@@ -209,6 +212,28 @@ def _ordered(asked: DataFrame, known: DataFrame) -> DataFrame:
     return out
 
 
+def _jumped(nodes: DataFrame, left: DataFrame) -> DataFrame:
+    """The same where no message has two dependencies: each points to its one, and pointers are
+    doubled, so a chain of n links takes log n rounds. ``best`` is the order that the ``steps``
+    messages from a node back to its pointer (exclusive) give it. What still points somewhere in
+    the end is in a cycle or behind one."""
+    own = F.struct(F.col("place").alias("after"), F.lit(0).alias("depth"))
+    first = nodes.join(left.select(F.col("v").alias("place"), F.col("u").alias("to")), "place", "left")
+    state = written(first.select("place", "to", F.lit(1).alias("steps"), own.alias("best")), "pointers")
+    for _ in range(state.count().bit_length() + 1):
+        if state.filter("to is not null").isEmpty():
+            break
+        at = state.select(F.col("place").alias("p"), F.col("to").alias("p_to"), F.col("steps").alias("p_steps"), F.col("best").alias("p_best"))
+        pushed = F.struct(F.col("p_best.after").alias("after"), (F.col("p_best.depth") + F.col("steps")).alias("depth"))
+        best = F.when(F.col("p").isNull(), F.col("best")).otherwise(F.greatest("best", pushed))
+        steps = (F.col("steps") + F.coalesce("p_steps", F.lit(0))).cast("int")
+        state = written(state.join(at, F.col("to") == F.col("p"), "left").select("place", F.col("p_to").alias("to"), steps.alias("steps"), best.alias("best")), "pointers")
+    cyclic = F.col("to").isNotNull()
+    return state.select(
+        "place", F.when(cyclic, F.col("place")).otherwise(F.col("best.after")).alias("after"), F.when(cyclic, 0).otherwise(F.col("best.depth")).alias("depth"), cyclic.alias("cyclic")
+    )
+
+
 #: Tools of the derived conversations, and what their arguments must look like.
 SCHEMAS: dict[str, dict] = {
     "search": {
