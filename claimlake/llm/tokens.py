@@ -3,7 +3,8 @@
 A BPE model works on each pre-token alone, so a text's ids are its pre-tokens' ids side by side.
 ``TextEncoder`` splits texts as the file's pre-tokenizer does, asks the library for each pre-token
 once and keeps its ids (a bounded memory, emptied when full). Texts or words whose normalising it
-can't be sure of go to the library whole, and so do all texts if it doesn't know the pre-tokenizer.
+can't be sure of go to the library whole, and so do texts that hold an added token's content (the
+library gives it that token's id), and all texts if it doesn't know the pre-tokenizer.
 """
 
 from __future__ import annotations
@@ -48,21 +49,25 @@ class TextEncoder:
 
     def __init__(self, definition: str, remember: int = 1_000_000):
         self.library = Tokenizer.from_str(definition)
-        self.library.encode_special_tokens = True
         self.remember, self.memory = remember, Memory(self.library)
-        self.split = _splitter(json.loads(definition))
+        spec = json.loads(definition)
+        self.added = [x["content"] for x in spec.get("added_tokens") or []]
+        self.split = _splitter(spec)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out, ids, split = [], self.memory.__getitem__, self.split
+        out, ids, split, added = [], self.memory.__getitem__, self.split, self.added
         for text in texts:
             if len(self.memory) > self.remember:
                 self.memory.clear()
-            out.append(b"".join(map(ids, split(text))))
+            whole = any(x in text for x in added)
+            out.append(self.memory.__missing__(text) if whole else b"".join(map(ids, split(text))))
         return out
 
 
 def _splitter(spec: dict) -> Callable[[str], list[str]]:
     before, normal = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+    if normal and any(x.get("normalized") for x in spec.get("added_tokens") or []):
+        return lambda text: [text]  # found in the normalised text, which only the library has
     if before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and normal is None:
         whole = regex.compile(BYTE_LEVEL)
         return lambda text: _SPACED.findall(text) if not text or max(text) < _FIRST_256 else whole.findall(text)
