@@ -6,6 +6,11 @@ notices; a multinomial logistic regression over them, fitted on the driver, tell
 fitted on notices that it hasn't seen; a family below ``CONFIDENT`` becomes ``unknown``. A family is
 confirmed if enough of one of its templates' word pairs occur in the paragraph.
 
+A notice wrapped over several lines is found by its word pairs in the joined lines around a feature
+(as far as the longest notice reaches, up to blank lines; comment words dropped), judged as
+one text and, if confirmed, reported once, with the number of its first line, in place of what its
+lines give alone. Lines that are confirmed alone stay.
+
 It is trained on the templates, variations of them (words left out, words around them), invented
 notices of no family, and at most ``SAMPLE`` lines of the corpus (those of smallest hash) without a
 cue word. Only n-grams that these lines lack are features, so a line without any of them has the
@@ -87,6 +92,7 @@ FRAMES = (
 )
 CUE = r"(?i)licen[sc]|copyright|permission|rights reserved|public domain|unencumbered|redistribut|\bgnu\b|\bgpl|creative commons|\bcc0?[ -]|governed"
 _WORD = re.compile(r"[a-z0-9]+")
+_COMMENT = {"dnl", "rem"}  # marks of comment lines that are words
 
 
 def words(text: str) -> list[str]:
@@ -115,7 +121,8 @@ class Model:
     intercept: np.ndarray
     temperature: float
     finder: re.Pattern[str]
-    templates: list[tuple[int, frozenset[str]]]  # class, word pairs
+    across: re.Pattern[str]  # the same, also over line breaks
+    templates: list[tuple[int, frozenset[tuple[str, str]]]]  # class, word pairs
 
     def probabilities(self, text: str) -> np.ndarray:
         hits = [self.features[g] for g in grams(text) if g in self.features]
@@ -140,8 +147,7 @@ class Model:
     def paragraphs(self, text: str) -> Iterator[tuple[int, str]]:
         """Number and text of the lines that have a feature (others score as ordinary text)."""
         number, at, done = 0, 0, -1
-        lowered = text.lower() if len(text.lower()) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-        for m in self.finder.finditer(lowered):
+        for m in self.finder.finditer(_lowered(text)):
             if m.start() < done:
                 continue
             start = text.rfind("\n", 0, m.start()) + 1
@@ -151,6 +157,110 @@ class Model:
             yield number, text[start:done]
             number, at = number + 1, done
 
+    def findings(self, text: str) -> list[tuple[int, str, float, float, bool]]:
+        """What the lines and the notices wrapped over lines give, by line."""
+        alone = {n: j for n, p in self.paragraphs(text) if (j := self.judge(p))}
+        out = []
+        for first, last, judged in self.wrapped(text):
+            inside = [n for n in range(first, last + 1) if n in alone]
+            if not any(alone[n][3] and alone[n][0] == judged[0] for n in inside):
+                out.append((first, *judged))
+                alone = {n: j for n, j in alone.items() if n not in inside or j[3]}
+        return sorted([*out, *((n, *j) for n, j in alone.items())], key=lambda f: f[0])
+
+    def wrapped(self, text: str) -> list[tuple[int, int, tuple[str, float, float, bool]]]:
+        """First and last line of each confirmed notice that takes several lines, and its verdict."""
+        if "\n" not in text.strip("\n"):
+            return []
+        reach = 3 + max(_span(pairs) for _, pairs in self.templates)
+        starts = sorted({m.start() for m in self.across.finditer(_lowered(text))})
+        if not starts:
+            return []
+        lines = text.split("\n")
+        ends = np.cumsum([len(x) + 1 for x in lines])
+        parts: dict[int, list[str]] = {}
+
+        def line_words(i: int) -> list[str]:
+            if i not in parts:
+                w = words(lines[i])
+                parts[i] = w[1:] if w and w[0] in _COMMENT else w
+            return parts[i]
+
+        def end_of_join(i: int, step: int) -> int:
+            n = 0
+            while n < reach and 0 <= i + step < len(lines) and lines[i + step].strip():
+                i += step
+                n += len(line_words(i))
+            return i
+
+        areas: list[list[int]] = []
+        for i in sorted(set(np.searchsorted(ends, starts, "right").tolist())):
+            a, b = end_of_join(i, -1), end_of_join(i + 1 if i + 1 < len(lines) and lines[i + 1].strip() else i, 1)
+            if areas and a <= areas[-1][1]:
+                areas[-1][1] = max(b, areas[-1][1])
+            elif a < b:
+                areas.append([a, b])
+        out = []
+        number, counted = 0, 0
+        for a, b in areas:
+            number += sum(1 for x in lines[counted:a] if x.strip())
+            counted = a
+            out += [(number + i, number + j, judged) for i, j, judged in self._joined([line_words(i) for i in range(a, b + 1)])]
+        return out
+
+    def _joined(self, lines: list[list[str]]) -> list[tuple[int, int, tuple[str, float, float, bool]]]:
+        w = [x for line in lines for x in line]
+        line = [i for i, x in enumerate(lines) for _ in x]
+        by_pair: dict[tuple[str, str], list[int]] = {}
+        for k, pair in enumerate(zip(w, w[1:])):
+            by_pair.setdefault(pair, []).append(k)
+        found = []
+        for c, pairs in self.templates:
+            if sum(x in by_pair for x in pairs) < CONFIRMED * len(pairs):
+                continue
+            places = sorted((k, x) for x in pairs for k in by_pair.get(x, ()))
+            for a, b in _windows(places, len(pairs)):
+                if line[a] < line[b]:
+                    judged = self.judge(" ".join(w[a : b + 1]))
+                    if judged and judged[3] and judged[0] == self.classes[c]:
+                        found.append((line[a], line[b], judged))
+        out: list[tuple[int, int, tuple[str, float, float, bool]]] = []
+        for a, b, judged in sorted(found, key=lambda x: (-x[2][2], x[0], x[1])):
+            if not any(judged[0] == j[0] and a <= d and e <= b for e, d, j in out):
+                out.append((a, b, judged))
+        return sorted(out, key=lambda x: x[:2])
+
+
+def _lowered(text: str) -> str:
+    """In lower case, each character in its place."""
+    return text.lower() if len(text.lower()) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def _span(pairs: frozenset[tuple[str, str]]) -> int:
+    """Words that a notice may take: twice its own, and ten."""
+    return 2 * len(pairs) + 10
+
+
+def _windows(places: list[tuple[int, tuple[str, str]]], size: int) -> Iterator[tuple[int, int]]:
+    """First and last word of the stretches that hold enough of a template's pairs, where most are
+    together; stretches don't overlap."""
+    inside: Counter[tuple[str, str]] = Counter()
+    left, best = 0, None
+    for k, pair in places:
+        inside[pair] += 1
+        while k + 1 - places[left][0] >= 2 * size + 10 or inside[places[left][1]] > 1:
+            inside[places[left][1]] -= 1
+            left += 1
+        held = sum(1 for n in inside.values() if n)
+        if held >= CONFIRMED * size:
+            if best and places[left][0] > best[2]:
+                yield best[1], best[2]
+                best = None
+            if not best or held > best[0]:
+                best = (held, places[left][0], k + 1)
+    if best:
+        yield best[1], best[2]
+
 
 def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = 0) -> Model:
     """Train on the templates and at most ``sample`` lines of ``docs``."""
@@ -191,7 +301,7 @@ def train(ordinary: list[str], seed: int = 0) -> Model:
     losses = {t: -np.mean(_log_softmax(z / t)[np.arange(len(yh)), yh]) for t in np.geomspace(0.2, 5, 40)}
     finder = re.compile(r"(?<![a-z0-9])(?:" + "|".join(sorted({re.escape(g).replace(r"\ ", "[^a-z0-9]+") for g in names if _least(g, features)}, key=len, reverse=True)) + r")(?![a-z0-9])")
     templates = [(classes.index(k), frozenset(zip(words(t), words(t)[1:]))) for k, v in TEMPLATES.items() for t in v]
-    return Model(classes, features, weights, intercept, float(min(losses, key=losses.get)), finder, templates)
+    return Model(classes, features, weights, intercept, float(min(losses, key=losses.get)), finder, finder, templates)
 
 
 def _least(gram: str, features: dict[str, int]) -> bool:
@@ -237,8 +347,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
             for t in batch.column(1):
                 text = t.as_py()
                 counts.append(sum(1 for x in text.split("\n") if x.strip()))
-                judged = ((n, own.judge(p)) for n, p in own.paragraphs(text))
-                found.append([dict(zip(("paragraph", "family", "probability", "similarity", "confirmed"), (n, *j), strict=True)) for n, j in judged if j])
+                found.append([dict(zip(("paragraph", "family", "probability", "similarity", "confirmed"), f, strict=True)) for f in own.findings(text)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(found, pa.list_(finding))], names=["doc_id", "n_paragraphs", "findings"])
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, SCHEMA)
