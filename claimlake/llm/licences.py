@@ -299,9 +299,11 @@ def train(ordinary: list[str], seed: int = 0) -> Model:
     weights, intercept = _regress(x[~held], y[~held], len(classes))
     z, yh = x[held] @ weights + intercept, y[held]
     losses = {t: -np.mean(_log_softmax(z / t)[np.arange(len(yh)), yh]) for t in np.geomspace(0.2, 5, 40)}
-    finder = re.compile(r"(?<![a-z0-9])(?:" + "|".join(sorted({re.escape(g).replace(r"\ ", "[^a-z0-9]+") for g in names if _least(g, features)}, key=len, reverse=True)) + r")(?![a-z0-9])")
+    least = sorted({re.escape(g) for g in names if _least(g, features)}, key=len, reverse=True)
+    # a match of `finder` stays in its line
+    finder, across = (re.compile(r"(?<![a-z0-9])(?:" + "|".join(g.replace(r"\ ", gap) for g in least) + r")(?![a-z0-9])") for gap in (r"[^a-z0-9\n]+", "[^a-z0-9]+"))
     templates = [(classes.index(k), frozenset(zip(words(t), words(t)[1:]))) for k, v in TEMPLATES.items() for t in v]
-    return Model(classes, features, weights, intercept, float(min(losses, key=losses.get)), finder, finder, templates)
+    return Model(classes, features, weights, intercept, float(min(losses, key=losses.get)), finder, across, templates)
 
 
 def _least(gram: str, features: dict[str, int]) -> bool:

@@ -1,4 +1,4 @@
-"""Notices wrapped over lines, as they stand in source files."""
+"""Notices wrapped over lines, as they stand in source files, and n-grams that straddle lines."""
 
 import textwrap
 
@@ -47,3 +47,19 @@ def test_blank_lines_part_notices_and_single_lines_stay():
     assert confirmed(GPL3.replace("\n", "\n\n")) == []
     assert confirmed("Released under the MIT License.\nReleased under the MIT License.\nzzz") == [(0, "mit"), (1, "mit")]
     assert confirmed(f"Released under the MIT License.\n{MIT}") == [(0, "mit"), (1, "mit")]
+
+
+def test_line_breaks_within_ngrams_leave_the_lines_apart():
+    # all single words are ordinary, so that n-grams of two and three words are the least features
+    every = sorted({w for notices in (*lic.TEMPLATES.values(), lic.OTHERS) for x in notices for w in lic.words(x)})
+    model = lic.train(every)
+    assert not any(" " not in g for g in model.features)
+    assert "free software" in model.features and "software foundation" in model.features
+    for text in (
+        "it is free\nsoftware foundation x\nqqq\nfree software",
+        "free software is free\nsoftware foundation x\nzz\nsoftware foundation",
+        "under the mit\nlicense\n\nunder the mit license\nreleased under\nthe mit license of\nthe free\nsoftware foundation",
+        "public\nlicense version\n3\ngeneral public\n\nlicense version 3",
+    ):
+        lines = [x for x in text.split("\n") if x.strip()]
+        assert list(model.paragraphs(text)) == [(i, x) for i, x in enumerate(lines) if any(g in model.features for g in lic.grams(x))]
