@@ -253,15 +253,24 @@ SCHEMAS: dict[str, dict] = {
 
 def derive(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results from plain turns: an assistant's turn calls a tool that its length picks,
-    with its first words; the turn behind it is the result. A call depends on the one two turns
-    before, in every tenth conversation on the one two turns later."""
+    with its whole text; the user's turn behind it is the result. A call depends on the one two
+    turns before, in every tenth conversation on the one two turns later. System turns neither call
+    nor answer and give no messages.
+
+    ``query`` is the whole text, except for "translate", whose query is at most 40 characters: there
+    it is the whole text or the first 20 to 60 characters of it, with the whole one in ``text``.
+    Some calls lack ``limit``, have one out of bounds, lack ``target`` or have one too many."""
     need(conversations, "conv_id", "turn", "role", "text")
     text, ident = F.coalesce("text", F.lit("")), lambda t: F.concat_ws("_", F.lit("call"), F.col("conv_id").cast("string"), t.cast("string"))
     size, turn = F.length(text), F.col("turn")
+    translates = size % 4 == 1
+    query = F.when(translates & (size % 5 > 0), F.substring(text, F.lit(1), (20 + size % 41).cast("int"))).otherwise(text)
+    limit = F.when(size % 11 > 0, F.when(translates, size % 25 - 2).otherwise(size % 25))
+    target = F.when(F.when(translates, size % 3 > 0).otherwise(size % 7 == 0), F.element_at(F.array(*map(F.lit, ("de", "en", "fr"))), (size % 3 + 1).cast("int")))
     calls = conversations.filter("role = 'assistant'").select(
         "conv_id", ident(turn).alias("call_id"), "turn", F.lit(0).alias("nth"),
         F.element_at(F.array(*map(F.lit, ("search", "translate", "summarise", "compute"))), (size % 4 + 1).cast("int")).alias("name"),
-        F.to_json(F.struct(F.substring(text, 1, 40).alias("query"), (size % 25).alias("limit"))).alias("arguments"),
+        F.to_json(F.struct(query.alias("query"), F.when(translates & (size % 5 > 0), text).alias("text"), limit.alias("limit"), target.alias("target")), {"ignoreNullFields": "true"}).alias("arguments"),
         F.when(F.col("conv_id") % 10 == 0, F.array(ident(turn + 2))).when(turn > 1, F.array(ident(turn - 2))).otherwise(F.array().cast("array<string>")).alias("depends_on"),
     )
     results = conversations.filter("role = 'user'").select("conv_id", ident(turn - 1).alias("call_id"), "turn", F.lit(0).alias("nth"), F.col("text").alias("content"))
