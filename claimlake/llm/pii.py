@@ -1,9 +1,9 @@
 """Personal data by candidate spans and gradient-boosted trees, in DataFrame functions only.
 
 High-recall patterns propose spans, which may overlap; each gets features of its format and of
-the text around it. Boosted trees, fitted on the driver on a bounded sample of candidates, give
-a probability as a column expression, and a threshold for each kind, calibrated on candidates that
-the trees haven't seen, selects what is redacted. The base patterns with their checks (checksum,
+the text around it. Boosted trees, fitted on the driver on a bounded sample of texts of each kind,
+give a probability as a column expression, and a threshold for each kind, calibrated by counts over
+the candidates of all texts that the trees haven't seen, selects what is redacted. The base patterns with their checks (checksum,
 octets, numbers of digits) always stay.
 
 The trees learn from the corpus: candidates that are base spans, and the same spans rewritten (no
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.llm import boosting
-from claimlake.llm.common import need, text_or_empty
+from claimlake.llm.common import need, text_or_empty, written
 
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns: possessive forms and "a match begins where a run begins, or where the last
@@ -49,8 +49,9 @@ PROPOSALS = {
 }
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 CUES = r"(?i)(?:mail|contact|write|phone|tel|call|fax|mobile|cell|card|visa|pay|ip|host|server|address)[^\p{L}\p{N}]*$"
-#: Texts that the trees learn from, at most; the precision that a kind's threshold must reach.
-SAMPLE, PRECISION = 2000, 0.98
+#: Texts that the trees learn from, at most; the precision that a kind's threshold must reach; the
+#: steps in which scores are counted.
+SAMPLE, PRECISION, STEPS = 2000, 0.98, 10_000
 NAMES = ["kind", "length", "digits", "letters", "spaces", "dots", "dashes", "parens", "plus", "at", "longest", "groups", "luhn", "octets", "joined_before", "joined_after", "cue"]
 
 
@@ -156,50 +157,67 @@ REWRITTEN = (
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> Model:
-    """Learn from at most ``sample`` distinct texts that hold a digit or an at sign: those of
-    smallest text hash."""
+    """Learn trees from at most ``sample`` texts, drawn for each kind and from those without any
+    base span, and calibrate the thresholds on the candidates of all other texts."""
     need(docs, "text")
-    rows = docs.select(text_or_empty().alias("text")).filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h"))
-    chosen = rows.select("h").distinct().orderBy("h").limit(sample).collect()  # at most `sample` numbers
     trees, thresholds = boosting.fit(NAMES, np.zeros((0, len(NAMES))), np.zeros(0)), dict.fromkeys(KINDS, 2.0)
+    every = written(_examples(docs), "candidates")
+    # a fifth of the sample for each kind, what remains for texts without; at most `sample` numbers
+    chosen: set[int] = set()
+    for i in range(len(KINDS) + 1):
+        own = F.col("kinds").bitwiseAND(1 << i) != 0 if i < len(KINDS) else F.col("kinds") == 0
+        n = sample // (len(KINDS) + 1) if i < len(KINDS) else sample - len(chosen)
+        chosen |= {r.h for r in every.filter(own & _for_trees()).select("h").distinct().orderBy("h").limit(n).collect()}
     if not chosen:
         return Model(trees, thresholds)
-    texts = rows.filter(F.col("h") <= chosen[-1].h).groupBy("h").agg(F.min("text").alias("text"))
+    numbers = docs.sparkSession.createDataFrame([(h,) for h in sorted(chosen)], "h long")
+    seen = every.join(F.broadcast(numbers), "h", "left_semi")
+    data = np.array(sorted(tuple(r) for r in seen.select("h", *NAMES, "label").distinct().collect()), np.float64)  # candidates of the sample
+    trees = boosting.fit(NAMES, data[:, 1:-1], data[:, -1])
+    score = F.floor(trees.probability({n: F.col(n) for n in NAMES}) * STEPS).cast("int")
+    unseen = every.join(F.broadcast(numbers), "h", "left_anti").select("kind", score.alias("score"), "label")
+    counts = unseen.groupBy("kind", "score").agg(F.count("*").alias("n"), F.sum("label").alias("personal")).collect()  # at most STEPS + 1 scores a kind
+    for i, kind in enumerate(KINDS):
+        thresholds[kind] = _threshold({r.score: (r.n, r.personal) for r in counts if r.kind == i}, precision)
+    return Model(trees, thresholds)
+
+
+def _for_trees() -> Column:
+    """Two thirds of the texts may be in the sample; the rest is never seen by the trees."""
+    return F.pmod("h", F.lit(3)) != 0
+
+
+def _examples(docs: DataFrame) -> DataFrame:
+    """A row for each candidate of all texts, and of the texts with base spans rewritten: h (hash of
+    the text), kinds (a bit for each kind with a base span in the text), features and label."""
+    texts = docs.select(text_or_empty().alias("text")).withColumn("h", F.xxhash64("text"))
+    found = with_candidates(texts)
+    personal = F.transform(F.concat(*[f"base_{k}" for k in KINDS]), lambda c: _plain(c["value"]))
+    kinds = sum((F.when(F.size(f"base_{k}") > 0, 1 << i).otherwise(0) for i, k in enumerate(KINDS)), F.lit(0))
+    truth = found.select("h", "text", kinds.alias("kinds"), personal.alias("personal"), *[f"proposed_{k}" for k in KINDS])
     changed = F.col("text")
     for pattern, to in REWRITTEN:
         changed = F.regexp_replace(changed, pattern, to)
-    found = with_candidates(texts.withColumn("changed", changed), "text")
-    personal = F.transform(F.concat(*[f"base_{k}" for k in KINDS]), lambda c: _plain(c["value"]))
-    truth = found.select("h", "changed", personal.alias("personal"), *[f"proposed_{k}" for k in KINDS])
-    again = with_candidates(truth.select("h", "personal", F.col("changed").alias("text")), "text")
+    again = with_candidates(truth.filter("kinds > 0").select("h", "kinds", "personal", changed.alias("text")))
 
     def examples(df: DataFrame) -> DataFrame:
         every = []
         for kind in KINDS:
             every.append(F.transform(f"proposed_{kind}", lambda c: F.struct(*[x.alias(n) for n, x in features(kind, c).items()], F.exists("personal", lambda p: (F.length(_plain(c["value"])) >= 6) & p.endswith(_plain(c["value"]))).cast("double").alias("label"))))
-        return df.select("h", F.explode(F.concat(*every)).alias("x")).select("h", "x.*")
+        return df.select("h", "kinds", F.explode(F.concat(*every)).alias("x")).select("h", "kinds", "x.*")
 
-    table = [tuple(r) for r in examples(truth).unionByName(examples(again)).collect()]  # candidates of the sample
-    if not table:
-        return Model(trees, thresholds)
-    data = np.array(sorted(table), np.float64)
-    held = data[:, 0].astype(np.int64) % 3 == 0 if len(data) else np.zeros(0, bool)
-    x, y = data[:, 1:-1], data[:, -1]
-    trees = boosting.fit(NAMES, x[~held], y[~held])
-    p = boosting.sigmoid(trees.margin(x))
-    for i, kind in enumerate(KINDS):
-        own = held & (x[:, 0] == i)
-        thresholds[kind] = _threshold(p[own], y[own], precision)
-    return Model(trees, thresholds)
+    return examples(truth).unionByName(examples(again))
 
 
-def _threshold(p: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """The least score, not below a half, from which on ``precision`` of the unseen candidates are personal."""
-    order = np.argsort(-p, kind="stable")
-    right = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
-    last_of_score = np.r_[np.diff(p[order]) != 0, True] if len(p) else np.zeros(0, bool)
-    good = np.flatnonzero((right >= precision) & last_of_score & (p[order] >= 0.5))
-    return float(p[order][good[-1]]) - 1e-9 if len(good) else 2.0
+def _threshold(counts: dict[int, tuple[int, float]], precision: float) -> float:
+    """The least score, not below a half, from which on ``precision`` of the unseen candidates are
+    personal; ``counts`` has the candidates, and the personal ones, by score in steps."""
+    least, total, right = 2.0, 0, 0.0
+    for score in sorted(counts, reverse=True):
+        total, right = total + counts[score][0], right + counts[score][1]
+        if right >= precision * total and score * 2 >= STEPS:
+            least = score / STEPS - 1e-9
+    return least
 
 
 def find(docs: DataFrame, model: Model) -> DataFrame:
