@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +50,27 @@ def need(df: DataFrame, *columns: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"missing column(s): {', '.join(missing)}")
+
+
+class Remembered(dict):
+    """Results of ``make`` by string, in bounded memory: two generations of ``limit`` entries.
+
+    When the current generation is full it becomes the previous one, from which what is asked for
+    again moves over; so frequent strings stay known however many rare ones pass by. Strings over
+    ``longest`` characters aren't kept.
+    """
+
+    def __init__(self, make: Callable[[str], Any], limit: int = 500_000, longest: int = 64):
+        super().__init__()
+        self.make, self.limit, self.longest, self.previous = make, limit, longest, {}
+
+    def __missing__(self, word: str) -> Any:
+        value = self.previous.get(word)
+        if value is None:
+            value = self.make(word)
+        if len(word) <= self.longest:
+            if len(self) >= self.limit:
+                self.previous = dict(self)
+                self.clear()
+            self[word] = value
+        return value

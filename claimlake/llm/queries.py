@@ -9,11 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import licences, packing, pii, piecebpe, quality, simhash, tokenfile, toolcalls, topk, winnow
+from claimlake.llm import bytebpe, licences, packing, pii, piecebpe, prefixtrie, quality, runs, simhash, tokenfile, toolcalls, topk, winnow
 from claimlake.llm.common import table
 
 BYTE_BPE, WORD_BPE, WORD_BPE_SIZE = "byte_bpe_50k.json", "word_bpe_49k.json", 49408
-PIECE_BPE = "piece_bpe_32k.model"
+PIECE_BPE, BYTE_RANKS = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
 
 
 def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +74,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    coded = bytebpe.encode_documents(docs, public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN, digests_only=True)
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, sf_dir, "documents"), folded=True, digests_only=True)
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, conversations = prefixtrie.rebuilt(table(spark, sf_dir, "conversations"))
+    return prefixtrie.trie(turns, conversations).drop("key1", "key2")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licences": op1_licences,
     "op2_toolcalls": op2_toolcalls,
@@ -85,4 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_topk": op9_topk,
     "op10_quality": op10_quality,
+    "op11_bytebpe": op11_bytebpe,
+    "op12_runs": op12_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }

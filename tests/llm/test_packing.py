@@ -16,7 +16,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def library_ids(texts):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids + [0] for x in texts]
 
 

@@ -42,7 +42,6 @@ def test_files_hold_the_library_ids_in_order(spark, make):
     docs = make(spark)
     got = rows(f.document_starts(f.write_token_files(docs, PATH, 49408, 2, tasks=3)))
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     texts = sorted(((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1].encode()))
     at, want = 0, []
     for d, text in texts:
