@@ -41,6 +41,8 @@ from claimlake.llm.common import Remembered, need, python_on_executors, slices,
 
 ROOT = 0
 NEVER = 1 << 62
+#: Words of one generation whose ids a worker remembers.
+REMEMBERED = 100_000
 
 
 def parse_ranks(content: bytes) -> dict[bytes, int]:
@@ -353,7 +355,7 @@ class Codec:
         self.merges = Merges(parse_ranks(ranks))
         self.transducer = Transducer(self.merges)
         self.split = regex.compile(pattern)
-        self.words = Remembered(lambda word: array("I", self.transducer.encode(word.encode())).tobytes())
+        self.words = Remembered(lambda word: array("I", self.transducer.encode(word.encode())).tobytes(), REMEMBERED)
         self.known: dict[int, str] = {}
 
     def encode(self, text: str) -> array:
