@@ -24,8 +24,7 @@ def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
 
 def python_on_executors(spark: SparkSession) -> None:
     """Executors must be able to import this package (no-op after the first call)."""
-    if not spark.sparkContext.master.startswith("local["):
-        ship_package(spark)
+    ship_package(spark)
 
 
 def text_or_empty(column: str = "text") -> Column:

@@ -11,12 +11,15 @@ one task.
 
 Defined results: a null text is an empty text, whose document is the end id alone; repeated rows
 and ids are packed one by one; an empty table gives no pieces; other columns are not carried, so
-clashing names do no harm. Pieces of equal length are placed in the order of their input tasks.
+clashing names do no harm. Pieces of equal length are placed in the order of their input tasks; of
+equally tight windows the one of smallest number is taken.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -28,12 +31,13 @@ from claimlake.llm.common import need, python_on_executors, slices, text_or_empt
 from claimlake.llm.tokens import definition, encoder
 
 CAPACITY = 1024
-PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, part int, nth long"
+PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, part int, nth long"
 
 
-def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece: ``ids`` (little-endian unsigned 32-bit), its place in its document, and
-    ``part``/``nth``: the task that cut it and its number there among pieces of its length.
+def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
+    """One row per piece: ``ids`` (little-endian unsigned 32-bit; null unless ``with_ids``) and
+    their checksum, its place in its document, and ``part``/``nth``: the task that cut it and its
+    number there among pieces of its length.
 
     The result is a written table, as later steps read it more than once.
     """
@@ -41,7 +45,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
     spark = docs.sparkSession
     python_on_executors(spark)
     tokens = spark.sparkContext.broadcast(definition(tokenizer))
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("part", pa.int32()), ("nth", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("part", pa.int32()), ("nth", pa.int64())])
     end, step = end_id.to_bytes(4, "little"), 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,12 +60,12 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
                     for at in range(0, len(ids), step):
                         piece = ids[at : at + step]
                         length = len(piece) // 4
-                        rows.append((doc_id, at // 4, length, piece, len(ids) // 4, part, seen[length]))
+                        rows.append((doc_id, at // 4, length, piece if with_ids else None, crc32(piece), len(ids) // 4, part, seen[length]))
                         seen[length] += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     cut = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, PIECE_SCHEMA)
-    return written(cut, "pieces", "zstd")
+    return written(cut if with_ids else cut.drop("ids"), "pieces", "zstd")
 
 
 class Tightest:
@@ -102,12 +106,13 @@ def best_fit_runs(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
 
     The tightest window of remaining capacity r takes ``r // length`` pieces of that length before
     any other is touched, as it stays the tightest; so windows of one capacity are filled together.
+    Spans of windows with equal room lie in a heap by their first window.
     """
     tree, spans, runs, windows = Tightest(capacity), {}, [], 0
 
     def put(room: int, first: int, n: int) -> None:
         if n and room:
-            spans.setdefault(room, []).append((first, n))
+            heapq.heappush(spans.setdefault(room, []), (first, n))
             tree.set(room, True)
 
     for length in sorted(counts, reverse=True):
@@ -119,7 +124,7 @@ def best_fit_runs(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
                 first, n = windows, -(-left // each)
                 windows += n
             else:
-                first, n = spans[room].pop(0)
+                first, n = heapq.heappop(spans[room])
                 if not spans[room]:
                     tree.set(room, False)
                 each = room // length
@@ -161,15 +166,13 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces with their ids and places: doc_id, start, length, ids, doc_tokens, sequence_id, offset."""
+    """Pieces with their ids and places: doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset."""
     return place_pieces(cut_documents(docs, tokenizer, end_id, capacity), capacity)
 
 
 def packed_rows(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces with a checksum of their ids instead of the ids, so that only small rows are shuffled."""
-    pieces = cut_documents(docs, tokenizer, end_id, capacity)
-    small = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "part", "nth")
-    return place_pieces(small, capacity)
+    """Pieces with a checksum of their ids instead of the ids, so that only small rows are written and shuffled."""
+    return place_pieces(cut_documents(docs, tokenizer, end_id, capacity, with_ids=False), capacity)
 
 
 def sequences(placed: DataFrame, capacity: int = CAPACITY, pad_id: int = 0) -> DataFrame:

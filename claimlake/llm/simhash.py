@@ -232,7 +232,11 @@ def keep_one(docs: DataFrame, **parameters: int) -> DataFrame:
     """
     found = written(near_duplicates(docs, **parameters), "components")
     heads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    several = heads.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1")
+    # Roots that a plain choice by id can't settle: with several heads, or whose head's id also
+    # stands on another row.
+    twice = found.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    crowded = heads.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1").select("root")
+    several = crowded.union(heads.join(twice, "doc_id", "left_semi").select("root")).distinct()
     plain = heads.join(several, "root", "left_anti").select("doc_id").filter("doc_id is not null")
     shared = heads.join(several, "root", "left_semi")
     nameless = heads.filter("doc_id is null")

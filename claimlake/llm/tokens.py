@@ -2,7 +2,7 @@
 
 A BPE model works on each pre-token alone, so a text's ids are its pre-tokens' ids side by side.
 ``TextEncoder`` splits texts as the file's pre-tokenizer does, asks the library for each pre-token
-once and keeps its ids (a bounded memory, emptied when full). Texts or words whose normalising it
+once and keeps its ids (a bounded memory that frequent ones stay in). Texts or words whose normalising it
 can't be sure of go to the library whole, and so do texts that hold an added token's content (the
 library gives it that token's id), and all texts if it doesn't know the pre-tokenizer.
 """
@@ -17,6 +17,8 @@ from struct import pack
 import regex
 from tokenizers import Tokenizer
 
+from claimlake.llm.common import Remembered
+
 #: Fixed value: the pattern that the library documents for its ByteLevel pre-tokenizer.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Fixed value: a split by words that drops white space; digits stand alone.
@@ -29,39 +31,23 @@ _WORDS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 _FIRST_256 = "\u0100"
 
 
-class Memory(dict):
-    """Ids of pre-tokens, as little-endian unsigned 32-bit integers."""
-
-    def __init__(self, library: Tokenizer):
-        super().__init__()
-        self.library = library
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.library.encode(word, add_special_tokens=False).ids
-        packed = pack(f"<{len(ids)}I", *ids)
-        if len(word) <= 100:
-            self[word] = packed
-        return packed
-
-
 class TextEncoder:
     """Encodes texts to ids, each result as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, definition: str, remember: int = 1_000_000):
+    def __init__(self, definition: str, remember: int = 500_000):
         self.library = Tokenizer.from_str(definition)
-        self.remember, self.memory = remember, Memory(self.library)
+        self.memory = Remembered(self.ask, remember, longest=100)
         spec = json.loads(definition)
         self.added = [x["content"] for x in spec.get("added_tokens") or []]
         self.split = _splitter(spec)
 
+    def ask(self, text: str) -> bytes:
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return pack(f"<{len(ids)}I", *ids)
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        out, ids, split, added = [], self.memory.__getitem__, self.split, self.added
-        for text in texts:
-            if len(self.memory) > self.remember:
-                self.memory.clear()
-            whole = any(x in text for x in added)
-            out.append(self.memory.__missing__(text) if whole else b"".join(map(ids, split(text))))
-        return out
+        ids, split, added = self.memory.__getitem__, self.split, self.added
+        return [self.ask(t) if any(x in t for x in added) else b"".join(map(ids, split(t))) for t in texts]
 
 
 def _splitter(spec: dict) -> Callable[[str], list[str]]:

@@ -116,3 +116,10 @@ def test_query(spark):
     got = [(r["doc_id"], int(r["fingerprint"], 16), r["component_id"]) for r in rows(entry.queries()["op5_simhash"](spark, "/root/testdata/sf0.001"))]
     assert sorted(got) == sorted(expected(documents(spark)))
     assert all(len(r["fingerprint"]) == 16 for r in rows(entry.queries()["op5_simhash"](spark, "/root/testdata/sf0.001")))
+
+
+def test_keep_one_where_an_id_stands_on_several_texts(spark):
+    a, b = "alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(3, b), (5, a), (5, b), (6, a), (7, "quite another text of its own here")], "doc_id long, text string")
+    kept = sorted(tuple(r) for r in s.keep_one(docs).select("doc_id", "text").collect())
+    assert kept == [(3, b), (5, a), (7, "quite another text of its own here")]
