@@ -12,7 +12,7 @@ readable ``message`` otherwise, and the object size ``n_bytes`` when the object
 from __future__ import annotations
 
 import math
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,9 +38,8 @@ UNDECODABLE = "undecodable"
 ACCESS_DENIED = "access_denied"
 NO_CONTENT = "no_content"
 
-# Bulk resolve: a key whose pointers exceed this many times the mean of a join partition is hot; the
-# parts that a hot key is cut into when its object is too large to broadcast.
-HOT_TIMES, HOT_PARTS = 4, 32
+# Bulk resolve: a key whose pointers exceed this many times the mean of a join partition is hot.
+HOT_TIMES = 4
 HOT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -256,8 +255,8 @@ def resolve_text(
     ``no_store``. By default nothing is limited: a left join on bucket and key; with the store
     bucketed on ``key`` only the pointer side is shuffled. Keys with over ``hot_times`` the
     pointers of a mean join partition are split off and joined with a broadcast of just their
-    objects, or, if those exceed ``hot_broadcast_bytes``, in ``HOT_PARTS`` parts each, so no task
-    receives all rows of a hot key.
+    objects, or, if those exceed ``hot_broadcast_bytes``, in parts, as many for each key as it has
+    times the pointers of a mean partition, so no task receives all rows of a hot key.
 
     * ``max_rows`` (guardrail for inline use): the input is counted up to ``max_rows + 1``; over
       the cap every row gets ``too_many`` and nothing is read. Under it the keys go into the
@@ -293,7 +292,9 @@ def resolve_text(
         # an outer join they would all hash to one partition.
         keyless = parsed.filter(F.col("__jk").isNull()).withColumns(_no_match())
         keyed = parsed.filter(F.col("__jk").isNotNull())
-        hot = hot_keys(keyed, "__jk", min(0.5, hot_times / _partitions(store))) if hot_times else []
+        n_parts = _partitions(store)
+        counts, total = hot_key_counts(keyed, "__jk", min(0.5, hot_times / n_parts)) if hot_times else ({}, 0)
+        hot = sorted(counts)
         is_hot = F.col("__jk").isin(hot)
         joined = (keyed.filter(~is_hot) if hot else keyed).join(objects, on, "left").unionByName(keyless)
         if hot:
@@ -301,8 +302,12 @@ def resolve_text(
             if _bounded(store, hot, max_bytes, hot_broadcast_bytes):
                 hot_rows = keyed.filter(is_hot).join(F.broadcast(wanted), on, "left")
             else:  # the rows of a key in parts, each with its copy of the object
-                parts = keyed.filter(is_hot).withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.lit(HOT_PARTS)))
-                copies = wanted.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(HOT_PARTS - 1).cast("long"))))
+                shares = [(k, max(1, math.ceil(n * n_parts / total))) for k, n in counts.items()]
+                cut = F.broadcast(df.sparkSession.createDataFrame(shares, "__hk string, __parts long"))
+                rows = keyed.filter(is_hot).join(cut, F.col("__jk") == F.col("__hk"))
+                parts = rows.withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.col("__parts"))).drop("__hk", "__parts")
+                each = wanted.join(cut, F.col("__sk") == F.col("__hk"))
+                copies = each.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1))).drop("__hk", "__parts")
                 hot_rows = parts.join(copies, on & (F.col("__part") == F.col("__copy")), "left").drop("__part", "__copy")
             joined = hot_rows.unionByName(joined)
 
@@ -390,11 +395,13 @@ def resolve_files(
     max_rows: int | None = None,
     max_bytes: int | None = None,
     text_col: str = "full_text",
+    wrap: Callable | None = None,
 ) -> DataFrame:
     """:func:`resolve_text` against object files under ``root`` (``root/<bucket>/<key>``).
 
     Any bucket folder under ``root`` is a store; a missing folder gives ``no_store``. Read
-    problems become ``access_denied`` or ``error:<code>`` for that row. Each distinct pointer
+    problems become ``access_denied`` or ``error:<code>`` for that row (``wrap``: see
+    :func:`claimlake.sources.objects.fetch_objects`). Each distinct pointer
     is fetched once (partial aggregation collapses repeats before the fetch stage); the
     results join back on ``(bucket, key)`` - broadcast under the row cap when
     ``max_rows * max_bytes`` is within the broadcast limit, a shuffle join otherwise.
@@ -415,7 +422,7 @@ def resolve_files(
         keys = df.sparkSession.createDataFrame(wanted, "__b string, __k string")
     else:
         keys = keyed.select("__b", "__k").distinct()
-    fetched = fetch_objects(keys, root, max_bytes).withColumn(
+    fetched = fetch_objects(keys, root, max_bytes, wrap).withColumn(
         "__sk", F.when(F.col("__err").isNull(), F.col("__k"))
     ).withColumnsRenamed({"__b": "__fb", "__k": "__fk"})
     if max_rows is not None and max_bytes is not None and max_rows * max_bytes <= HOT_BROADCAST_BYTES:
@@ -427,22 +434,29 @@ def resolve_files(
     return _finish(joined, u, None, max_bytes, text_col, with_errors=True)
 
 
-def hot_keys(df: DataFrame, key: str, fraction: float) -> list:
-    """Keys holding at least ``fraction`` of the non-NULL ``key`` rows (at most 1/fraction).
+def hot_key_counts(df: DataFrame, key: str, fraction: float) -> tuple[dict[str, int], int]:
+    """Rows of each key that holds at least ``fraction`` of the non-NULL ``key`` rows (at most
+    1/fraction keys), and how many such rows there are in all.
 
-    Two map-side passes, no shuffle of keys: ``freqItems`` proposes at most 1/fraction
-    candidates (it never misses a key above the support, but may propose a few that are not),
-    then one aggregate counts the candidates exactly together with the total.
+    Two map-side passes, no shuffle of keys: ``freqItems`` proposes at most 1/fraction candidates
+    (it never misses a key above the support, but may propose a few that are not); then the rows
+    are joined with a broadcast of the candidates and counted by candidate, all others together.
     """
     keyed = df.filter(F.col(key).isNotNull()).select(key)
-    cands = [c for c in (keyed.freqItems([key], support=fraction).first()[0] or []) if c is not None]
-    if not cands:
-        return []
-    row = keyed.agg(
-        F.count(F.lit(1)).alias("__t"), *[F.count(F.when(F.col(key) == c, 1)).alias(f"__c{i}") for i, c in enumerate(cands)]
-    ).first()
-    threshold = max(2, math.ceil(row["__t"] * fraction))
-    return sorted(c for i, c in enumerate(cands) if row[f"__c{i}"] >= threshold)
+    candidates = [(c,) for c in (keyed.freqItems([key], support=fraction).first()[0] or []) if c is not None]
+    if not candidates:
+        return {}, 0
+    proposed = df.sparkSession.createDataFrame(candidates, "__candidate string")
+    counted = keyed.join(F.broadcast(proposed), F.col(key) == F.col("__candidate"), "left").groupBy("__candidate").agg(F.count(F.lit(1)).alias("n"))
+    rows = {r["__candidate"]: r["n"] for r in counted.collect()}  # at most one for each candidate, and the rest
+    total = sum(rows.values())
+    threshold = max(2, math.ceil(total * fraction))
+    return {k: n for k, n in rows.items() if k is not None and n >= threshold}, total
+
+
+def hot_keys(df: DataFrame, key: str, fraction: float) -> list[str]:
+    """The keys of :func:`hot_key_counts`."""
+    return sorted(hot_key_counts(df, key, fraction)[0])
 
 
 def _fetch_hits(hits: DataFrame) -> DataFrame:

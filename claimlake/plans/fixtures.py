@@ -7,13 +7,16 @@ decide which rows get which defect.
 
 from __future__ import annotations
 
+import errno
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.functions import text as T
 from claimlake.operators.quality import DEFAULT_RULES
 from claimlake.plans.tables import TERMS_BUCKET
-from claimlake.sources.landing import write_landing_csv
+from claimlake.sources.landing import NULL_TOKEN, write_landing_csv
 
 # Run time used by every test and query, and the rule documents of FIXTURES F5.
 RUN_TS = "2026-01-01T00:00:00+00:00"
@@ -107,24 +110,95 @@ def store_rows(docs: DataFrame) -> DataFrame:
 TWO_BUCKETS = (TERMS_BUCKET, "more-terms")
 
 
+def folded_key(d: Column) -> Column:
+    """A third of all ids share one key; of the others, seven ids share each."""
+    return F.concat(F.lit("terms/"), F.when(d % 3 == 0, F.lit(0)).otherwise(F.floor(d / 7)).cast("string"), F.lit(".txt"))
+
+
 def repeated_rows(docs: DataFrame) -> DataFrame:
-    """Repeats: (bucket, key, content, version) - seven keys' worth of ids fold into one key, in two
-    buckets; versions are NULL, tied or distinct, and of tied copies all hold the same text."""
+    """Repeats: (bucket, key, content, version) - whole texts under folded keys, in two buckets, each
+    row twice; versions are NULL or the id, so the last document of a key wins."""
     d = F.col("doc_id")
-    folded = F.floor(d / 7).cast("bigint")
-    version = F.when(d % 7 < 2, F.lit(None).cast("bigint")).otherwise(F.least(d % 7, F.lit(5)).cast("bigint"))
-    text = F.concat(F.lit("copy "), F.coalesce(version, F.lit(0)).cast("string"), F.lit(" of "), folded.cast("string"))
-    bucket = F.explode(F.array(*[F.lit(b) for b in TWO_BUCKETS]))
-    return docs.select(
-        bucket.alias("bucket"),
-        F.concat(F.lit("terms/"), folded.cast("string"), F.lit(".txt")).alias("key"),
-        text.alias("__text"),
-        version.alias("version"),
-    ).select("bucket", "key", F.encode(F.concat("bucket", F.lit(" "), "__text"), "UTF-8").alias("content"), "version").withColumn(
+    version = F.when(d % 7 != 0, d)
+    both = docs.withColumn("bucket", F.explode(F.array(*[F.lit(b) for b in TWO_BUCKETS for _ in range(2)])))
+    content = F.encode(F.concat("bucket", F.lit(" "), F.coalesce("text", F.lit(""))), "UTF-8")
+    return both.select("bucket", folded_key(d).alias("key"), content.alias("content"), version.alias("version")).withColumn(
         "n_bytes", F.octet_length("content").cast("bigint")
     )
 
 
+def folded_pointers(docs: DataFrame) -> DataFrame:
+    """One pointer per document to its folded key: a third of the rows point to one object."""
+    return docs.select(F.concat(F.lit(f"s3://{TERMS_BUCKET}/"), folded_key(F.col("doc_id"))).alias("u"))
+
+
+def _cell(value: Column) -> Column:
+    quoted = F.regexp_replace(F.coalesce(value.cast("string"), F.lit(NULL_TOKEN)), '"', '""')
+    return F.concat(F.lit('"'), quoted, F.lit('"'))
+
+
+def _write_lines(lines: DataFrame, headers: list[str], root: str) -> str:
+    """(part, nth, value) lines as one text file a part, under the header of that part."""
+    first = lines.sparkSession.createDataFrame([(k, -1, h) for k, h in enumerate(headers)], "part long, nth long, value string")
+    ordered = lines.unionByName(first).repartition("part").sortWithinPartitions("part", "nth")
+    ordered.select("part", "value").write.partitionBy("part").text(root)
+    return root
+
+
+# The headers of the four kinds of landing files; the last has a column of its own.
+HEADERS = [
+    ["id", "terms", "character_length", "utf8_byte_length", "exceeds_redshift_varchar_65535_bytes"],
+    ["exceeds_redshift_varchar_65535_bytes", "terms", "utf8_byte_length", "id", "character_length"],
+    ["terms", "id"],
+    ["note", "id", "terms", "character_length", "utf8_byte_length", "exceeds_redshift_varchar_65535_bytes"],
+]
+
+
+def write_landing_by_headers(docs: DataFrame, root: str) -> str:
+    """F1 as text files whose headers order the columns differently, lack some or have one more."""
+    rows = landing_rows(docs, keep_doc_id=True).withColumn("note", F.lit("n"))
+    d = F.col("doc_id")
+    line = F.concat_ws(",", *[_cell(F.col(c)) for c in HEADERS[0]])
+    for k, header in enumerate(HEADERS):
+        line = F.when(d % 4 == k, F.concat_ws(",", *[_cell(F.col(c)) for c in header])).otherwise(line)
+    return _write_lines(rows.select((d % 4).alias("part"), d.alias("nth"), line.alias("value")), [",".join(h) for h in HEADERS], root)
+
+
+def write_ragged_landing(docs: DataFrame, root: str) -> str:
+    """F1 as text files in which every tenth line ends after its first field and every tenth has a
+    field too many."""
+    rows = landing_rows(docs, keep_doc_id=True)
+    d, cells = F.col("doc_id"), [_cell(F.col(c)) for c in HEADERS[0]]
+    line = F.when(d % 10 == 3, cells[0]).when(d % 10 == 7, F.concat_ws(",", *cells, F.lit('"more"'))).otherwise(F.concat_ws(",", *cells))
+    return _write_lines(rows.select((d % 4).alias("part"), d.alias("nth"), line.alias("value")), [",".join(HEADERS[0])] * 4, root)
+
+
+def repeated_ids(docs: DataFrame) -> DataFrame:
+    """F1's id and terms, a third of the rows with one id, others with an id of two rows."""
+    d = F.col("doc_id")
+    id_ = F.when(d % 3 == 0, F.lit("hot")).when(d % 17 == 0, F.lit(None).cast("string")).when(d % 5 == 1, F.floor(d / 10).cast("string"))
+    return docs.select(id_.otherwise(F.concat(F.lit("d"), d.cast("string"))).alias("id"), _terms(d, F.col("text")).alias("terms"))
+
+
+class FaultyFiles:
+    """Object files of which some can't be read: the store refuses every third object, and the
+    reading of every fifth fails."""
+
+    def __init__(self, files):
+        self.files = files
+
+    def get_file_info(self, path):
+        return self.files.get_file_info(path)
+
+    def open_input_stream(self, path):
+        number = int(re.sub(r"\D", "", path.rpartition("/")[2]) or 1)
+        if number % 3 == 0:
+            raise PermissionError(errno.EACCES, "refused")
+        if number % 5 == 0:
+            raise OSError(errno.EIO, "input/output error")
+        return self.files.open_input_stream(path)
+
+
 # ---------------------------------------------------------------------------------------------
 # The same fixtures as DuckDB SQL (used by oracle_sql()).
 # ---------------------------------------------------------------------------------------------
@@ -176,10 +250,23 @@ SELECT '{TERMS_BUCKET}' AS bucket, 'terms/' || CAST(doc_id AS VARCHAR) || '.txt'
 FROM documents
 """
 
+SQL_FOLDED_KEY = "'terms/' || CAST(CASE WHEN doc_id % 3 = 0 THEN 0 ELSE doc_id // 7 END AS VARCHAR) || '.txt'"
+
 SQL_REPEATED = f"""
-SELECT b.bucket, 'terms/' || CAST(doc_id // 7 AS VARCHAR) || '.txt' AS key,
-       b.bucket || ' copy ' || CAST(max(CASE WHEN doc_id % 7 < 2 THEN 0 ELSE least(doc_id % 7, 5) END) AS VARCHAR)
-         || ' of ' || CAST(doc_id // 7 AS VARCHAR) AS text
-FROM documents, (VALUES {", ".join(f"('{b}')" for b in TWO_BUCKETS)}) b(bucket)
-GROUP BY b.bucket, doc_id // 7
+SELECT b.bucket, key, b.bucket || ' ' || text AS text
+FROM (SELECT {SQL_FOLDED_KEY} AS key, max_by(coalesce(text, ''), CASE WHEN doc_id % 7 <> 0 THEN doc_id ELSE -1 END) AS text
+      FROM documents GROUP BY 1) f, (VALUES {", ".join(f"('{b}')" for b in TWO_BUCKETS)}) b(bucket)
+"""
+
+
+def sql_cell(value: str) -> str:
+    return f"""'"' || replace(coalesce(CAST({value} AS VARCHAR), '{NULL_TOKEN}'), '"', '""') || '"'"""
+
+
+SQL_REPEATED_IDS = """
+SELECT CASE WHEN doc_id % 3 = 0 THEN 'hot' WHEN doc_id % 17 = 0 THEN NULL
+            WHEN doc_id % 5 = 1 THEN CAST(doc_id // 10 AS VARCHAR) ELSE 'd' || CAST(doc_id AS VARCHAR) END AS id,
+       CASE WHEN doc_id % 13 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN ''
+            WHEN doc_id % 7 = 0 THEN '   ' ELSE text END AS terms
+FROM documents
 """

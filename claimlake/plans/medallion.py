@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from claimlake.operators import claimcheck as cc
 from claimlake.operators import quality as q
-from claimlake.plans.tables import Lake
-from claimlake.sources.landing import SOURCE_FILE, read_landing_csv
-from claimlake.session import sql_conf
+from claimlake.plans.tables import Lake, part_column, part_of
+from claimlake.session import remove_folder, sql_conf
+from claimlake.sources.landing import RAGGED, SOURCE_FILE, read_landing_csv
 from claimlake.sources.rules import load_rules, parse_rules
 
 INGESTED_AT = "_ingestion_timestamp"
@@ -59,20 +59,48 @@ def to_bronze(
     ``landing`` is a landing root folder or an already scanned landing DataFrame (with
     ``_source_file``). The store is written first, so every pointer in bronze has its object.
     Duplicate ids keep the copy from the greatest source path, last row in that file.
+
+    Files are read by their own headers. Lines with more or fewer fields than their header go to
+    the landing quarantine, whole, and the other rows of their file go on. A run that dies midway
+    is simply run again; no staged text outlives a finished one.
     """
     lake.create(spark)
     run_ts = run_ts or utc_now()
-    raw = read_landing_csv(spark, landing) if isinstance(landing, str) else landing
-    # One staging folder per lake, replaced by each run: at most one staged copy is kept.
-    staged = stage(raw, f"{lake.root}/_staging/landing")
+    raw = read_landing_csv(spark, landing, keep_ragged=True, by_name=True) if isinstance(landing, str) else landing
+    # One staging folder per lake: a run that died left at most one staged copy, which this one
+    # replaces and, once all tables are committed, removes.
+    staging = f"{lake.root}/_staging/landing"
+    staged = stage(raw, staging)
+    whole = staged
+    if RAGGED in staged.columns:
+        whole = staged.filter(F.col(RAGGED).isNull()).drop(RAGGED)
+        lake.writer.replace(ragged_frame(staged, run_ts), lake.landing_quarantine_name)
     rows = cc.payload(
-        staged, bucket=lake.terms_bucket, prefix=lake.terms_prefix, keep=(SOURCE_FILE, _ORD), size_col=_BYTES
+        whole, bucket=lake.terms_bucket, prefix=lake.terms_prefix, keep=(SOURCE_FILE, _ORD), size_col=_BYTES
     )
     cc.write_store(rows, lake.store_name, order=[SOURCE_FILE, _ORD], writer=lake.writer)
-    lake.writer.replace(bronze_frame(staged, lake, run_ts), lake.bronze_name)
+    lake.writer.replace(bronze_frame(whole, lake, run_ts), lake.bronze_name)
+    remove_folder(spark, staging)
     return spark.table(lake.bronze_name)
 
 
+RAW_LINE = "_raw_line"
+REASON_RAGGED = "ragged_row"
+
+
+def ragged_frame(staged: DataFrame, run_ts: str) -> DataFrame:
+    """Quarantine rows for the landed lines that have more or fewer fields than their header."""
+    return staged.filter(F.col(RAGGED).isNotNull()).select(
+        F.col(RAGGED).alias(RAW_LINE), F.lit(REASON_RAGGED).alias(q.FAILED), F.lit(run_ts).alias(INGESTED_AT), SOURCE_FILE
+    )
+
+
+def all_quarantined(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Everything set aside: rows that failed their checks, and landed lines that are no rows (their
+    columns NULL, the line in ``_raw_line``), with the reason in ``_dq_failed_checks``."""
+    return spark.table(lake.quarantine_name).unionByName(spark.table(lake.landing_quarantine_name), allowMissingColumns=True)
+
+
 def silver_frames(bronze: DataFrame, rules: Mapping | str | None, run_ts: str) -> tuple[DataFrame, DataFrame, list]:
     """(clean, quarantined, checks) for a bronze frame; nothing is written."""
     checks = q.compile_rules(parse_rules(rules))
@@ -105,7 +133,7 @@ def to_silver(
 
 
 def to_gold(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Full-refresh copy of silver into the gold database."""
+    """Full-refresh copy of silver into the gold database, never missing for a reader."""
     lake.create(spark)
     return lake.writer.publish(spark, lake.silver_name, lake.gold_name)
 
@@ -217,11 +245,16 @@ def register_text_function(
     message saying why not (same wording and order of checks as :func:`resolve_text`).
 
     ``SELECT id, terms, get_text_from_s3(terms) AS full_text FROM gold WHERE id IN (...)``:
-    The correlated lookup is a left join with the store on its key, which is unique in a bucket,
-    so no text is aggregated; with the store bucketed on ``key`` it is read in place and only the
-    pointers are shuffled. A function cannot see which keys its query will ask for, so the store
-    scan is not pruned; for a handful of rows :func:`resolve_gold` with ``max_rows`` pushes the
-    keys into it. ``max_bytes`` is no limit unless given. A temporary function of the session.
+    The correlated lookup becomes a left outer join with the store on its key. The key is unique in
+    a bucket, so the aggregate that makes the lookup scalar passes one text at a time through, in
+    the order of the store's buckets; only the pointers are shuffled. The store's partition column
+    is compared too, so that Spark prunes the store, at run time, to the partitions of the pointers
+    that the query's own filters leave. ``max_bytes`` is no limit unless given.
+
+    A temporary function of the session. Two settings of the session go with it: the pruning may
+    run the pointers' side by itself, and a join may keep the store's partitioning by key alone.
+    If the store is written anew with another number of partitions, the function fails by naming
+    the old partition column; register it again.
     """
     from claimlake.functions.text import POINTER_WHITESPACE, SPARK_POINTER_PATTERN
 
@@ -231,16 +264,23 @@ def register_text_function(
     if max_bytes is not None:
         told = f"concat({_sql_str(cc.MSG_TOO_LARGE[0])}, format_number(n_bytes, 0), {_sql_str(cc.MSG_TOO_LARGE[1].format(limit=f'{max_bytes:,}'))})"
         large = f"WHEN n_bytes > {int(max_bytes)} THEN {told}"
+    part_condition = ""
+    if lake.catalog is None:
+        column = next((c for c in spark.table(lake.store_name).columns if c.startswith(part_column(0)[:-1])), None)
+        if column:
+            part_condition = f"AND {column} = {part_of(part(2), int(column.rpartition('_')[2]))}"
+            spark.conf.set("spark.sql.optimizer.dynamicPartitionPruning.reuseBroadcastOnly", "false")
+            spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     body = f"""
       CASE WHEN s3_uri IS NULL OR s3_uri = '' THEN {_sql_str(cc.MSG_MISSING)}
            WHEN {part(1)} = '' THEN concat({_sql_str(cc.MSG_MALFORMED[0])}, s3_uri, {_sql_str(cc.MSG_MALFORMED[1])})
            WHEN {part(1)} <> {_sql_str(lake.terms_bucket)}
              THEN concat({_sql_str(cc.MSG_NO_STORE[0])}, {part(1)}, {_sql_str(cc.MSG_NO_STORE[1])})
            ELSE coalesce(
-             (SELECT CASE {large} WHEN content IS NULL THEN {_sql_str(cc.MSG_NO_CONTENT)}
+             (SELECT max(CASE {large} WHEN content IS NULL THEN {_sql_str(cc.MSG_NO_CONTENT)}
                           WHEN NOT is_valid_utf8(CAST(content AS STRING)) THEN {_sql_str(cc.MSG_UNDECODABLE)}
-                          ELSE CAST(content AS STRING) END
-              FROM {lake.store_name} WHERE bucket = {_sql_str(lake.terms_bucket)} AND key = {part(2)}),
+                          ELSE CAST(content AS STRING) END)
+              FROM {lake.store_name} WHERE bucket = {_sql_str(lake.terms_bucket)} AND key = {part(2)} {part_condition}),
              {_sql_str(cc.MSG_NOT_FOUND)})
       END"""
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s3_uri STRING) RETURNS STRING RETURN {body}")

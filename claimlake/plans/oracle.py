@@ -80,6 +80,19 @@ ORACLE: dict[str, str] = {
     "scan_landing_csv": f"{WITH} SELECT id, terms, {MEASURES} FROM f1",
     "scan_landing_recursive": f"{WITH} SELECT id, terms, _dir AS _source_dir FROM f1",
     "scan_landing_suffix": f"{WITH} SELECT id, terms, 'csv' AS _source_suffix FROM f1",
+    "scan_landing_headers": f"""{WITH} SELECT id, terms,
+        CASE WHEN doc_id % 4 <> 2 THEN character_length END AS character_length,
+        CASE WHEN doc_id % 4 <> 2 THEN utf8_byte_length END AS utf8_byte_length,
+        CASE WHEN doc_id % 4 <> 2 THEN exceeds_redshift_varchar_65535_bytes END AS exceeds_redshift_varchar_65535_bytes,
+        CASE WHEN doc_id % 4 = 3 THEN 'n' END AS note FROM f1""",
+    "scan_landing_ragged": f"""{WITH}
+        SELECT id, terms, {MEASURES}, _ingestion_timestamp, NULL AS _raw_line, NULL AS _dq_failed_checks
+        FROM bronze WHERE doc_id % 10 NOT IN (3, 7)
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, NULL, {RUN},
+               CASE WHEN doc_id % 10 = 3 THEN {fx.sql_cell("id")} ELSE {" || ',' || ".join(map(fx.sql_cell, fx.HEADERS[0]))} || ',"more"' END,
+               'ragged_row'
+        FROM f1 WHERE doc_id % 10 IN (3, 7)""",
     "scan_bronze_table": f"{WITH} SELECT {BRONZE_COLS} FROM bronze",
     "write_bronze": f"{WITH} SELECT {BRONZE_COLS} FROM bronze",
     "source_to_bronze": f"{WITH} SELECT {BRONZE_COLS} FROM bronze",
@@ -130,6 +143,11 @@ ORACLE: dict[str, str] = {
         SELECT id, terms, _dq_max_bytes_terms, coalesce(_dq_max_bytes_terms, false) AS _dq_passed,
         CASE WHEN coalesce(_dq_max_bytes_terms, false) THEN '' ELSE '_dq_max_bytes_terms' END AS _dq_failed_checks
         FROM c""",
+    "check_unique": f"""
+        SELECT id, terms, _dq_unique_id, id IS NOT NULL AS _dq_not_null_id, _dq_unique_id AND id IS NOT NULL AS _dq_passed,
+               concat_ws(',', CASE WHEN NOT _dq_unique_id THEN '_dq_unique_id' END,
+                              CASE WHEN id IS NULL THEN '_dq_not_null_id' END) AS _dq_failed_checks
+        FROM (SELECT *, id IS NULL OR count(*) OVER (PARTITION BY id) = 1 AS _dq_unique_id FROM ({fx.SQL_REPEATED_IDS}) r) u""",
     "annotate_checks": f"{WITH} {ANNOTATED3.format(src='f1')}",
     "dq_passed": f"{WITH} SELECT id, terms, _dq_passed FROM ({ANNOTATED3.format(src='f1')}) a",
     "dq_failed_names": f"{WITH} SELECT id, terms, _dq_failed_checks FROM ({ANNOTATED3.format(src='f1')}) a",
@@ -152,6 +170,16 @@ ORACLE: dict[str, str] = {
         SELECT id, terms, status, full_text, message, n_bytes FROM r""",
     "stream_arrivals": f"{WITH} SELECT id, terms, {MEASURES}, _dir AS _source_dir FROM f1",
     "resolve_files": f"{RESOLVE_WHOLE} SELECT doc_id, u, status, full_text, message, n_bytes FROM r",
+    "resolve_file_errors": f"""{RESOLVE_WHOLE}, e AS (
+        SELECT *, CASE WHEN status NOT IN ('ok', 'undecodable') THEN status WHEN doc_id % 3 = 0 THEN 'access_denied'
+                       WHEN doc_id % 5 = 0 THEN 'error:EIO' ELSE status END AS seen FROM r)
+        SELECT doc_id, u, seen AS status, CASE WHEN seen = 'ok' THEN full_text END AS full_text,
+               CASE seen WHEN 'access_denied' THEN 'The store refused to hand out this object.'
+                         WHEN 'error:EIO' THEN 'Could not read the stored object (EIO).' ELSE message END AS message, n_bytes FROM e""",
+    "resolve_hot": f"""SELECT 's3://{TERMS_BUCKET}/' || p.key AS u, p.n_rows, 'ok' AS status, s.text AS full_text,
+        CAST(strlen(s.text) AS BIGINT) AS n_bytes
+        FROM (SELECT {fx.SQL_FOLDED_KEY} AS key, count(*) AS n_rows FROM documents GROUP BY 1) p
+        JOIN ({fx.SQL_REPEATED}) s ON s.key = p.key AND s.bucket = '{TERMS_BUCKET}'""",
     "get_text_sql": f"""{WITH}, {GOLD_STORE},
         {_resolved(None, "gold", "terms", "id, terms")}
         SELECT id, terms, coalesce(full_text, message) AS full_text FROM r""",
@@ -162,3 +190,5 @@ ORACLE: dict[str, str] = {
     "resolve_two_buckets": f"""SELECT 's3://' || bucket || '/' || key AS u, 'ok' AS status, text AS full_text,
         CAST(strlen(text) AS BIGINT) AS n_bytes FROM ({fx.SQL_REPEATED}) s""",
 }
+
+ORACLE["silver_rules_path"] = ORACLE["bronze_to_silver"]

@@ -22,6 +22,7 @@ from claimlake.plans import medallion as m
 from claimlake.plans.tables import TERMS_BUCKET, Lake
 from claimlake.sources import objects as obj
 from claimlake.sources.landing import SOURCE_FILE, read_landing_csv
+from claimlake.sources.rules import write_rules
 from claimlake.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +119,23 @@ def scan_landing_suffix(spark, sf_dir):
     return df.select("id", "terms", F.regexp_extract(SOURCE_FILE, r"\.([^./]+)$", 1).alias("_source_suffix"))
 
 
+def scan_landing_headers(spark, sf_dir):
+    """Files that order their columns differently, lack some or have one more, read by name."""
+    lake = Lake.fresh(spark, "headers").create(spark)
+    root = fx.write_landing_by_headers(fx.documents(spark, sf_dir), f"{lake.root}/landing")
+    df = read_landing_csv(spark, root, glob="*.txt", by_name=True)
+    return df.select("id", "terms", *MEASURES, "note")
+
+
+def scan_landing_ragged(spark, sf_dir):
+    """Lines with too few or too many fields go to quarantine, with the others of their file in bronze."""
+    lake = Lake.fresh(spark, "ragged").create(spark)
+    root = fx.write_ragged_landing(fx.documents(spark, sf_dir), f"{lake.root}/landing")
+    landed = read_landing_csv(spark, root, glob="*.txt", by_name=True, keep_ragged=True)
+    bronze = m.to_bronze(spark, landed, lake, run_ts=fx.RUN_TS).select("id", "terms", *MEASURES, "_ingestion_timestamp")
+    return bronze.unionByName(spark.table(lake.landing_quarantine_name).drop(SOURCE_FILE), allowMissingColumns=True)
+
+
 def scan_bronze_table(spark, sf_dir):
     lake = _bronze(spark, sf_dir, "scanbronze")
     return _stable(spark.table(lake.bronze_name))
@@ -261,6 +279,21 @@ def check_extension(spark, sf_dir):
     return _annotated(spark, sf_dir, RULES_CUSTOM)
 
 
+def check_unique(spark, sf_dir):
+    """A check over the whole frame; one id holds a third of the rows."""
+    rows = fx.repeated_ids(fx.documents(spark, sf_dir))
+    return q.annotate(rows, q.compile_rules({"checks": [{"type": "unique", "column": "id"}, {"type": "not_null", "column": "id"}]}))
+
+
+def silver_rules_path(spark, sf_dir):
+    """Silver and quarantine by the rule document that lies at a path."""
+    lake = _bronze(spark, sf_dir, "rpath")
+    path = write_rules(spark, fx.RULES_THREE, lake.scratch("rules"))
+    silver, quarantine = m.to_silver(spark, lake, rules_path=path, run_ts=fx.RUN_TS)
+    rows = silver.select("id", "terms", F.lit("silver").alias("_layer"), F.lit(None).cast("string").alias("_dq_failed_checks"))
+    return rows.unionByName(quarantine.select("id", "terms", F.lit("quarantine").alias("_layer"), "_dq_failed_checks"))
+
+
 def annotate_checks(spark, sf_dir):
     return _annotated(spark, sf_dir, fx.RULES_THREE)
 
@@ -324,6 +357,23 @@ def resolve_files(spark, sf_dir):
     return cc.resolve_files(ptrs, "u", root)
 
 
+def resolve_file_errors(spark, sf_dir):
+    """As ``resolve_files``, from a store that refuses some objects and fails on others."""
+    lake = Lake.fresh(spark, "reserr").create(spark)
+    root = f"{lake.root}/objects"
+    obj.write_object_files(fx.store_rows(fx.documents(spark, sf_dir)), root, lake.scratch("manifest"))
+    return cc.resolve_files(fx.pointer_rows(fx.documents(spark, sf_dir)), "u", root, wrap=fx.FaultyFiles)
+
+
+def resolve_hot(spark, sf_dir):
+    """Pointers of which a third name one object: what each pointer's rows get, and how many they are."""
+    lake = Lake.fresh(spark, "reshot").create(spark)
+    docs = fx.documents(spark, sf_dir)
+    cc.write_store(fx.repeated_rows(docs), lake.store_name, order=["version"])
+    out = cc.resolve_text(fx.folded_pointers(docs), "u", spark.table(lake.store_name), bucket=TERMS_BUCKET)
+    return out.groupBy("u").agg(F.count(F.lit(1)).alias("n_rows"), F.min("status").alias("status"), F.min("full_text").alias("full_text"), F.max("n_bytes").alias("n_bytes"))
+
+
 def get_text_sql(spark, sf_dir):
     """``SELECT id, terms, get_text_from_s3(terms) AS full_text FROM gold`` through the SQL function."""
     lake = _gold(spark, sf_dir, "sqlfn")
@@ -340,7 +390,8 @@ def get_text_sql_few(spark, sf_dir):
 
 
 def offload_duplicates(spark, sf_dir):
-    """Objects that repeat, in two buckets, with NULL and tied order values: one copy of each stays."""
+    """Objects that repeat, in two buckets, with NULL and tied order values, one with a third of all
+    rows: one copy of each stays."""
     lake = Lake.fresh(spark, "dups").create(spark)
     cc.write_store(fx.repeated_rows(fx.documents(spark, sf_dir)), lake.store_name, order=["version"])
     return _store_text(spark.table(lake.store_name))
@@ -374,6 +425,8 @@ QUERIES: dict[str, Query] = {
         scan_landing_csv,
         scan_landing_recursive,
         scan_landing_suffix,
+        scan_landing_headers,
+        scan_landing_ragged,
         scan_bronze_table,
         scan_text_objects,
         offload_text,
@@ -400,6 +453,8 @@ QUERIES: dict[str, Query] = {
         check_not_null,
         check_not_empty,
         check_extension,
+        check_unique,
+        silver_rules_path,
         annotate_checks,
         dq_passed,
         dq_failed_names,
@@ -412,6 +467,8 @@ QUERIES: dict[str, Query] = {
         stream_arrivals,
         stream_pipeline,
         resolve_files,
+        resolve_file_errors,
+        resolve_hot,
         get_text_sql,
         get_text_sql_few,
         offload_duplicates,

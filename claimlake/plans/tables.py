@@ -1,13 +1,15 @@
-"""Lake namespaces and table writes: replace a table with right-sized files, publish by swap."""
+"""Lake namespaces and table writes: replace a table with right-sized files, publish by versions."""
 
 from __future__ import annotations
 
 import math
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import expr
 
 from claimlake.session import fresh_dir, sql_conf
 
@@ -17,11 +19,13 @@ SILVER_TABLE = "silver_data"
 QUARANTINE_TABLE = "silver_data_quarantine"
 GOLD_TABLE = "gold_data"
 STORE_TABLE = "text_objects"
+LANDING_QUARANTINE_TABLE = "landing_quarantine"
 TERMS_BUCKET = "terms-bucket"
 TERMS_PREFIX = "terms/"
 TARGET_FILE_BYTES = 134217728
-# Spark's default ceiling on the number of buckets of a table.
+# Spark's default ceiling on the number of buckets of a table; the most partitions they lie in.
 MAX_BUCKETS = 100000
+MAX_PARTS = 4096
 
 
 @dataclass(frozen=True)
@@ -36,6 +40,7 @@ class Lake:
     quarantine: str = QUARANTINE_TABLE
     gold: str = GOLD_TABLE
     store: str = STORE_TABLE
+    landing_quarantine: str = LANDING_QUARANTINE_TABLE
     terms_bucket: str = TERMS_BUCKET
     terms_prefix: str = TERMS_PREFIX
     target_file_bytes: int = TARGET_FILE_BYTES
@@ -76,6 +81,10 @@ class Lake:
     def quarantine_name(self) -> str:
         return self.name(self.quarantine)
 
+    @property
+    def landing_quarantine_name(self) -> str:
+        return self.name(self.landing_quarantine)
+
     @property
     def store_name(self) -> str:
         return self.name(self.store)
@@ -188,27 +197,90 @@ def bucket_count(total_bytes: int, target_file_bytes: int = TARGET_FILE_BYTES) -
     return max(1, min(MAX_BUCKETS, math.ceil(max(0, total_bytes) / target_file_bytes)))
 
 
+def store_parts(num_buckets: int) -> int:
+    """Partitions of a bucketed table: a power of two, so that whole buckets lie in one partition."""
+    return 1 << min(num_buckets, MAX_PARTS).bit_length() - 1
+
+
+def part_column(parts: int) -> str:
+    """Name of the partition column; a table of another number of partitions has another one."""
+    return f"part_of_{parts}"
+
+
+def part_of(key: str, parts: int) -> str:
+    """SQL for the partition that ``key`` lies in."""
+    return f"pmod(hash({key}), {parts})"
+
+
 def replace_bucketed_table(df: DataFrame, name: str, key: str, num_buckets: int) -> None:
-    """Create or replace a Parquet table bucketed and sorted by ``key``.
+    """Create or replace a Parquet table bucketed and sorted by ``key``, in partitions of buckets.
 
     The hash repartition uses the same function as bucketing, so each task writes exactly one
     file for one bucket. Later joins on ``key`` shuffle only the other side, and ``key IN``
-    filters prune buckets and row groups.
+    filters prune buckets and row groups. The partition column (``part_column``) is the same hash
+    modulo a divisor of the number of buckets (which is rounded up to a multiple of it), so it
+    adds no files; a join that also compares it can prune partitions by the keys that the other
+    side turns out to hold.
     """
-    dealt = df.repartition(num_buckets, key)
-    _swap_in(
-        df.sparkSession,
-        name,
-        lambda staging: dealt.write.format("parquet").bucketBy(num_buckets, key).sortBy(key).saveAsTable(staging),
-    )
+    parts = store_parts(num_buckets)
+    n = min(-(-num_buckets // parts) * parts, MAX_BUCKETS // parts * parts)
+    dealt = df.repartition(n, key).withColumn(part_column(parts), expr(part_of(f"`{key}`", parts)))
+    # Partitions are found by their folders, not listed in the catalog: a renamed table keeps them.
+    with sql_conf(df.sparkSession, spark__sql__hive__manageFilesourcePartitions="false"):
+        _swap_in(
+            df.sparkSession,
+            name,
+            lambda staging: dealt.write.format("parquet").partitionBy(part_column(parts)).bucketBy(n, key).sortBy(key).saveAsTable(staging),
+        )
 
 
-def publish(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Full-refresh copy of ``source`` into ``target``.
+VERSION_MARK = "__v"
 
-    The copy is swapped in when it is complete (see :func:`_swap_in`). It is a plain copy: the source
-    files already have the target size (written with REBALANCE), and the scan splits at
-    ``maxPartitionBytes``, so no shuffle is needed to keep it.
+
+def versions_database(target: str) -> str:
+    """The database that holds the versions of a published table."""
+    return f"`{target.rpartition('.')[0].strip('`')}_versions`"
+
+
+def published_versions(spark: SparkSession, target: str) -> list[str]:
+    """The versions that exist of a published table, oldest first."""
+    database, table = versions_database(target), target.rpartition(".")[2].strip("`").lower()
+    if not spark.catalog.databaseExists(database.strip("`")):
+        return []
+    names = sorted(r["tableName"] for r in spark.sql(f"SHOW TABLES IN {database}").collect())
+    return [f"{database}.`{n}`" for n in names if n.startswith(table + VERSION_MARK)]
+
+
+def publish(spark: SparkSession, source: str, target: str, keep: int = 2) -> DataFrame:
+    """Full-refresh copy of ``source`` into ``target``, without a moment in which it is missing.
+
+    ``target`` is a view of its newest version, a table of its own in ``<database>_versions``. A new
+    version is written whole, then the view is pointed at it: one change of one catalog entry, so
+    every reader finds the old rows or the new ones. Readers that are still at the old version
+    finish, as the ``keep`` newest versions stay; older ones are dropped. A write that fails leaves
+    the view as it was. (Where ``target`` still is a plain table, the first publish replaces it.)
+
+    It is a plain copy: the source files already have the target size (written with REBALANCE),
+    and the scan splits at ``maxPartitionBytes``, so no shuffle is needed to keep it.
     """
-    _swap_in(spark, target, lambda staging: spark.sql(f"CREATE TABLE {staging} USING parquet AS SELECT * FROM {source}"))
+    gold, _, table = target.rpartition(".")
+    database = versions_database(target)
+    location = spark.catalog.getDatabase(gold.strip("`")).locationUri
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location.rstrip('/')}_versions'")
+    version = f"{database}.`{table.strip('`').lower()}{VERSION_MARK}{time.time_ns():020d}_{uuid.uuid4().hex[:8]}`"
+    try:
+        spark.sql(f"CREATE TABLE {version} USING parquet AS SELECT * FROM {source}")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
+    kind = spark.catalog.getTable(target).tableType if spark.catalog.tableExists(target) else None
+    if kind == "VIEW":
+        spark.sql(f"ALTER VIEW {target} AS SELECT * FROM {version}")
+    else:
+        if kind:
+            spark.sql(f"DROP TABLE {target}")
+        spark.sql(f"CREATE VIEW {target} AS SELECT * FROM {version}")
+    existing = published_versions(spark, target)
+    for old in existing[: max(0, existing.index(version) + 1 - max(1, keep))]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
     return spark.table(target)

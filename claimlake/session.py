@@ -67,6 +67,12 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of any Hadoop file system, from the driver; false if there was none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextlib.contextmanager
 def sql_conf(spark: SparkSession, **settings: str):
     """Temporarily set SQL confs (keys with '__' for '.'), restoring the previous values."""

@@ -8,12 +8,18 @@ column, before any other stage can lose it.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
+from itertools import islice
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from claimlake.session import sql_conf
+
 # The landing columns named by the pipeline and their types after the cast.
 LANDING_COLUMNS = ("id", "terms", "character_length", "utf8_byte_length", "exceeds_redshift_varchar_65535_bytes")
 MEASURE_TYPES = {
@@ -77,6 +83,7 @@ def read_landing_csv(
     source_file: bool = True,
     multi_line: bool = True,
     keep_ragged: bool = False,
+    by_name: bool = False,
 ) -> DataFrame:
     """All ``*.csv`` files under ``root`` (recursively), header row, all columns strings.
 
@@ -86,18 +93,69 @@ def read_landing_csv(
 
     A row with more or fewer fields than the header stops the read; with ``keep_ragged`` its raw
     line is kept in ``_ragged_line`` (NULL in whole rows) instead, for a quarantine.
+
+    Files whose header differs from the schema's stop the read too; with ``by_name`` each file is
+    read by its own header (:func:`header_layouts`) and columns meet by name: files may order them
+    differently, and a column that a file lacks is NULL in its rows. An explicit ``schema`` then
+    says which columns come out, in which order.
     """
     reader = spark.read.options(**read_options(null_value, glob, multi_line))
+    if by_name:
+        layouts = header_layouts(spark, root, glob)
+        parts = [_read(reader.option("enforceSchema", "true"), files, landing_schema(header), keep_ragged, source_file) for header, files in layouts]
+        met = {c.lower(): c for header, _ in reversed(layouts) for c in reversed(header)}  # the first spelling
+        order = dict.fromkeys(c.lower() for header, _ in layouts for c in header)
+        wanted = schema.names if schema else [met[c] for c in order] or list(LANDING_COLUMNS)
+        extra = [c for c, on in ((RAGGED, keep_ragged), (SOURCE_FILE, source_file)) if on]
+        empty = spark.createDataFrame([], landing_schema([*wanted, *extra]))
+        df = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts or [empty])
+        known = {c.lower() for c in df.columns}
+        df = df.select(*[F.col(f"`{c}`") if c.lower() in known else F.lit(None).cast("string").alias(c) for c in wanted], *extra)
+        return cast_measures(df)
     if keep_ragged:
         schema = schema or reader.csv(root).schema
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAGGED).schema(schema.add(RAGGED, "string"))
+    return cast_measures(_read(reader, root, schema, keep_ragged, source_file))
+
+
+def _read(reader: DataFrameReader, files: str | list[str], schema: StructType | None, keep_ragged: bool, source_file: bool) -> DataFrame:
+    if keep_ragged:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAGGED)
+        schema = StructType([*schema.fields, StructField(RAGGED, StringType(), True)])
     else:
         reader = reader.option("mode", "FAILFAST")
-        reader = reader if schema is None else reader.schema(schema)
-    df = reader.csv(root)
-    if source_file:
-        df = with_source_file(df)
-    return cast_measures(df)
+    df = (reader if schema is None else reader.schema(schema)).csv(files)
+    return with_source_file(df) if source_file else df
+
+
+def header_layouts(spark: SparkSession, root: str, glob: str | None = CSV_GLOB) -> list[tuple[tuple[str, ...], list[str]]]:
+    """The headers that occur among the files under ``root``, each with its files: the header of
+    most files first (ties: the smallest path).
+
+    One small task a file reads its first line and stops; file names and headers alone come to the
+    driver, as the file listing itself does. A header's names may be quoted but hold no line
+    break. Blank and repeated names get their position added. Files without a line are left out.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    lines = (reader.option("pathGlobFilter", glob) if glob else reader).text(root).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = str(1 << 50)
+    # One file a task, one row a batch: a task ends after the first row without reading on.
+    with sql_conf(
+        spark,
+        spark__sql__files__maxPartitionBytes=whole,
+        spark__sql__files__openCostInBytes=whole,
+        spark__sql__execution__arrow__maxRecordsPerBatch="1",
+    ):
+        first = lines.mapInArrow(lambda batches: islice(batches, 1), "file string, value string").collect()
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file, line in sorted((r["file"], r["value"]) for r in first):
+        by_header.setdefault(_header_names(line), []).append(unquote(file))
+    return sorted(by_header.items(), key=lambda x: (-len(x[1]), x[1][0]))
+
+
+def _header_names(line: str) -> tuple[str, ...]:
+    names = next(csv.reader([line.removeprefix("\ufeff").rstrip("\r")]), [])
+    lower = [n.lower() for n in names]
+    return tuple(n if n and lower.count(n.lower()) == 1 else f"{n or '_c'}{i}" for i, n in enumerate(names))
 
 
 def stream_landing_csv(
@@ -109,12 +167,18 @@ def stream_landing_csv(
     glob: str | None = CSV_GLOB,
     max_files_per_trigger: int | None = None,
     multi_line: bool = True,
+    keep_ragged: bool = False,
 ) -> DataFrame:
     """File-stream form of :func:`read_landing_csv`; a schema is mandatory for file streams.
 
-    ``max_files_per_trigger=1`` processes one arrival per micro-batch.
+    ``max_files_per_trigger=1`` processes one arrival per micro-batch. ``keep_ragged`` adds
+    ``_ragged_line`` as the batch read does; without it a ragged row stops the stream.
     """
-    reader = spark.readStream.options(**read_options(null_value, glob, multi_line)).schema(landing_schema(columns))
+    reader = spark.readStream.options(**read_options(null_value, glob, multi_line))
+    if keep_ragged:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAGGED).schema(landing_schema([*columns, RAGGED]))
+    else:
+        reader = reader.option("mode", "FAILFAST").schema(landing_schema(columns))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return cast_measures(with_source_file(reader.csv(root)))

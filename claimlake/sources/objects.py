@@ -135,11 +135,12 @@ def classify_error(exc: BaseException) -> str:
     return f"error:{code}"
 
 
-def _fetch_partition(root: str, max_bytes: int | None):
+def _fetch_partition(root: str, max_bytes: int | None, wrap: Callable | None = None):
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs as pafs
 
         filesystem, base = pafs.FileSystem.from_uri(arrow_uri(root))
+        filesystem = wrap(filesystem) if wrap else filesystem
         buckets: dict[str, bool] = {}
         rows, held = [], 0
 
@@ -177,12 +178,14 @@ def _fetch_partition(root: str, max_bytes: int | None):
     return fetch
 
 
-def fetch_objects(keys: DataFrame, root: str, max_bytes: int | None = None) -> DataFrame:
+def fetch_objects(keys: DataFrame, root: str, max_bytes: int | None = None, wrap: Callable | None = None) -> DataFrame:
     """For distinct ``(__b, __k)`` rows: ``__err`` (NULL, no_store, not_found, access_denied,
     error:<code>), size ``__sn`` and, when within ``max_bytes``, body ``__sc``.
 
     A small per-object helper inside ``mapInPandas``: Spark spreads the keys over tasks; each
-    object is stat-ed, and read only when it is under the size cap.
+    object is stat-ed, and read only when it is under the size cap. ``wrap`` makes of each task's
+    file system the one to read through (``get_file_info``, ``open_input_stream``), to add
+    retries, say, or faults.
     """
     ship_package(keys.sparkSession)
-    return keys.select("__b", "__k").mapInPandas(_fetch_partition(root.rstrip("/"), max_bytes), FETCH_SCHEMA)
+    return keys.select("__b", "__k").mapInPandas(_fetch_partition(root.rstrip("/"), max_bytes, wrap), FETCH_SCHEMA)

@@ -296,3 +296,20 @@ def test_ship_package_once_per_application(spark):
     session.ship_package(spark)
     session.ship_package(spark)
     assert spark.sparkContext.applicationId in session._SHIPPED
+
+
+def test_hot_keys_get_parts_by_their_own_counts(spark, lake):
+    """One key with 30 % and some with about 0.1 % of the pointers: whole results, balanced tasks."""
+    texts = spark.range(900).selectExpr("'terms-bucket' AS bucket", "concat('k', id) AS key", "CAST(concat('text ', id) AS BINARY) AS content").withColumn("n_bytes", F.octet_length("content").cast("bigint"))
+    cc.write_store(texts, lake.store_name)
+    u = "concat('s3://terms-bucket/k', CASE WHEN id % 10 < 3 THEN 0 ELSE id % 890 + 1 END)"
+    ptrs = spark.range(20000).selectExpr("id", f"{u} AS u")
+    store = spark.table(lake.store_name)
+    counts, total = cc.hot_key_counts(ptrs.selectExpr("substr(u, 19) AS k"), "k", 0.01)
+    assert counts == {"k0": 6000} and total == 20000
+    few = cc.resolve_text(ptrs, "u", store, bucket="terms-bucket")
+    cut = cc.resolve_text(ptrs, "u", store, bucket="terms-bucket", hot_broadcast_bytes=0)
+    for out in (few, cut):
+        assert out.filter("status = 'ok' AND full_text = concat('text ', regexp_extract(u, '[0-9]+$', 0))").count() == 20000
+    sizes = [r["n"] for r in cut.filter("u like '%/k0'").groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 6000
