@@ -11,7 +11,9 @@ international prefix, dots in a card number, "(at)" and "(dot)" in an address),
 personal data; all other candidates are not.
 
 Positions come from the pieces between matches (``split``) and the matches themselves, which
-alternate; nothing is exploded and no text is shuffled.
+alternate; nothing is exploded and no text is shuffled. A text's work grows with its length and its
+matches, not with their square: overlaps are settled among spans that overlap in turn, and redacted
+texts are put together from their pieces.
 
 Defined results: a null text is an empty text, without spans; equal rows get equal spans; spans
 are in code points, the end exclusive; a chosen span never overlaps a base span, and of chosen
@@ -22,10 +24,12 @@ clashing columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimlake.llm import boosting
@@ -49,9 +53,9 @@ PROPOSALS = {
 }
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 CUES = r"(?i)(?:mail|contact|write|phone|tel|call|fax|mobile|cell|card|visa|pay|ip|host|server|address)[^\p{L}\p{N}]*$"
-#: Texts that the trees learn from, at most; the precision that a kind's threshold must reach; the
-#: steps in which scores are counted.
-SAMPLE, PRECISION, STEPS = 2000, 0.98, 10_000
+#: Texts that the trees learn from, at most, and different candidates of each; the precision that a
+#: kind's threshold must reach; the steps in which scores are counted.
+SAMPLE, EXAMPLES, PRECISION, STEPS = 2000, 100, 0.98, 10_000
 NAMES = ["kind", "length", "digits", "letters", "spaces", "dots", "dashes", "parens", "plus", "at", "longest", "groups", "luhn", "octets", "joined_before", "joined_after", "cue"]
 
 
@@ -80,35 +84,89 @@ def _might_match(kind: str, text: str) -> Column:
     return F.col(text).rlike(r"@|[\[( ](?:at|AT)[\]) ]" if kind == "email" else "[0-9]")
 
 
+#: Arrays up to this long are walked with a growing result, whose copies cost the square of it;
+#: longer ones block by block.
+BLOCK = 128
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed once however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(numbers: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each number of an array, what zero and the numbers before it combine to."""
+    zero = F.lit(0)
+
+    def walk(values: Column, start: Column) -> Column:
+        return F.aggregate(
+            values,
+            F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, x: F.struct(combine(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"],
+        )
+
+    def by_blocks(values: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(1), F.size(values), F.lit(BLOCK)), lambda i: F.slice(values, i, F.lit(BLOCK)))
+        return _bound(blocks, lambda bs: F.flatten(F.zip_with(bs, walk(F.transform(bs, lambda x: F.aggregate(x, zero, combine)), zero), walk)))
+
+    return _bound(numbers, lambda v: F.when(F.size(v) <= BLOCK, walk(v, zero)).otherwise(by_blocks(v)))
+
+
+def _add(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _greater(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
 def matches(text: str, pattern: str, may: Column) -> Column:
-    """Array of (start, end, value, before, after) of all matches, leftmost and not overlapping."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(gaps) - 1), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    walked = F.aggregate(
-        F.zip_with(pairs, F.slice(gaps, F.lit(2), F.size(gaps)), lambda p, after: F.struct(p["gap"].alias("gap"), p["value"].alias("value"), after.alias("after"))),
-        F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + F.length(x["gap"])).alias("start"),
-                        (acc["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("end"),
-                        x["value"].alias("value"),
-                        F.right(x["gap"], F.lit(24)).alias("before"),
-                        F.left(x["after"], F.lit(1)).alias("after"),
-                    )
-                ),
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(may, walked).otherwise(F.array().cast(SPANS))
+    """Array of (start, end, value, before, after, first_byte, end_byte) of all matches, leftmost and
+    not overlapping; start and end in code points."""
+
+    def placed(both: Column) -> Column:
+        gaps, n = both["gaps"], F.size(both["gaps"])
+        pairs = F.zip_with(F.slice(gaps, F.lit(1), n - 1), both["found"], lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
+        three = F.zip_with(pairs, F.slice(gaps, F.lit(2), n), lambda p, after: F.struct(p["gap"].alias("gap"), p["value"].alias("value"), after.alias("after")))
+        return _bound(three, located)
 
+    def located(pieces: Column) -> Column:
+        chars = running(F.transform(pieces, lambda p: F.length(p["gap"]) + F.length(p["value"])), _add)
+        octets = running(F.transform(pieces, lambda p: F.octet_length(p["gap"]) + F.octet_length(p["value"])), _add)
+        at = F.zip_with(chars, octets, lambda c, o: F.struct(c.alias("char"), o.alias("byte")))
+        return F.zip_with(pieces, at, span)
 
-SPANS = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
+    def span(p: Column, at: Column) -> Column:
+        start, first = at["char"] + F.length(p["gap"]), at["byte"] + F.octet_length(p["gap"])
+        return F.struct(
+            start.alias("start"),
+            (start + F.length(p["value"])).alias("end"),
+            p["value"].alias("value"),
+            F.right(p["gap"], F.lit(24)).alias("before"),
+            F.left(p["after"], F.lit(1)).alias("after"),
+            first.alias("first_byte"),
+            (first + F.octet_length(p["value"])).alias("end_byte"),
+        )
+
+    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps"))
+    return F.when(may, _bound(both, placed)).otherwise(F.array().cast(SPANS))
+
+
+SPANS = "array<struct<start:int,end:int,value:string,before:string,after:string,first_byte:int,end_byte:int>>"
+
+
+def clusters(spans: Column) -> Column:
+    """Spans in the order of ``start``, parted wherever one begins at or after all ends before it."""
+
+    def parted(items: Column) -> Column:
+        before = running(F.transform(items, lambda x: x["end"]), _greater)
+        first = F.zip_with(items, before, lambda x, end: x["start"] >= end)
+        at = F.filter(F.transform(first, lambda f, i: F.when(f, i + 1)), lambda i: i.isNotNull())
+        cut = _bound(at, lambda a: F.zip_with(a, F.concat(F.slice(a, F.lit(2), F.size(a)), F.array(F.size(items) + 1)), lambda i, j: F.slice(items, i, j - i)))
+        return F.when(F.size(items) > 0, cut).otherwise(F.transform(items, lambda x: F.array(x)))
+
+    return _bound(spans, parted)
 
 
 def features(kind: str, c: Column) -> dict[str, Column]:
@@ -172,7 +230,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) ->
         return Model(trees, thresholds)
     numbers = docs.sparkSession.createDataFrame([(h,) for h in sorted(chosen)], "h long")
     seen = every.join(F.broadcast(numbers), "h", "left_semi")
-    data = np.array(sorted(tuple(r) for r in seen.select("h", *NAMES, "label").distinct().collect()), np.float64)  # candidates of the sample
+    examples = seen.select("h", *NAMES, "label").distinct()
+    nth = F.row_number().over(W.partitionBy("h").orderBy(F.xxhash64(*NAMES, "label"), *NAMES, "label"))
+    few = examples.withColumn("nth", nth).filter(F.col("nth") <= EXAMPLES).drop("nth")
+    data = np.array(sorted(tuple(r) for r in few.collect()), np.float64)  # at most sample * EXAMPLES rows
     trees = boosting.fit(NAMES, data[:, 1:-1], data[:, -1])
     score = F.floor(trees.probability({n: F.col(n) for n in NAMES}) * STEPS).cast("int")
     unseen = every.join(F.broadcast(numbers), "h", "left_anti").select("kind", score.alias("score"), "label")
@@ -224,21 +285,34 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with base_<kind> and added: the spans, as arrays of structs."""
     need(docs, "text")
     df = with_candidates(docs)
-    base = F.concat(*[F.transform(f"base_{k}", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))) for k in KINDS])
-    df = df.withColumn("__base", base)
-    likely = []
+    items = []
     for i, kind in enumerate(KINDS):
-        free = F.filter(f"proposed_{kind}", lambda c: ~F.exists("__base", lambda b: _overlaps(b, c)))
-        scored = F.transform(free, lambda c: F.struct((-model.trees.probability(features(kind, c))).alias("minus"), c["start"].alias("start"), (-c["end"]).alias("back"), F.lit(i).alias("kind"), c["end"].alias("end")))
-        likely.append(F.filter(scored, lambda c: -c["minus"] >= model.thresholds[kind]))
-    df = df.withColumn("__likely", F.array_sort(F.concat(*likely)))  # the likeliest first
-    kept = F.aggregate(
-        "__likely",
-        F.array().cast("array<struct<minus:double,start:int,back:int,kind:int,end:int>>"),
-        lambda done, c: F.when(F.exists(done, lambda d: _overlaps(d, c)), done).otherwise(F.concat(done, F.array(c))),
-    )
-    df = df.withColumn("added", F.transform(kept, lambda c: F.struct(c["kind"], c["start"], c["end"])))
-    return df.drop("__base", "__likely", *[f"proposed_{k}" for k in KINDS])
+
+        def item(c: Column, minus: Column, base: bool) -> Column:
+            return F.struct(c["start"].alias("start"), c["end"].alias("end"), minus.alias("minus"), (-c["end"]).alias("back"), F.lit(i).alias("kind"), c["first_byte"].alias("first_byte"), c["end_byte"].alias("end_byte"), F.lit(base).alias("base"))
+
+        items.append(F.transform(f"base_{kind}", lambda c: item(c, F.lit(-2.0), True)))
+        if model.thresholds[kind] <= 1:
+            scored = F.transform(f"proposed_{kind}", lambda c: item(c, -model.trees.probability(features(kind, c)), False))
+            items.append(F.filter(scored, lambda c: -c["minus"] >= model.thresholds[kind]))
+
+    def chosen(cluster: Column) -> Column:
+        """Of what overlaps in turn, the likeliest first, whatever overlaps no base span nor one chosen before."""
+        sure = F.filter(cluster, lambda c: c["base"])
+        maybe = F.filter(cluster, lambda c: ~c["base"] & ~F.exists(sure, lambda b: _overlaps(b, c)))
+        ordered = F.array_sort(F.transform(maybe, lambda c: F.struct(*[c[n].alias(n) for n in ("minus", "start", "back", "kind", "end", "first_byte", "end_byte")])))
+        return F.aggregate(
+            ordered,
+            F.array().cast("array<struct<minus:double,start:int,back:int,kind:int,end:int,first_byte:int,end_byte:int>>"),
+            lambda done, c: F.when(F.exists(done, lambda d: _overlaps(d, c)), done).otherwise(F.concat(done, F.array(c))),
+        )
+
+    df = df.withColumn("__items", F.array_sort(F.concat(*items)))
+    kept = F.flatten(F.transform(clusters(F.col("__items")), chosen))
+    added = F.transform(kept, lambda c: F.struct(*[c[n].alias(n) for n in ("kind", "start", "end", "first_byte", "end_byte")]))
+    none = F.array().cast("array<struct<kind:int,start:int,end:int,first_byte:int,end_byte:int>>")
+    df = df.withColumn("added", F.when(F.exists("__items", lambda c: ~c["base"]), added).otherwise(none))
+    return df.drop("__items", *[f"proposed_{k}" for k in KINDS])
 
 
 def _named(kind: str, spans: Column) -> Column:
@@ -266,22 +340,27 @@ def redact(docs: DataFrame, model: Model) -> DataFrame:
     brackets, and ``n_chars``, if there is one, counted again. Null texts stay null."""
     columns = docs.columns
     found = find(docs.select(F.struct(*columns).alias("row"), text_or_empty().alias("text")), model)
+
+    def marked(c: Column, kind: Column) -> Column:
+        return F.struct(c["start"].alias("start"), c["end"].alias("end"), kind.alias("kind"), c["first_byte"].alias("first_byte"), c["end_byte"].alias("end_byte"))
+
+    names = F.array(*[F.lit(k) for k in KINDS])
     every = F.concat(
-        *[F.transform(f"base_{k}", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), F.lit(k).alias("kind"))) for k in KINDS],
-        F.transform("added", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), F.element_at(F.array(*[F.lit(k) for k in KINDS]), c["kind"] + 1).alias("kind"))),
+        *[F.transform(f"base_{k}", lambda c: marked(c, F.lit(k))) for k in KINDS],
+        F.transform("added", lambda c: marked(c, F.element_at(names, c["kind"] + 1))),
     )
+    # What lies between the covered stretches, cut out by bytes: each piece is reached at once.
+    covered = F.transform(clusters(F.col("__spans")), lambda g: F.struct(g[0]["first_byte"].alias("first"), F.array_max(F.transform(g, lambda c: c["end_byte"])).alias("end"), g[0]["kind"].alias("kind")))
+
+    def rebuilt(x: Column) -> Column:
+        octets, gone = x["octets"], x["gone"]
+        before = F.concat(F.array(F.lit(0)), F.transform(gone, lambda g: g["end"]))
+        kept = F.zip_with(gone, F.slice(before, F.lit(1), F.size(gone)), lambda g, at: F.concat(F.substring(octets, at + 1, g["first"] - at).cast("string"), F.lit("["), F.upper(g["kind"]), F.lit("]")))
+        rest = F.element_at(before, F.lit(-1))
+        return F.concat(F.array_join(kept, ""), F.substring(octets, rest + 1, F.octet_length(octets)).cast("string"))
+
     ordered = found.withColumn("__spans", F.array_sort(every))
-    built = F.aggregate(
-        "__spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, c: F.struct(
-            F.greatest(acc["at"], c["end"]).alias("at"),
-            F.when(c["start"] < acc["at"], acc["out"])
-            .otherwise(F.concat(acc["out"], F.substring("text", acc["at"] + 1, c["start"] - acc["at"]), F.lit("["), F.upper(c["kind"]), F.lit("]")))
-            .alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.length("text"))),
-    )
+    built = _bound(F.struct(F.col("text").cast("binary").alias("octets"), covered.alias("gone")), rebuilt)
     text = F.when(F.size("__spans") > 0, built).otherwise(F.col("row.text"))
     out = ordered.select("row", text.alias("redacted"))
     return out.select(*[F.col("redacted").alias(c) if c == "text" else F.when(F.col("redacted").eqNullSafe(F.col("row.text")), F.col("row.n_chars")).otherwise(F.length("redacted").cast("long")).alias(c) if c == "n_chars" else F.col(f"row.`{c}`").alias(c) for c in columns])
