@@ -1,13 +1,17 @@
 """Exact top-k by inner product with Fagin's threshold algorithm.
 
 Candidates are dealt into blocks of bounded size; a block keeps, for each dimension, its rows
-sorted by their component. For a query the lists are read from their best end in step: rows met
-get their whole score, and the bound is the score of a row that had the last value read in every
-list. Once the bound is below the kth best score of the block, no unread row can enter. Each block
-answers each query block with at most k rows a query, and the k best of those are the result.
-
-Scores are inner products of ``floor(scale * x)``, as integers. They are computed in doubles only
-where every partial sum stays below 2**53, else in Python integers, so they are exact.
+sorted by their component, sorted once for all queries of a large query block. The lists are read
+in rounds of growing depth, from both ends, for a batch of queries together: the rows met get their
+whole scores by one product with the batch. The bound of a query is the score of a row that had the
+last value read in every list. Once it is below the kth best score known, no unread row can enter,
+and the query leaves the batch. The first block answers first: its kth scores are where every
+other block starts from, so that these stop as early as they can. Each block answers with at most k
+rows a query, and the k best of those are the result.
+
+Scores are inner products of ``floor(scale * x)``, as integers. They are computed in floats only
+where these hold every partial sum (below 2**24 in single, 2**53 in double precision), else in
+Python integers, so they are exact.
 
 Defined results: vectors that are null, empty, or hold a null or non-finite component take no part;
 ties go to the smaller id; candidates with the query's id are its own rows and are left out; query
@@ -18,7 +22,6 @@ equal length are compared; an empty table gives no rows; a score beyond a long i
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +31,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimlake.llm.common import need, python_on_executors, written
+from claimlake.session import default_parallelism
 
-#: Rows of a candidate block and queries of a query block: bounds on one task's memory.
-CANDIDATES, QUERIES = 65536, 512
-EXACT = 2**53
+#: Rows of a candidate block and, at most, queries of a query block: bounds on one task's memory.
+CANDIDATES, QUERIES = 65536, 16384
+#: Queries that are answered together, and rows of one product.
+BATCH, ROWS = 512, 8192
+EXACT, EXACT_SINGLE = 2**53, 2**24
 
 
 def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -57,53 +63,86 @@ class Lists:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         by_id = np.argsort(ids, kind="stable")  # then ties go to the first
         self.ids, self.vectors = ids[by_id], vectors[by_id]
+        self.single = self.vectors.astype(np.float32)
         self.order = np.argsort(self.vectors, axis=0, kind="stable").astype(np.int32)
         self.largest = float(np.abs(self.vectors).max(initial=0))
-
-    def scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-        limit = self.largest * float(np.abs(query).max(initial=0)) * len(query)
-        if limit < EXACT:
-            return (self.vectors[rows] @ query).astype(np.int64)
-        q = [int(x) for x in query]
-        exact = [sum(int(a) * b for a, b in zip(v, q, strict=True)) for v in self.vectors[rows]]
-        return np.array(exact, np.int64)  # OverflowError beyond a long
+        #: Scores that were computed, of how many there are.
+        self.scored = 0
 
     def top(self, query_id: int, query: np.ndarray, k: int, step: int = 64) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best rows, best first. ``step``: rows of each list in the first round."""
-        n = len(self.ids)
-        dims = np.flatnonzero(query)
-        met = self.ids == query_id  # its own rows are no candidates
-        best_rows, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        depth, falling = 0, query[dims] > 0
-        while True:
-            until = min(n, depth + step) if len(dims) else n
-            if len(dims):
-                seen = np.r_[self.order[n - until : n - depth, dims[falling]].ravel(), self.order[depth:until, dims[~falling]].ravel()]
-                fresh = np.zeros(n, bool)
-                fresh[seen] = True
-                fresh &= ~met
-                met |= fresh
-                rows = np.flatnonzero(fresh)
-            else:
-                rows = np.flatnonzero(~met)
-            got = self.scores(rows, query)
-            if len(best) == k:  # only these can enter, or tie
-                rows, got = rows[got >= best[-1]], got[got >= best[-1]]
-            best_rows, best = np.r_[best_rows, rows], np.r_[best, got]
-            if len(best) > 4 * k:
-                good = best >= np.partition(best, -k)[-k]
-                best_rows, best = best_rows[good], best[good]
-            top = np.lexsort((best_rows, -best))[:k]
-            best_rows, best = best_rows[top], best[top]
+        """Ids and scores of the k best rows of one query, best first."""
+        _, ids, scores = self.top_many(np.array([query_id]), query[None, :], k, step=step)
+        return ids, scores
+
+    def top_many(self, query_ids: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray | None = None, step: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the query, id and score of the k best rows of each, best first. Rows whose score
+        is below a query's floor may be left out. ``step``: rows of each list in the first round."""
+        floors = np.full(len(queries), -np.inf) if floors is None else floors
+        limit = self.largest * np.abs(queries).max(axis=1, initial=0) * queries.shape[1]
+        parts = [self._exact(i, query_ids[i], queries[i], k) for i in np.flatnonzero(limit >= EXACT)]
+        for single in (True, False):
+            mine = np.flatnonzero((limit < EXACT_SINGLE) if single else (limit >= EXACT_SINGLE) & (limit < EXACT))
+            for at in range(0, len(mine), BATCH):
+                some = mine[at : at + BATCH]
+                which, rows, scores = self._batch(query_ids[some], queries[some], floors[some], k, step, self.single if single else self.vectors)
+                parts.append((some[which], rows, scores))
+        which, rows, scores = (np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, np.int64) for c in range(3))
+        return which, self.ids[rows.astype(np.int64)], scores.astype(np.int64)
+
+    def _exact(self, which: int, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        q = [int(x) for x in query]
+        rows = np.flatnonzero(self.ids != query_id)
+        scores = np.array([sum(int(a) * b for a, b in zip(v, q, strict=True)) for v in self.vectors[rows]], np.int64)  # OverflowError beyond a long
+        self.scored += len(rows)
+        best = np.lexsort((rows, -scores))[:k]
+        return np.full(len(best), which), rows[best], scores[best]
+
+    def _batch(self, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int, step: int, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n, dims = len(self.ids), np.arange(queries.shape[1])
+        narrow = queries.astype(vectors.dtype)
+        # A query's own rows are no candidates: (query, row) pairs, rows ascending for each query.
+        first, end = np.searchsorted(self.ids, query_ids, "left"), np.searchsorted(self.ids, query_ids, "right")
+        own_query = np.repeat(np.arange(len(queries)), end - first)
+        own_row = np.concatenate([np.arange(a, b) for a, b in zip(first, end, strict=True)]) if len(queries) else first
+        which = rows = np.zeros(0, np.int64)
+        scores, kth = np.zeros(0), floors.astype(np.float64)
+        active, met, depth = np.arange(len(queries)), np.zeros(n, bool), 0
+        while depth < n and len(active):
+            until = min(n, depth + step)
+            seen = np.zeros(n, bool)
+            seen[self.order[n - until : n - depth].ravel()] = True
+            seen[self.order[depth:until].ravel()] = True
+            fresh = np.flatnonzero(seen & ~met)
+            met |= seen
+            for at in range(0, len(fresh), ROWS):
+                some = fresh[at : at + ROWS]
+                got = narrow[active] @ vectors[some].T
+                self.scored += got.size
+                place = np.full(len(queries), -1)
+                place[active] = np.arange(len(active))
+                col = np.minimum(np.searchsorted(some, own_row), len(some) - 1)
+                hit = (some[col] == own_row) & (place[own_query] >= 0)
+                got[place[own_query[hit]], col[hit]] = -np.inf
+                least = kth[active]
+                if len(some) > k and np.isneginf(least).any():
+                    least = np.maximum(least, np.partition(got, len(some) - k, axis=1)[:, len(some) - k])
+                r, c = np.nonzero((got >= least[:, None]) & (got > -np.inf))
+                which, rows, scores = np.r_[which, active[r]], np.r_[rows, some[c]], np.r_[scores, got[r, c].astype(np.float64)]
+                best = np.lexsort((rows, -scores, which))
+                which, rows, scores = which[best], rows[best], scores[best]
+                begins = np.searchsorted(which, np.arange(len(queries)))
+                few = np.arange(len(which)) - begins[which] < k
+                which, rows, scores = which[few], rows[few], scores[few]
+                ends = np.searchsorted(which, np.arange(len(queries)), "right")
+                begins = np.searchsorted(which, np.arange(len(queries)))
+                full = ends - begins == k
+                kth[full] = np.maximum(kth[full], scores[ends[full] - 1])
             depth = until
-            if depth >= n:
-                break
-            last = np.where(falling, self.vectors[self.order[n - depth, dims], dims], self.vectors[self.order[depth - 1, dims], dims])
-            bound = sum(int(a) * int(b) for a, b in zip(last, query[dims], strict=True))
-            if len(best) == k and bound < best[-1]:
-                break
+            high, low = self.vectors[self.order[n - depth], dims], self.vectors[self.order[depth - 1], dims]
+            bound = np.maximum(queries[active], 0) @ high + np.minimum(queries[active], 0) @ low
+            active = active[bound >= kth[active]]
             step *= 2
-        return self.ids[best_rows], best
+        return which, rows, scores
 
 
 def top_k(
@@ -122,15 +161,16 @@ def top_k(
     rows = written(whole_vectors(vectors, id_col, vector_col, scale).withColumn("at", F.monotonically_increasing_id()), "topk_rows")
     asked = written(whole_vectors(queries, id_col, vector_col, scale).distinct().withColumn("at", F.monotonically_increasing_id()), "topk_queries")
     blocks = max(1, -(-rows.count() // candidates))
-    query_blocks = max(1, -(-asked.count() // query_rows))
+    n = asked.count()
+    query_blocks = max(1, -(-n // query_rows), min(default_parallelism(spark), n // BATCH))
     # Blocks of about equal size whatever the ids are: dealt by a hash of the row, not of its id.
     deal = lambda n: F.pmod(F.xxhash64("at"), F.lit(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    own = rows.select("id", "v", deal(blocks).alias("block"), every(query_blocks).alias("query_block"), F.lit(False).alias("asks"))
-    ask = asked.select("id", "v", every(blocks).alias("block"), deal(query_blocks).alias("query_block"), F.lit(True).alias("asks"))
-    both = own.unionByName(ask)
+    every = lambda first, n: F.explode(F.sequence(F.lit(first).cast("long"), F.lit(n - 1).cast("long")))
+    own = rows.select("id", "v", deal(blocks).alias("block"), F.lit(None).cast("long").alias("floor"))
+    own = own.select("*", every(0, query_blocks).alias("query_block"), F.lit(False).alias("asks"))
+    ask = asked.select("id", "v", deal(query_blocks).alias("query_block"), "at")
 
-    def answer(frame: pd.DataFrame) -> Iterator[tuple]:
+    def answer(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
         sizes = frame["v"].map(len)
         for size in sizes.unique():
             part = frame[sizes == size]
@@ -138,19 +178,23 @@ def top_k(
             if own.empty or ask.empty:
                 continue
             lists = Lists(own["id"].to_numpy(np.int64), np.stack(own["v"].to_list()).astype(np.float64))
-            for query_id, query in zip(ask["id"], ask["v"], strict=True):
-                ids, scores = lists.top(query_id, np.asarray(query, np.float64), k)
-                yield from ((query_id, _key(query), i, s) for i, s in zip(ids.tolist(), scores.tolist(), strict=True))
+            floors = ask["floor"].to_numpy(np.float64, na_value=-np.inf)
+            which, ids, scores = lists.top_many(ask["id"].to_numpy(np.int64), np.stack(ask["v"].to_list()).astype(np.float64), k, floors)
+            yield pd.DataFrame({"at": ask["at"].to_numpy(np.int64)[which], "query_id": ask["id"].to_numpy(np.int64)[which], "vec_id": ids, "score": scores})
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(list(answer(frame)), columns=["query_id", "query_key", "vec_id", "score"])
-
-    part = both.groupBy("block", "query_block").applyInPandas(run, "query_id long, query_key binary, vec_id long, score long")
-    best = W.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
+        parts = list(answer(frame))
+        return pd.concat(parts) if parts else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("at", "query_id", "vec_id", "score")})
+
+    def answered(own: DataFrame, ask: DataFrame) -> DataFrame:
+        both = own.withColumn("at", F.lit(None).cast("long")).unionByName(ask.withColumn("asks", F.lit(True)))
+        return both.groupBy("block", "query_block").applyInPandas(run, "at long, query_id long, vec_id long, score long")
+
+    best = W.partitionBy("at").orderBy(F.desc("score"), "vec_id")
+    part = answered(own.filter("block = 0"), ask.select("*", F.lit(0).cast("long").alias("block"), F.lit(None).cast("long").alias("floor")))
+    if blocks > 1:
+        part = written(part, "topk_first")
+        kth = part.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") == k).select("at", F.col("score").alias("floor"))
+        part = part.unionByName(answered(own.filter("block > 0"), ask.join(kth, "at", "left").select("*", every(1, blocks).alias("block"))))
     ranked = part.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
-
-
-def _key(query: np.ndarray) -> bytes:
-    """Tells vectors under one query id apart."""
-    return hashlib.sha256(np.asarray(query, np.float64).tobytes()).digest()[:16]
