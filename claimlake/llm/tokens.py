@@ -28,7 +28,17 @@ WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0"
 _SPACED = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?(?:[{_L}]+|[{_N}]+|[^{_S}{_L}{_N}]+)|[{_S}]+(?![^{_S}])|[{_S}]+")
 _WORDS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
-_FIRST_256 = "\u0100"
+
+
+def _first_256(text: str) -> bool:
+    """Whether all characters are among the first 256."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class TextEncoder:
@@ -56,18 +66,18 @@ def _splitter(spec: dict) -> Callable[[str], list[str]]:
         return lambda text: [text]  # found in the normalised text, which only the library has
     if before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and normal is None:
         whole = regex.compile(BYTE_LEVEL)
-        return lambda text: _SPACED.findall(text) if not text or max(text) < _FIRST_256 else whole.findall(text)
+        return lambda text: _SPACED.findall(text) if _first_256(text) else whole.findall(text)
     if _drops_space(before, normal):
         return _words
     return lambda text: [text]
 
 
 def _words(text: str) -> list[str]:
-    if not text or max(text) < _FIRST_256:
+    if _first_256(text):
         return _WORDS.findall(text.lower())
     out = []
     for part in text.replace("\n", " ").split(" "):
-        out += _WORDS.findall(part.lower()) if not part or max(part) < _FIRST_256 else [part]
+        out += _WORDS.findall(part.lower()) if _first_256(part) else [part]
     return out
 
 
