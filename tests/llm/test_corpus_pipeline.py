@@ -35,9 +35,36 @@ def test_stages_keep_columns_and_decide(spark):
 def test_odd_and_empty_tables_pass_all_stages(spark):
     for make in (odd_documents, lambda s: odd_documents(s, clash=True), empty_documents):
         docs = make(spark)
+        columns = docs.columns
+        before = rows(docs)
+        scores = rows(quality.classify(docs, spark.read.parquet(f"{SF}/labels.parquet")))
+        good = c.quality_classifier(spark, docs, SF)
+        assert good.columns == columns
+        kept = rows(good)
+        assert all(r in before for r in kept)
+        assert sorted(str(r["doc_id"]) for r in kept) == sorted(str(r["doc_id"]) for r in scores if r["predicted"])
+        # all rows again, so that each stage meets every odd text whatever the vote is
+        one = c.near_duplicates(spark, docs, SF)
+        assert one.columns == columns
+        found = rows(simhash.near_duplicates(docs))
+        singles = rows(one)
+        assert len(singles) == len({r["root"] for r in found}) and all(r in before for r in singles)
+        assert {r["doc_id"] for r in singles} == {r["component_id"] for r in found}
+        clean = c.personal_data(spark, docs, SF)
+        assert clean.columns == columns
+        assert sorted(map(key, rows(clean))) == sorted(map(key, before))  # these texts hold no personal data
+        packed = rows(c.pack_sequences(spark, docs, SF))
+        whole = {}
+        for r in packed:
+            whole.setdefault(str(r["doc_id"]), []).append((r["doc_tokens"], r["start"], r["length"]))
+        assert sorted(whole) == sorted({str(r["doc_id"]) for r in before})
+        for r in before:
+            same = [x for x in before if x["doc_id"] == r["doc_id"]]
+            assert sum(n for _, _, n in whole[str(r["doc_id"])]) == sum(t for t, s, _ in whole[str(r["doc_id"])] if s == 0)
+            assert sum(s == 0 for _, s, _ in whole[str(r["doc_id"])]) == len(same)
         for _, stage in c.STAGES:
             docs = stage(spark, docs, SF)
-        assert docs.count() >= 0 and {"sequence_id", "offset"} <= set(docs.columns)
+        assert {"sequence_id", "offset"} <= set(docs.columns) and docs.count() <= len(packed)
 
 
 def test_the_stages_call_the_operators():
