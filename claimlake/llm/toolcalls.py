@@ -186,10 +186,23 @@ def _ordered(asked: DataFrame, known: DataFrame) -> DataFrame:
     edges = written(needs.unionByName(answered).distinct(), "dependencies")
     # A conversation whose dependencies all come first needs no rounds: everything is in place.
     moved = edges.filter("u >= v").select("conv_id").distinct()
-    left = written(edges.join(moved, "conv_id", "left_semi").select("u", "v"), "out_of_place")
-    nodes = left.select(F.col("u").alias("place")).union(left.select("v")).distinct()
-    if left.groupBy("v").count().filter("count > 1").isEmpty():
-        return _jumped(nodes, left)
+    left = written(edges.join(moved, "conv_id", "left_semi"), "out_of_place")
+    # Each conversation by the way it needs: chains by pointers, others by a round per link.
+    several = written(left.groupBy("conv_id", "v").count().filter("count > 1").select("conv_id").distinct(), "several_needs")
+    chains, graphs = left.join(several, "conv_id", "left_anti").select("u", "v"), left.join(several, "conv_id", "left_semi").select("u", "v")
+    if several.isEmpty():
+        return _jumped(_nodes(chains), chains)
+    graphs = written(graphs, "graphs")
+    return _jumped(_nodes(chains), chains).unionByName(_by_rounds(_nodes(graphs), graphs))
+
+
+def _nodes(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("u").alias("place")).union(edges.select("v")).distinct()
+
+
+def _by_rounds(nodes: DataFrame, left: DataFrame) -> DataFrame:
+    """Messages whose dependencies are all ordered are ordered next; as many rounds as the longest
+    chain of these conversations has links."""
     waiting = written(nodes.select("place", F.col("place").alias("after"), F.lit(0).alias("depth")), "waiting")
     done = []
     while not waiting.isEmpty():

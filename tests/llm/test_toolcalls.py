@@ -93,3 +93,45 @@ def test_query_orders_every_dependency_and_links_all(spark):
     status = {(r["kind"], r["call_id"]): r["status"] for r in got}
     assert all(status["call", c] == ("linked" if c in answered else "unanswered") for c in ids)
     assert all(status["result", c] == ("linked" if c in ids else "orphan") for c in answered)
+
+
+def _expected(calls, results):
+    """after, depth and cyclic of each message, walked one by one; ids are unique here."""
+    place = {("call", c, i): (turn, nth, 0) for c, i, turn, nth, *_ in calls} | {("result", c, i): (turn, nth, 1) for c, i, turn, nth, _ in results}
+    needs = {m: [] for m in place}
+    for c, i, *_, depends_on in calls:
+        for x in dict.fromkeys(depends_on):
+            target = next((m for m in (("result", c, x), ("call", c, x)) if m in place), None)
+            if target:
+                needs["call", c, i].append(target)
+    for c, i, *_ in results:
+        if ("call", c, i) in place:
+            needs["result", c, i].append(("call", c, i))
+    waiting, order = set(place), {}
+    while ready := [m for m in waiting if all(x in order for x in needs[m])]:
+        for m in ready:
+            order[m] = max([(place[m], 0), *[(order[x][0], order[x][1] + 1) for x in needs[m]]])
+        waiting -= set(ready)
+    return {m: (*(order[m] if m in order else (place[m], 0)), m in waiting) for m in place}
+
+
+def test_random_graphs_equal_brute_force(spark, monkeypatch):
+    import random
+
+    pick, calls, results = random.Random(8), [], []
+    for c in range(60):
+        n = pick.randint(1, 9)
+        for i in range(n):
+            depends_on = [f"k{pick.randrange(n + 1)}" for _ in range(pick.choice([0, 1, 1, 2] if c % 3 else [0, 1]))]
+            calls.append((c, f"k{i}", pick.randrange(12), i, "search", "{}", depends_on))
+            if pick.random() < 0.6:
+                results.append((c, f"k{i}", pick.randrange(12), i + 20, "x"))
+    # a chain of 1000 calls, each needing the next one: ordered by pointers though others need rounds
+    calls += [(1000, f"k{i}", i, 0, "search", "{}", [f"k{i + 1}"]) for i in range(1000)]
+    tables, written = [], t.written
+    monkeypatch.setattr(t, "written", lambda df, name: tables.append(name) or written(df, name))
+    got = {(r["kind"], r["conv_id"], r["call_id"]): (r["after_turn"], r["after_nth"], r["depth"], r["cyclic"]) for r in run(spark, calls, results)}
+    want = {m: (after[0], after[1], depth, cyclic) for m, (after, depth, cyclic) in _expected(calls, results).items()}
+    assert got == want
+    assert any(w[3] for w in want.values()) and max(w[2] for w in want.values()) == 999
+    assert tables.count("ready") <= 20 and tables.count("pointers") <= 13
