@@ -10,8 +10,9 @@ binary rows of a Parquet table, which any store that Spark can write accepts.
 ``read_token_files`` unpacks them again.
 
 Defined results: a null text is an empty text, whose document is the end id alone; rows with equal
-ids stand one after another, in the order of their texts; a null ``doc_id`` comes first and is kept
-as null; an empty table gives no files and no rows; other columns are not carried.
+ids stand one after another, ordered by their texts' first 32 characters, then as they lie in the
+input; a null ``doc_id`` comes first and is kept as null; an empty table gives no files and no rows;
+other columns are not carried.
 """
 
 from __future__ import annotations
@@ -111,6 +112,10 @@ class TokenFile:
         return self.ids(int(self.starts[k]), int(self.starts[k + 1]))
 
 
+#: Characters of a text that order the rows of one id.
+HEAD = 32
+
+
 def write_token_files(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, tasks: int | None = None) -> DataFrame:
     """Files over all documents in ascending ``doc_id`` order: ``part`` and ``file`` number them in
     that order. ``tasks`` range-partitions the rows; by default as the session shuffles."""
@@ -142,9 +147,13 @@ def write_token_files(docs: DataFrame, tokenizer: str, vocabulary: int, end_id:
         if names:
             yield close()
 
-    rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
+    # Rows of one id go by their texts' first characters, then as they lie in the input, so that an
+    # id (or null) with any share of the rows is parted like any other.
+    row = F.monotonically_increasing_id().alias("row")
+    rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"), F.left(text_or_empty(), F.lit(HEAD)).alias("head"), row)
+    order = ("doc_id", "head", "row")
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(tasks, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("doc_id", "text")
     return written(ordered.mapInArrow(run, FILE_SCHEMA), "token_files", "uncompressed")
 
 

@@ -61,3 +61,19 @@ def test_remembered_parts_give_the_library_ids(name, text):
 
 
 _ENCODERS: dict = {}
+
+
+def test_one_id_with_a_third_of_the_rows_is_parted(spark):
+    docs = spark.createDataFrame([(7 if i % 3 == 0 else None if i % 3 == 1 else i, f"text {i % 50} of many") for i in range(1500)], "doc_id long, text string").repartition(5)
+    files = f.write_token_files(docs, PATH, 49408, 2, tasks=10)
+    got = sorted(rows(f.document_starts(files)), key=lambda r: r["start"])
+    per_task = {}
+    for r in got:
+        per_task[r["part"]] = per_task.get(r["part"], 0) + 1
+    assert max(per_task.values()) <= 450
+    ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in got]
+    assert len(got) == 1500 and ids == sorted(ids)
+    at = 0
+    for r in got:
+        assert r["start"] == at
+        at += r["n_tokens"]
