@@ -13,8 +13,9 @@ of passes over a text, however long.
 Defined results: a null text is an empty text; a text without words is one gram of its whole text;
 one of fewer than ``K`` words is one gram of all of them, one of fewer than ``W`` k-grams is one
 window; an empty text has an empty fingerprint, like any other only to itself. Rows that repeat an
-id follow each other by their text's hash; a null id comes last in descending order. An empty table
-gives no rows, other columns are not carried.
+id follow each other by their text's hash; a null id comes last in descending order. However many
+rows repeat an id, or have none, they are parted by that hash among tasks. An empty table gives no
+rows, other columns are not carried.
 """
 
 from __future__ import annotations
@@ -31,8 +32,10 @@ PRIME, BASE = 2147483647, 1000003
 SHIFT = 1 << 31
 #: Rows with consecutive ids that one group of the ordered pass holds.
 ROWS = 500
-#: The group of rows without an id, below all others; the most groups that are broadcast.
+#: The group of rows without an id, below all others; the most rows of a table that is broadcast.
 NO_ID, BROADCAST_ROWS = -(1 << 62), 500_000
+#: A group of more than so many times its rows is parted; equal rows that one task writes out.
+HOT, PORTION = 4, 10_000
 #: Scripts without spaces between words: Thai, kana, Han, Hangul.
 _SINGLE = r"\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af"
 WORDS = rf"[\p{{L}}\p{{N}}&&[^{_SINGLE}]]+|[{_SINGLE}]"
@@ -93,50 +96,103 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return add_fingerprint(rows, "text", "packed").select("doc_id", as_string("packed").alias("fingerprint"), "packed")
 
 
-def in_order(docs: DataFrame, rows: int = ROWS) -> DataFrame:
-    """doc_id, text, group, copy, order: rows in groups of consecutive ids, each group closed by a
-    copy (``copy`` = 1) of the row that follows it in descending ``doc_id``, cyclically.
+def _bounded(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df``, broadcast if it has few rows, and its number of rows; ``df`` is a written table."""
+    n = df.count()
+    return (F.broadcast(df) if n <= BROADCAST_ROWS else df), n
 
-    Which group hands its first row to which comes from the groups' numbers alone, a table of one
-    row a group, range-partitioned. The texts are shuffled once, by group.
+
+def _placed(base: DataFrame, rows: int) -> tuple[DataFrame, bool]:
+    """``base`` with ``place`` and ``times``, and whether any row stands for several.
+
+    A place is a group of consecutive ids; larger places come first in descending order. A group
+    with more than ``HOT`` times ``rows`` rows (ids that repeat, no ids) is parted by id, and an id
+    of more than ``rows`` rows by ranges of the text's hash, which is the order within it. Equal rows of
+    such a group are one row, with their number in ``times``: they follow each other.
+    """
+    place = lambda i, back: F.struct("group", i.cast("long").alias("id"), back.cast("long").alias("back")).alias("place")
+    counts = base.groupBy("group").count().filter(F.col("count") > HOT * rows)
+    hot, n_hot = _bounded(written(counts.select("group"), "hot_groups"))
+    calm = base if n_hot == 0 else base.join(hot, "group", "left_anti")
+    calm = calm.select("doc_id", "text", "order", place(F.lit(0), F.lit(0)), F.lit(1).cast("long").alias("times"))
+    if n_hot == 0:
+        return calm, False
+    inside = base.join(hot, "group", "left_semi")
+    many = inside.groupBy("doc_id").count().filter(F.col("count") > rows)
+    many = many.select(F.col("doc_id").alias("many_id"), (F.lit(1) + F.expr(f"count div {int(rows)}")).alias("parts"))
+    many, _ = _bounded(written(many, "hot_ids"))
+    classes = inside.groupBy("group", "doc_id", "order", "text").agg(F.count(F.lit(1)).alias("times"))
+    classes = classes.join(many, F.col("doc_id").eqNullSafe(F.col("many_id")), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    # Hashes spread evenly: this part of their range, from the least on.
+    part = F.least(F.floor((F.col("order") / F.lit(2.0**64) + 0.5) * F.col("parts")), F.col("parts") - 1)
+    parted = classes.select("doc_id", "text", "order", place(F.coalesce("doc_id", F.lit(0)), -part), "times")
+    return calm.unionByName(written(parted, "hot_rows")), True
+
+
+def in_order(docs: DataFrame, rows: int = ROWS) -> tuple[DataFrame, bool]:
+    """doc_id, text, place, copy, order, times: rows in places of consecutive ids, each place closed
+    by a copy (``copy`` = 1) of the row that follows it in descending ``doc_id``, cyclically; and
+    whether a row may stand for several equal ones.
+
+    Which place hands its first row to which comes from the places alone, a table of one row a
+    place, range-partitioned. The texts are shuffled once, by place.
     """
     need(docs, "doc_id", "text")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     group = F.coalesce(F.floor(F.col("doc_id") / rows).cast("long"), F.lit(NO_ID))
-    base = base.select("doc_id", "text", group.alias("group"), F.xxhash64("text").alias("order"))
-    # The first row of a group: the largest id, then the smallest text hash.
-    firsts = base.groupBy("group").agg(F.max(F.struct("doc_id", (-F.col("order").cast("decimal(20,0)")).alias("back"))).alias("first"))
-    firsts = firsts.select("group", F.col("first.doc_id").alias("first_id"), (-F.col("first.back")).cast("long").alias("first_order"))
-    sent = written(firsts.join(_receivers(written(firsts.select("group"), "groups")), "group"), "handed_on")
-    sent = F.broadcast(sent) if sent.count() <= BROADCAST_ROWS else sent
+    base, repeated = _placed(base.select("doc_id", "text", group.alias("group"), F.xxhash64("text").alias("order")), rows)
+    # The first row of a place: the largest id, then the smallest text hash.
+    firsts = base.groupBy("place").agg(F.max(F.struct("doc_id", (-F.col("order").cast("decimal(20,0)")).alias("down"))).alias("first"))
+    firsts = firsts.select("place", F.col("first.doc_id").alias("first_id"), (-F.col("first.down")).cast("long").alias("first_order"))
+    sent, _ = _bounded(written(firsts.join(_receivers(written(firsts.select("place"), "places")), "place"), "handed_on"))
     is_first = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("order") == F.col("first_order"))
-    copies = base.join(sent.withColumnRenamed("group", "from_group"), (F.col("group") == F.col("from_group")) & is_first)
-    return base.withColumn("copy", F.lit(0)).unionByName(copies.select("doc_id", "text", F.col("to").alias("group"), "order", F.lit(1).alias("copy")))
+    copies = base.join(sent.withColumnRenamed("place", "from_place"), (F.col("place") == F.col("from_place")) & is_first)
+    copies = copies.select("doc_id", "text", F.col("to").alias("place"), "order", F.lit(1).alias("copy"), "times")
+    return base.withColumn("copy", F.lit(0)).unionByName(copies), repeated
 
 
-def _receivers(groups: DataFrame) -> DataFrame:
-    """group, to: the next larger group; for the largest one, the smallest."""
-    dealt = written(groups.repartitionByRange("group").withColumn("part", F.spark_partition_id()), "group_ranges")
-    ends = dealt.groupBy("part").agg(F.min("group").alias("low"))  # a row per partition
+def _receivers(places: DataFrame) -> DataFrame:
+    """place, to: the next larger place; for the largest one, the smallest."""
+    dealt = written(places.repartitionByRange("place").withColumn("part", F.spark_partition_id()), "place_ranges")
+    ends = dealt.groupBy("part").agg(F.min("place").alias("low"))  # a row per partition
     by_part = W.partitionBy(F.lit(0)).orderBy("part")
     after = ends.select("part", F.coalesce(F.lead("low").over(by_part), F.first("low").over(by_part)).alias("low_after"))
-    up = F.lead("group").over(W.partitionBy("part").orderBy("group"))
-    return dealt.withColumn("up", up).join(after, "part").select("group", F.coalesce("up", "low_after").alias("to"))
+    up = F.lead("place").over(W.partitionBy("part").orderBy("place"))
+    return dealt.withColumn("up", up).join(after, "part").select("place", F.coalesce("up", "low_after").alias("to"))
+
+
+def _expanded(found: DataFrame) -> DataFrame:
+    """Each row as often as its ``times`` says; rows of many times are dealt to tasks in portions."""
+    found = written(found, "classes")
+    few = found.filter(F.col("times") <= PORTION)
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(times - 1) div {PORTION}")))
+    many = found.filter(F.col("times") > PORTION).withColumn("chunk", chunk)
+    many = many.withColumn("times", F.least(F.lit(PORTION), F.col("times") - F.col("chunk") * PORTION))
+    many = many.repartition("doc_id", "edited_sha256", "chunk").drop("chunk")
+    again = F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))).alias("__again")
+    return few.unionByName(many).select("*", again).drop("__again", "times")
 
 
 def compare_edited(docs: DataFrame, rows: int = ROWS) -> DataFrame:
     """Each row with its fingerprint, the text whose last third is replaced by the start of the
     next row's, that text's fingerprint, and how alike they are."""
     order = [F.col("copy"), F.desc_nulls_last("doc_id"), F.col("order")]
-    dealt = in_order(docs, rows).repartition("group").sortWithinPartitions("group", *order)
+    placed, repeated = in_order(docs, rows)
+    dealt = placed.repartition("place").sortWithinPartitions("place", *order)
     marked = add_fingerprint(dealt, "text", "packed").withColumn("own", hashes("packed"))
-    nearby = W.partitionBy("group").orderBy(*order)
+    nearby = W.partitionBy("place").orderBy(*order)
     paired = marked.select("*", F.lead("text").over(nearby).alias("next_text"), F.lead("own").over(nearby).alias("next_own")).filter("copy = 0")
+    if repeated:
+        # Of equal rows all but the last are followed by one like themselves.
+        last = F.struct(F.col("next_text").alias("t"), F.col("next_own").alias("o"), F.lit(1).cast("long").alias("n"))
+        others = F.struct(F.col("text").alias("t"), F.col("own").alias("o"), (F.col("times") - 1).alias("n"))
+        both = F.explode(F.filter(F.array(last, others), lambda x: x["n"] > 0)).alias("next")
+        paired = paired.select("*", both).withColumns({"next_text": F.col("next.t"), "next_own": F.col("next.o"), "times": F.col("next.n")})
     n = F.length("text")
     cut = F.expr("length(text) div 3").cast("int")
     edited = paired.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut)))
     edited = add_fingerprint(edited, "edited", "edited_packed").withColumn("edited_own", hashes("edited_packed"))
-    return edited.select(
+    found = edited.select(
         "doc_id",
         n.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
@@ -144,4 +200,6 @@ def compare_edited(docs: DataFrame, rows: int = ROWS) -> DataFrame:
         as_string("edited_packed").alias("edited_fingerprint"),
         likeness("own", "edited_own").alias("near_edited"),
         likeness("own", "next_own").alias("near_next"),
+        "times",
     )
+    return _expanded(found) if repeated else found.drop("times")

@@ -101,6 +101,25 @@ def test_sparse_and_negative_ids_follow_each_other(spark):
     assert got(w.compare_edited(docs)) == expected(docs)
 
 
+def test_hot_ids_are_parted_and_lose_no_row(spark, monkeypatch):
+    monkeypatch.setattr(w, "PORTION", 40)
+    text = lambda i: f"line {i} of words that go on and on" if i % 7 else ""
+    data = [(None, text(i % 90)) for i in range(200)] + [(1234, text(i)) for i in range(200)] + [(1235, "the same words in each of these rows")] * 150
+    data += [(i, text(i)) for i in range(1200, 1260)] + [(-5, None), (10**12, "a b c d e f g h i")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    placed, repeated = w.in_order(docs, 10)
+    sizes = placed.filter("copy = 0").groupBy("place").count().collect()
+    assert repeated and max(r["count"] for r in sizes) <= 40
+    assert got(w.compare_edited(docs, 10)) == expected(docs)
+
+
+def test_one_id_on_every_row(spark):
+    docs = spark.createDataFrame([(None, f"text {i % 50} of some words here") for i in range(300)], "doc_id long, text string")
+    assert got(w.compare_edited(docs, 5)) == expected(docs)
+    same = spark.createDataFrame([(7, "one text of some words here")] * 100, "doc_id long, text string")
+    assert got(w.compare_edited(same, 5)) == expected(same)
+
+
 def test_shared_runs_share_a_fingerprint(spark):
     run = " ".join(f"w{i}" for i in range(w.GRAM + w.WINDOW - 1))
     docs = spark.createDataFrame([(1, f"a b c {run} d"), (2, f"x {run} y z q r"), (3, "")], "doc_id long, text string")
