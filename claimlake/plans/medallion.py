@@ -101,11 +101,20 @@ def all_quarantined(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.table(lake.quarantine_name).unionByName(spark.table(lake.landing_quarantine_name), allowMissingColumns=True)
 
 
-def silver_frames(bronze: DataFrame, rules: Mapping | str | None, run_ts: str) -> tuple[DataFrame, DataFrame, list]:
-    """(clean, quarantined, checks) for a bronze frame; nothing is written."""
+LAYER = "_dq_layer"
+
+
+def layered_frame(bronze: DataFrame, rules: Mapping | str | None, run_ts: str) -> tuple[DataFrame, list]:
+    """(bronze rows with their checks, stamp and layer, checks); nothing is written."""
     checks = q.compile_rules(parse_rules(rules))
     annotated = q.annotate(bronze, checks).withColumn(SILVER_AT, F.lit(run_ts))
-    clean, failed = q.split(annotated, checks)
+    return annotated.withColumn(LAYER, F.when(F.col(q.PASSED), F.lit("silver")).otherwise(F.lit("quarantine"))), checks
+
+
+def silver_frames(bronze: DataFrame, rules: Mapping | str | None, run_ts: str) -> tuple[DataFrame, DataFrame, list]:
+    """(clean, quarantined, checks) for a bronze frame; nothing is written."""
+    annotated, checks = layered_frame(bronze, rules, run_ts)
+    clean, failed = q.split(annotated.drop(LAYER), checks)
     return clean, failed, checks
 
 
@@ -120,15 +129,17 @@ def to_silver(
     """Bronze -> silver (clean rows) and quarantine (failed rows with every check column).
 
     Rules come from ``rules`` (dict or JSON text), else from the document at ``rules_path``,
-    else the default (id and terms not NULL). Both writes scan bronze; the split filters are
-    pushed into the Parquet scan.
+    else the default (id and terms not NULL). One pass over bronze checks every row once and
+    writes both tables (:func:`claimlake.plans.tables.replace_layers`).
     """
     lake.create(spark)
     if rules is None and rules_path is not None:
         rules = load_rules(spark, rules_path)
-    clean, failed, _ = silver_frames(spark.table(lake.bronze_name), rules, run_ts or utc_now())
-    lake.writer.replace(clean, lake.silver_name)
-    lake.writer.replace(failed, lake.quarantine_name)
+    layered, checks = layered_frame(spark.table(lake.bronze_name), rules, run_ts or utc_now())
+    failed = [c for c in layered.columns if c != LAYER]
+    clean = [c for c in failed if c not in (q.PASSED, q.FAILED, *q.check_columns(checks))]
+    tables = {"silver": (lake.silver_name, clean), "quarantine": (lake.quarantine_name, failed)}
+    lake.writer.replace_layers(layered, LAYER, tables, lake.layer_path(lake.silver))
     return spark.table(lake.silver_name), spark.table(lake.quarantine_name)
 
 

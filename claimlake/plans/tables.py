@@ -5,13 +5,14 @@ from __future__ import annotations
 import math
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.functions import expr
+from pyspark.sql.functions import col, expr
+from pyspark.sql.types import StructType
 
-from claimlake.session import fresh_dir, sql_conf
+from claimlake.session import fresh_dir, list_folder, remove_folder, sql_conf
 
 # Default table names, claim-check bucket and prefix, and the target file size.
 BRONZE_TABLE = "raw_data_with_pointers"
@@ -97,6 +98,10 @@ class Lake:
         """Folder of a managed table (database location + table name)."""
         return f"{self.root}/{self.gold_database if gold else self.database}.db/{table.lower()}"
 
+    def layer_path(self, table: str) -> str:
+        """Folder of the versions of tables that one pass writes together."""
+        return f"{self.root}/_layers/{self.database}/{table.lower()}"
+
     def scratch(self, name: str) -> str:
         return f"{self.root}/_scratch/{name}-{uuid.uuid4().hex[:12]}"
 
@@ -128,6 +133,13 @@ class TableWriter:
             .createOrReplace()
         )
 
+    def replace_layers(self, df: DataFrame, layer: str, tables: Mapping[str, tuple[str, list[str]]], folder: str) -> None:
+        if self.table_format is None:
+            replace_layers(df, layer, tables, folder, target_file_bytes=self.target_file_bytes)
+            return
+        for value, (name, columns) in tables.items():
+            self.replace(df.filter(col(layer) == value).select(*columns), name)
+
     def replace_bucketed(self, df: DataFrame, name: str, key: str, num_buckets: int) -> None:
         if self.table_format is None:
             replace_bucketed_table(df, name, key, num_buckets)
@@ -193,6 +205,50 @@ def _swap_in(spark: SparkSession, name: str, write: Callable[[str], object]) ->
     spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
 
 
+def replace_layers(
+    df: DataFrame, layer: str, tables: Mapping[str, tuple[str, list[str]]], folder: str, *, target_file_bytes: int = TARGET_FILE_BYTES, keep: int = 2
+) -> None:
+    """Create or replace several Parquet tables by one pass over ``df``.
+
+    ``tables`` names, for each value of the column ``layer``, a table and its columns. All rows are
+    written once, into a new version under ``folder``, partitioned by ``layer``; each table is an
+    external one over its partition, and reads its own columns alone. Rows are rebalanced by
+    layer, so that no task writes a small file for each; AQE splits a layer larger than a file.
+
+    A write that fails leaves all tables as they were. A table whose columns stay the same is moved
+    to the new version by one change of its catalog entry, never missing for a reader; else it is
+    dropped and created. The ``keep`` newest versions stay, for readers that are still at an old one.
+    """
+    spark = df.sparkSession
+    version = f"{folder}/{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    with sql_conf(
+        spark,
+        spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_file_bytes),
+        spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
+    ):
+        try:
+            df.hint("rebalance", layer).write.partitionBy(layer).parquet(version)
+        except BaseException:
+            remove_folder(spark, version)
+            raise
+    for value, (name, columns) in tables.items():
+        _point(spark, name, f"{version}/{layer}={value}", df.select(*columns).schema)
+    for old in list_folder(spark, folder)[:-keep]:
+        remove_folder(spark, old)
+
+
+def _point(spark: SparkSession, name: str, path: str, schema: StructType) -> None:
+    """Make ``name`` an external Parquet table over ``path``, which need not hold any file."""
+    shape = lambda s: [(f.name, f.dataType) for f in s.fields]
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType == "EXTERNAL" and shape(spark.table(name).schema) == shape(schema):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
+
+
 def bucket_count(total_bytes: int, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
     return max(1, min(MAX_BUCKETS, math.ceil(max(0, total_bytes) / target_file_bytes)))
 

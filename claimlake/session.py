@@ -73,6 +73,13 @@ def remove_folder(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in a folder of any Hadoop file system, by name; nothing if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().toString() for f in files.listStatus(folder)) if files.exists(folder) else []
+
+
 @contextlib.contextmanager
 def sql_conf(spark: SparkSession, **settings: str):
     """Temporarily set SQL confs (keys with '__' for '.'), restoring the previous values."""

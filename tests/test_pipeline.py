@@ -516,3 +516,34 @@ def test_sql_function_prunes_the_store_at_run_time(spark, lake):
     tables.replace_bucketed_table(spark.table(lake.store_name).select("bucket", "key", "content", "n_bytes").limit(2), lake.store_name, "key", 2)
     with pytest.raises(Exception, match="part_of_"):
         spark.sql(f"SELECT {fn}(terms) FROM {lake.gold_name}").collect()
+
+
+def test_silver_and_quarantine_come_from_one_pass(spark, lake, monkeypatch):
+    import os
+
+    from claimlake.plans import tables
+
+    rows = [(str(i) if i % 5 else None, f"text {i}", "f") for i in range(50)]
+    m.to_bronze(spark, spark.createDataFrame(rows, "id string, terms string, _source_file string"), lake, run_ts=fx.RUN_TS)
+    seen = []
+    write = tables.replace_layers
+    monkeypatch.setattr(tables, "replace_layers", lambda df, *a, **k: (seen.append(df), write(df, *a, **k)))
+    silver, quarantine = m.to_silver(spark, lake, run_ts=fx.RUN_TS)
+    assert (silver.count(), quarantine.count()) == (40, 10)
+    assert "_dq_passed" not in silver.columns and quarantine.filter("_dq_passed").count() == 0
+    assert len(seen) == 1 and seen[0]._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    # Without a failed row there is no such folder: the table is empty, with its columns.
+    m.to_bronze(spark, spark.createDataFrame(rows[1:5], "id string, terms string, _source_file string"), lake, run_ts=fx.RUN_TS)
+    open_reader = spark.table(lake.silver_name)
+    again, none = m.to_silver(spark, lake, run_ts=fx.RUN_TS)
+    assert (again.count(), none.count(), open_reader.count()) == (4, 0, 40) and none.columns == quarantine.columns
+    # Other rules give other columns.
+    _, other = m.to_silver(spark, lake, rules=fx.RULES_THREE, run_ts=fx.RUN_TS)
+    assert "_dq_not_empty_terms" in other.columns and other.count() == 0
+    # A write that fails leaves both tables, and no version of its own.
+    with pytest.raises(Exception, match="(?i)divi"):
+        frame = spark.table(lake.bronze_name).selectExpr("*", "1 div (length(id) - length(id)) AS x", "'silver' AS _dq_layer")
+        with tables.sql_conf(spark, spark__sql__ansi__enabled="true"):
+            write(frame, "_dq_layer", {"silver": (lake.silver_name, frame.columns[:-1])}, lake.layer_path(lake.silver))
+    assert spark.table(lake.silver_name).count() == 4
+    assert len(os.listdir(lake.layer_path(lake.silver).removeprefix("file:"))) == 2

@@ -66,9 +66,8 @@ def main() -> None:
     out.append(facts("store de-dup, broadcast winners (when a key repeats)", cc.keep_latest(rows, [SOURCE_FILE, m._ORD], winner_bytes=2000)))
     out.append(facts("store write (one text shuffle, bucket hash)", rows.select(*cc.STORE_COLUMNS).repartition(8, "key")))
     out.append(facts("bronze (pointers only, text not read)", m.bronze_frame(staged, lake, fx.RUN_TS).hint("rebalance")))
-    clean, failed, _ = m.silver_frames(spark.table(lake.bronze_name), fx.RULES_THREE, fx.RUN_TS)
-    out.append(facts("silver (clean rows)", clean.hint("rebalance")))
-    out.append(facts("quarantine", failed.hint("rebalance")))
+    layered, _ = m.layered_frame(spark.table(lake.bronze_name), fx.RULES_THREE, fx.RUN_TS)
+    out.append(facts("silver and quarantine (one pass, partitioned by layer)", layered.hint("rebalance", m.LAYER)))
     out.append(facts("quarantine summary", q.quarantine_summary(spark.table(lake.quarantine_name))))
     bulk = m.resolve_gold(spark, lake, max_rows=None)
     out.append(facts("bulk resolve (store bucketed on key: only pointers shuffled)", bulk))
