@@ -127,6 +127,17 @@ def _read(reader: DataFrameReader, files: str | list[str], schema: StructType |
     return with_source_file(df) if source_file else df
 
 
+def _first_of_each(batches):
+    """The first row of each file; a task reads its files one after the other."""
+    before = None
+    for batch in batches:
+        files = batch.column(0).to_pylist()
+        starts = [i for i, f in enumerate(files) if f != (files[i - 1] if i else before)]
+        if files:
+            before = files[-1]
+        yield batch.take(starts)
+
+
 def header_layouts(spark: SparkSession, root: str, glob: str | None = CSV_GLOB) -> list[tuple[tuple[str, ...], list[str]]]:
     """The headers that occur among the files under ``root``, each with its files: the header of
     most files first (ties: the smallest path).
@@ -136,16 +147,15 @@ def header_layouts(spark: SparkSession, root: str, glob: str | None = CSV_GLOB)
     break. Blank and repeated names get their position added. Files without a line are left out.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
-    lines = (reader.option("pathGlobFilter", glob) if glob else reader).text(root).select(F.col("_metadata.file_path").alias("file"), "value")
+    lines = (reader.option("pathGlobFilter", glob) if glob else reader).text(root).select(F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("at"))
     whole = str(1 << 50)
     # One file a task, one row a batch: a task ends after the first row without reading on.
-    with sql_conf(
-        spark,
-        spark__sql__files__maxPartitionBytes=whole,
-        spark__sql__files__openCostInBytes=whole,
-        spark__sql__execution__arrow__maxRecordsPerBatch="1",
-    ):
-        first = lines.mapInArrow(lambda batches: islice(batches, 1), "file string, value string").collect()
+    with sql_conf(spark, spark__sql__files__maxPartitionBytes=whole, spark__sql__files__openCostInBytes=whole):
+        if all(spark.conf.get(f"spark.sql.files.{x}") == whole for x in ("maxPartitionBytes", "openCostInBytes")):
+            with sql_conf(spark, spark__sql__execution__arrow__maxRecordsPerBatch="1"):
+                first = lines.drop("at").mapInArrow(lambda batches: islice(batches, 1), "file string, value string").collect()
+        else:  # a session that holds its settings: files are split, or share a task
+            first = lines.filter("at = 0").drop("at").mapInArrow(_first_of_each, "file string, value string").collect()
     by_header: dict[tuple[str, ...], list[str]] = {}
     for file, line in sorted((r["file"], r["value"]) for r in first):
         by_header.setdefault(_header_names(line), []).append(unquote(file))

@@ -547,3 +547,21 @@ def test_silver_and_quarantine_come_from_one_pass(spark, lake, monkeypatch):
             write(frame, "_dq_layer", {"silver": (lake.silver_name, frame.columns[:-1])}, lake.layer_path(lake.silver))
     assert spark.table(lake.silver_name).count() == 4
     assert len(os.listdir(lake.layer_path(lake.silver).removeprefix("file:"))) == 2
+
+
+def test_headers_are_found_where_the_session_holds_its_settings(spark, lake, monkeypatch):
+    import contextlib
+
+    from claimlake.sources import landing
+
+    root = f"{lake.root}/held"
+    for k in range(4):
+        order = ("id", "terms") if k % 2 else ("terms", "id")
+        rows = spark.range(300).selectExpr(f"CONCAT('{k}-', id) AS id", "CONCAT('a line of text ', id) AS terms").select(*order)
+        rows.coalesce(1).write.option("header", "true").csv(f"{root}/{k}")
+    usual = sorted((h, sorted(f)) for h, f in landing.header_layouts(spark, root))
+    monkeypatch.setattr(landing, "sql_conf", lambda *a, **k: contextlib.nullcontext())
+    for size, cost in (("2k", "0"), ("1m", "0")):  # split files; files that share a task
+        with m.sql_conf(spark, spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes=cost):
+            assert sorted((h, sorted(f)) for h, f in landing.header_layouts(spark, root)) == usual
+    assert [h for h, _ in usual] == [("id", "terms"), ("terms", "id")] and [len(f) for _, f in usual] == [2, 2]
