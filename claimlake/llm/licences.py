@@ -11,6 +11,13 @@ A notice wrapped over several lines is found by its word pairs in the joined lin
 one text and, if confirmed, reported once, with the number of its first line, in place of what its
 lines give alone. Lines that are confirmed alone stay.
 
+Of what remains, lines with a feature are joined to a paragraph if no sentence ends at a break
+between them, no line among them is blank or part of a confirmed notice, and no more than ``GAP``
+lines in a row lack a feature (such lines add nothing to a score). A paragraph of several lines is judged as one text and
+reported once, with the number of its first line, in place of its lines; so wrapped notices of
+families without a template, or of none, are one finding. If it is ordinary text as a whole, its
+lines keep what they give alone.
+
 It is trained on the templates, variations of them (words left out, words around them), invented
 notices of no family, and at most ``SAMPLE`` lines of the corpus (those of smallest hash) without a
 cue word. Only n-grams that these lines lack are features, so a line without any of them has the
@@ -28,6 +35,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -36,19 +44,22 @@ from pyspark.sql import functions as F
 
 from claimlake.llm.common import need, python_on_executors, text_or_empty
 
-SAMPLE, CONFIDENT, CONFIRMED = 4000, 0.6, 0.75
+SAMPLE, CONFIDENT, CONFIRMED, GAP = 4000, 0.6, 0.75, 1
 NONE, UNKNOWN = "none", "unknown"
-#: Short notices and opening sentences of public licences.
+#: Short notices, opening sentences and whole paragraphs of public licences.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
         "This project is released under the Apache 2.0 license.",
+        'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
     ),
     "mit": (
         "Released under the MIT License.",
         "This project is licensed under the MIT License.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
     ),
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -66,9 +77,13 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the BSD 3-Clause License.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.',
     ),
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License 2.0."),
-    "isc": ("Licensed under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    "isc": ("Licensed under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.'),
     "cc0-1.0": ("Dedicated to the public domain under CC0 1.0 Universal.", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     "cc-by": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
@@ -146,8 +161,11 @@ class Model:
 
     def paragraphs(self, text: str) -> Iterator[tuple[int, str]]:
         """Number and text of the lines that have a feature (others score as ordinary text)."""
+        yield from self._paragraphs(text, _lowered(text))
+
+    def _paragraphs(self, text: str, lowered: str) -> Iterator[tuple[int, str]]:
         number, at, done = 0, 0, -1
-        for m in self.finder.finditer(_lowered(text)):
+        for m in self.finder.finditer(lowered):
             if m.start() < done:
                 continue
             start = text.rfind("\n", 0, m.start()) + 1
@@ -158,26 +176,51 @@ class Model:
             number, at = number + 1, done
 
     def findings(self, text: str) -> list[tuple[int, str, float, float, bool]]:
-        """What the lines and the notices wrapped over lines give, by line."""
-        alone = {n: j for n, p in self.paragraphs(text) if (j := self.judge(p))}
-        out = []
-        for first, last, judged in self.wrapped(text):
+        """What the lines and the notices and paragraphs of several lines give, by line."""
+        lowered = _lowered(text)
+        found = [m.span() for m in self.across.finditer(lowered)]
+        if not found:  # then no line has a feature of its own either
+            return []
+        alone = {n: j for n, p in self._paragraphs(text, lowered) if (j := self.judge(p))}
+        if "\n" not in text.strip("\n"):
+            return [(n, *j) for n, j in alone.items()]
+        lines = text.split("\n")
+        ends = np.cumsum([len(x) + 1 for x in lines])
+        hits = np.searchsorted(ends, [(a, b - 1) for a, b in found], "right").tolist()  # lines of first and last character
+        out, settled = [], {n for n, j in alone.items() if j[3]}
+        for first, last, judged in self._wrapped(lines, sorted({a for a, _ in hits})):
             inside = [n for n in range(first, last + 1) if n in alone]
             if not any(alone[n][3] and alone[n][0] == judged[0] for n in inside):
                 out.append((first, *judged))
                 alone = {n: j for n, j in alone.items() if n not in inside or j[3]}
+            settled.update(range(first, last + 1))
+        for first, last, judged in self._continued(lines, sorted({i for a, b in hits for i in range(a, b + 1)}), settled):
+            out.append((first, *judged))
+            alone = {n: j for n, j in alone.items() if not first <= n <= last}
         return sorted([*out, *((n, *j) for n, j in alone.items())], key=lambda f: f[0])
 
-    def wrapped(self, text: str) -> list[tuple[int, int, tuple[str, float, float, bool]]]:
+    def _continued(self, lines: list[str], hits: list[int], settled: set[int]) -> Iterator[tuple[int, int, tuple[str, float, float, bool]]]:
+        """First and last line, and verdict, of the paragraphs of several lines that aren't ordinary text."""
+        number, counted = 0, 0
+        group: list[int] = []  # first and last line, first line's number
+        for i in [*hits, len(lines) + GAP + 1]:
+            joined = bool(group) and i - group[1] <= GAP + 1 and i < len(lines) and not any(_finished(lines[k]) or not lines[k + 1].strip() for k in range(group[1], i))
+            if joined and not any(group[2] + k - group[0] in settled for k in range(group[1], i + 1)):
+                group[1] = i
+                continue
+            if group and group[0] < group[1]:
+                parts = [words(x) for x in lines[group[0] : group[1] + 1]]
+                judged = self.judge(" ".join(x for w in parts for x in (w[1:] if w and w[0] in _COMMENT else w)))
+                if judged:
+                    yield group[2], group[2] + group[1] - group[0], judged
+            if i < len(lines):
+                number += sum(1 for x in lines[counted:i] if x.strip())
+                counted = i
+                group = [] if number in settled else [i, i, number]
+
+    def _wrapped(self, lines: list[str], starts: list[int]) -> list[tuple[int, int, tuple[str, float, float, bool]]]:
         """First and last line of each confirmed notice that takes several lines, and its verdict."""
-        if "\n" not in text.strip("\n"):
-            return []
         reach = 3 + max(_span(pairs) for _, pairs in self.templates)
-        starts = sorted({m.start() for m in self.across.finditer(_lowered(text))})
-        if not starts:
-            return []
-        lines = text.split("\n")
-        ends = np.cumsum([len(x) + 1 for x in lines])
         parts: dict[int, list[str]] = {}
 
         def line_words(i: int) -> list[str]:
@@ -194,7 +237,7 @@ class Model:
             return i
 
         areas: list[list[int]] = []
-        for i in sorted(set(np.searchsorted(ends, starts, "right").tolist())):
+        for i in starts:
             a, b = end_of_join(i, -1), end_of_join(i + 1 if i + 1 < len(lines) and lines[i + 1].strip() else i, 1)
             if areas and a <= areas[-1][1]:
                 areas[-1][1] = max(b, areas[-1][1])
@@ -231,9 +274,20 @@ class Model:
         return sorted(out, key=lambda x: x[:2])
 
 
+def _finished(line: str) -> bool:
+    """Whether a sentence ends with the line (whatever marks follow)."""
+    for c in reversed(line):
+        if c.isalnum():
+            return False
+        if c in ".!?":
+            return True
+    return False
+
+
 def _lowered(text: str) -> str:
     """In lower case, each character in its place."""
-    return text.lower() if len(text.lower()) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    lowered = text.lower()
+    return lowered if len(lowered) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
 def _span(pairs: frozenset[tuple[str, str]]) -> int:
@@ -299,9 +353,9 @@ def train(ordinary: list[str], seed: int = 0) -> Model:
     weights, intercept = _regress(x[~held], y[~held], len(classes))
     z, yh = x[held] @ weights + intercept, y[held]
     losses = {t: -np.mean(_log_softmax(z / t)[np.arange(len(yh)), yh]) for t in np.geomspace(0.2, 5, 40)}
-    least = sorted({re.escape(g) for g in names if _least(g, features)}, key=len, reverse=True)
+    least = [g for g in names if _least(g, features)]
     # a match of `finder` stays in its line
-    finder, across = (re.compile(r"(?<![a-z0-9])(?:" + "|".join(g.replace(r"\ ", gap) for g in least) + r")(?![a-z0-9])") for gap in (r"[^a-z0-9\n]+", "[^a-z0-9]+"))
+    finder, across = (re.compile(rf"(?<![a-z0-9])(?:{_any_of(least, gap)})(?![a-z0-9])") for gap in (r"[^a-z0-9\n]+", "[^a-z0-9]+"))
     templates = [(classes.index(k), frozenset(zip(words(t), words(t)[1:]))) for k, v in TEMPLATES.items() for t in v]
     return Model(classes, features, weights, intercept, float(min(losses, key=losses.get)), finder, across, templates)
 
@@ -312,6 +366,24 @@ def _least(gram: str, features: dict[str, int]) -> bool:
     return not any(" ".join(w[i : i + n]) in features for n in range(1, len(w)) for i in range(len(w) - n + 1))
 
 
+def _any_of(grams: list[str], gap: str) -> str:
+    """A pattern of the n-grams, longer ones first, in which those with equal beginnings share them,
+    so that a word is compared with few of them; ``gap`` stands for the blanks."""
+    if not grams:
+        return "(?!)"
+    branches = []
+    for first, some in groupby(sorted(grams), key=lambda g: g[:1]):
+        if first:
+            branches.append((gap if first == " " else re.escape(first)) + _rest([g[1:] for g in some], gap))
+    return "|".join(branches)
+
+
+def _rest(grams: list[str], gap: str) -> str:
+    if len(grams) == 1:
+        return re.escape(grams[0]).replace(r"\ ", gap)
+    return f"(?:{_any_of([g for g in grams if g], gap)}){'?' if '' in grams else ''}"
+
+
 def _log_softmax(z: np.ndarray) -> np.ndarray:
     z = z - z.max(1, keepdims=True)
     return z - np.log(np.exp(z).sum(1, keepdims=True))
