@@ -11,7 +11,6 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 from functools import reduce
-from itertools import islice
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -142,18 +141,19 @@ def header_layouts(spark: SparkSession, root: str, glob: str | None = CSV_GLOB)
     """The headers that occur among the files under ``root``, each with its files: the header of
     most files first (ties: the smallest path).
 
-    One small task a file reads its first line and stops; file names and headers alone come to the
-    driver, as the file listing itself does. A header's names may be quoted but hold no line
+    One task a file scans it as lines, of which the first alone passes a filter (Spark has no way to
+    leave a partition early, so files are read twice in all, but the first time without parsing,
+    Python or a shuffle); file names and headers alone come to the driver, as the file listing does. A header's names may be quoted but hold no line
     break. Blank and repeated names get their position added. Files without a line are left out.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     lines = (reader.option("pathGlobFilter", glob) if glob else reader).text(root).select(F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("at"))
     whole = str(1 << 50)
-    # One file a task, one row a batch: a task ends after the first row without reading on.
+    # One file a task: its first line is the row of its partition that is numbered 0.
     with sql_conf(spark, spark__sql__files__maxPartitionBytes=whole, spark__sql__files__openCostInBytes=whole):
         if all(spark.conf.get(f"spark.sql.files.{x}") == whole for x in ("maxPartitionBytes", "openCostInBytes")):
-            with sql_conf(spark, spark__sql__execution__arrow__maxRecordsPerBatch="1"):
-                first = lines.drop("at").mapInArrow(lambda batches: islice(batches, 1), "file string, value string").collect()
+            place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+            first = lines.drop("at").withColumn("place", place).filter("place = 0").drop("place").collect()
         else:  # a session that holds its settings: files are split, or share a task
             first = lines.filter("at = 0").drop("at").mapInArrow(_first_of_each, "file string, value string").collect()
     by_header: dict[tuple[str, ...], list[str]] = {}
