@@ -185,7 +185,7 @@ def write_ragged_landing(docs: DataFrame, root: str) -> str:
     rows = landing_rows(docs, keep_doc_id=True)
     d, cells = F.col("doc_id"), [_cell(F.col(c)) for c in HEADERS[0]]
     line = F.when(d % 10 == 3, cells[0]).when(d % 10 == 7, F.concat_ws(",", *cells, F.lit('"more"'))).otherwise(F.concat_ws(",", *cells))
-    return _write_lines(rows.select((d % 4).alias("part"), d.alias("nth"), line.alias("value")), [",".join(HEADERS[0])] * 4, root)
+    return _write_lines(rows.select(_kind(d).alias("part"), d.alias("nth"), line.alias("value")), [",".join(HEADERS[0])] * 4, root)
 
 
 def repeated_ids(docs: DataFrame) -> DataFrame:

@@ -45,3 +45,17 @@ def test_no_rows_by_headers(spark, lake):
     root = fx.write_landing_by_headers(_docs(spark).filter("false"), f"{lake.root}/landing")
     got = read_landing_csv(spark, root, glob="*.txt", by_name=True)
     assert {"id", "terms", "note", *MEASURES} <= set(got.columns) and got.count() == 0
+
+
+def test_ragged_files_grow_in_number(spark, lake):
+    docs = _docs(spark).cache()
+    root = fx.write_ragged_landing(docs, f"{lake.root}/landing")
+    files = _files(root)
+    assert len(files) > 4 * (TASKS - 1)
+    assert max(map(os.path.getsize, files)) < sum(map(os.path.getsize, files)) / TASKS
+    got = read_landing_csv(spark, root, glob="*.txt", by_name=True, keep_ragged=True)
+    d = F.col("doc_id")
+    ragged = F.coalesce((d % 10).isin(3, 7), F.lit(False))
+    want = fx.landing_rows(docs.filter(~ragged))
+    assert _sorted(got.filter("_ragged_line is null").select(*want.columns)) == _sorted(want)
+    assert len(got.filter("_ragged_line is not null").collect()) == docs.filter(ragged).count()
