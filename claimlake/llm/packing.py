@@ -29,8 +29,11 @@ from pyspark.sql import functions as F
 
 from claimlake.llm.common import need, python_on_executors, slices, text_or_empty, written
 from claimlake.llm.tokens import definition, encoder
+from claimlake.session import sql_conf
 
 CAPACITY = 1024
+#: Bytes of an Arrow batch of texts (at least one row).
+BATCH_BYTES = 4_000_000
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, part int, nth long"
 
 
@@ -39,7 +42,9 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
     their checksum, its place in its document, and ``part``/``nth``: the task that cut it and its
     number there among pieces of its length.
 
-    The result is a written table, as later steps read it more than once.
+    The result is a written table, as later steps read it more than once. Texts reach Python in
+    batches of ``BATCH_BYTES``: those of 10,000 rows, each held on both sides of the pipe and again
+    as strings, took more memory than the words that an encoder remembers.
     """
     need(docs, "doc_id", "text")
     spark = docs.sparkSession
@@ -65,7 +70,8 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     cut = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, PIECE_SCHEMA)
-    return written(cut if with_ids else cut.drop("ids"), "pieces", "zstd")
+    with sql_conf(spark, spark__sql__execution__arrow__maxBytesPerBatch=str(BATCH_BYTES)):
+        return written(cut if with_ids else cut.drop("ids"), "pieces", "zstd")
 
 
 class Tightest:

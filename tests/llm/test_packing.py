@@ -97,3 +97,19 @@ def test_sequences_are_padded_unless_a_power_of_two(spark):
         n = len(r["ids"]) // 4
         assert n == (r["length"] if r["length"] & (r["length"] - 1) == 0 else 1024)
         assert set(np.frombuffer(r["ids"], "<u4")[r["length"] :]) <= {7}
+
+
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    def strict(sizes, limit, slices=p.slices, most=p.BATCH_BYTES):
+        sizes = list(sizes)
+        assert len(sizes) == 1 or sum(sizes) <= most + max(sizes), (len(sizes), sum(sizes))
+        return slices(sizes, limit)
+
+    monkeypatch.setattr(p, "slices", strict)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    texts = spark.range(0, 1500, 1, 1).selectExpr("id AS doc_id", "repeat('word ', if(id = 7, 1000000, 2000)) AS text")
+    totals = {r.doc_id: r.n for r in p.cut_documents(texts, PATH, 0, with_ids=False).groupBy("doc_id").sum("length").withColumnRenamed("sum(length)", "n").collect()}
+    words = {n: len(library_ids(["word " * n])[0]) for n in (2000, 1_000_000)}
+    assert totals == {i: words[1_000_000 if i == 7 else 2000] for i in range(1500)}
+    assert spark.conf.get(name) == before
