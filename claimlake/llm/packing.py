@@ -37,7 +37,7 @@ BATCH_BYTES = 4_000_000
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, part int, nth long"
 
 
-def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
+def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = True, remember: int = 500_000) -> DataFrame:
     """One row per piece: ``ids`` (little-endian unsigned 32-bit; null unless ``with_ids``) and
     their checksum, its place in its document, and ``part``/``nth``: the task that cut it and its
     number there among pieces of its length.
@@ -55,7 +55,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
-        encode = encoder(tokens.value).encode
+        encode = encoder(tokens.value, remember).encode
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices(map(len, texts), 4_000_000):
@@ -176,9 +176,11 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPAC
     return place_pieces(cut_documents(docs, tokenizer, end_id, capacity), capacity)
 
 
-def packed_rows(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces with a checksum of their ids instead of the ids, so that only small rows are written and shuffled."""
-    return place_pieces(cut_documents(docs, tokenizer, end_id, capacity, with_ids=False), capacity)
+def packed_rows(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, remember: int = 500_000) -> DataFrame:
+    """Pieces with a checksum of their ids instead of the ids, so that only small rows are written and shuffled.
+
+    A worker's encoder knows the ids of up to twice ``remember`` words; fewer take less memory and more time."""
+    return place_pieces(cut_documents(docs, tokenizer, end_id, capacity, with_ids=False, remember=remember), capacity)
 
 
 def sequences(placed: DataFrame, capacity: int = CAPACITY, pad_id: int = 0) -> DataFrame:

@@ -95,15 +95,15 @@ def _drops_space(before: dict, normal: dict | None) -> bool:
     )
 
 
-_BUILT: dict[int, TextEncoder] = {}
+_BUILT: dict[tuple[int, int], TextEncoder] = {}
 
 
-def encoder(definition: str) -> TextEncoder:
+def encoder(definition: str, remember: int = 500_000) -> TextEncoder:
     """The encoder of this Python worker; tasks that it runs later find the words it knows."""
-    key = hash(definition)
+    key = hash(definition), remember
     if key not in _BUILT:
         _BUILT.clear()
-        _BUILT[key] = TextEncoder(definition)
+        _BUILT[key] = TextEncoder(definition, remember)
     return _BUILT[key]
 
 

@@ -53,9 +53,10 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """The documents' pieces in windows of 1024 tokens: a row for each piece.
 
     A null text is an empty one, whose piece is the end id alone; repeated rows and ids are packed one
-    by one; of equally tight windows the one of smallest number takes a piece.
+    by one; of equally tight windows the one of smallest number takes a piece. Encoders remember
+    fewer words than usual, as executors also hold what the stages before have left.
     """
-    return packing.packed_rows(docs, public_tokenizers.path(TOKENIZER), end_id=0)
+    return packing.packed_rows(docs, public_tokenizers.path(TOKENIZER), end_id=0, remember=200_000)
 
 
 STAGES: list[tuple[str, Stage]] = [
